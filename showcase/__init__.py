@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("profiles", "display")
+MODULES = ("profiles", "display", "variables", "discovery")
 
 
 def all_queries() -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException, ParseException
@@ -15,6 +16,7 @@ from tallyframe.sources.registry import Registry, Table
 
 VARIABLE_TOP = 10
 DEFAULT_EXTRACTION = "Structured"
+ALL_PARTS = frozenset({"counts", "dates", "top", "quartiles", "subjects"})
 
 VARIABLE_COLUMNS = (
     "category", "variable", "description", "table", "column", "criteria", "n_scope", "n_nonnull",
@@ -61,7 +63,7 @@ def _type_of(table: Table, column: Column) -> T.DataType:
     return table.data.select(column).schema[0].dataType
 
 
-def plan_variable(registry: Registry, key: str, row: Row) -> Planned:
+def plan_variable(registry: Registry, key: str, row: Row, parts: Collection[str] = ALL_PARTS) -> Planned:
     """``row`` is a prepared catalogue row.  Analysis errors are recorded, not raised: a bad
     expression leaves the scope count, a bad predicate leaves nothing in scope."""
     name = row["table"] or ""
@@ -99,15 +101,16 @@ def plan_variable(registry: Registry, key: str, row: Row) -> Planned:
     dates = kind == kinds.DATE and not row["free_text"]
     measure = ms.Measure(
         key=key, value=value, data_type=data_type, scope=scope,
-        dates=dates,
-        top=0 if dates or row["free_text"] else VARIABLE_TOP,
-        quartiles=kind == kinds.CONTINUOUS and not registry.is_surrogate_key(column),
-        subjects=table.subject_key is not None,
+        dates=dates and "dates" in parts,
+        top=0 if dates or row["free_text"] or "top" not in parts else VARIABLE_TOP,
+        quartiles=kind == kinds.CONTINUOUS and not registry.is_surrogate_key(column) and "quartiles" in parts,
+        subjects=table.subject_key is not None and "subjects" in parts,
     )
     return Planned(key, name, measure, membership, "; ".join(errors))
 
 
-def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | None = None) -> DataFrame:
+def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | None = None,
+                     parts: Collection[str] = ALL_PARTS) -> DataFrame:
     """One row per catalogue row with its measured statistics, in catalogue order.
 
     Completeness is non-null over scope (NULL without scope); the subject share is over all
@@ -116,11 +119,11 @@ def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | No
     prepared = prepare(catalog)
     rows = prepared.orderBy("first_rank", "first_position").collect()
     prepared = spark.createDataFrame(rows, prepared.schema) if rows else prepared
-    planned = [plan_variable(registry, f"v{i:05d}", r) for i, r in enumerate(rows)]
+    planned = [plan_variable(registry, f"v{i:05d}", r, parts) for i, r in enumerate(rows)]
 
     used = sorted({p.table for p in planned if p.measure is not None})
     counts = registry.row_counts(used) if used else {}
-    parts = []
+    measured_parts = []
     for name in used:
         table = registry.tables[name]
         own = [p for p in planned if p.table == name and p.measure is not None]
@@ -130,13 +133,13 @@ def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | No
                 values = spark.createDataFrame([(v,) for v in p.membership[1]], "value string")
                 data = pr.with_membership(data, p.membership[0], values, f"__in_{p.key}")
         table = Table(name, data, table.subject_key, table.kinds, table.object_type)
-        parts.extend(ms.measure_parts(table, [p.measure for p in own], counts[name], row_limit))
+        measured_parts.extend(ms.measure_parts(table, [p.measure for p in own], counts[name], row_limit))
 
     keyed = spark.createDataFrame(
         [(p.key, p.table, p.error, *r) for p, r in zip(planned, rows)],
         T.StructType([T.StructField("key", T.StringType()), T.StructField("__table", T.StringType()),
                       T.StructField("error", T.StringType()), *prepared.schema.fields])).drop("__table")
-    measured = ms.combine(parts)
+    measured = ms.combine(measured_parts)
     if measured is None:
         measured = spark.createDataFrame([], ms.STATISTICS)
     measured = measured.drop("table")
