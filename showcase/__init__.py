@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("profiles", "display", "variables", "discovery")
+MODULES = ("profiles", "display", "variables", "discovery", "models")
 
 
 def all_queries() -> dict:

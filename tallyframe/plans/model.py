@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Any
@@ -236,10 +236,11 @@ def _summary_section(spark, spec: CohortSpec, patients: int | None, tables: int,
 def build_model(spec: CohortSpec, registry: Registry, catalog: DataFrame,
                 config: Enrichment | None = None, dry_run: bool = False,
                 generated_at: str | None = None, revision: str = "unknown",
-                row_limit: int | None = None) -> Model:
+                row_limit: int | None = None, parts: Collection[str] | None = None) -> Model:
     """Measure, enrich and sort the four sections of a cohort.
 
-    ``generated_at`` and ``revision`` stamp the summary.  A dry run reads no table."""
+    ``generated_at`` and ``revision`` stamp the summary.  A dry run reads no table.  ``parts``
+    leaves out statistics that are not wanted."""
     config = config or Enrichment()
     spark = registry.spark
     stamp = generated_at or datetime.now(timezone.utc).isoformat(timespec="seconds")
@@ -253,8 +254,8 @@ def build_model(spec: CohortSpec, registry: Registry, catalog: DataFrame,
         patients, table_count, column_count = None, 0, 0
     else:
         bare = registry
-        profile = pf.column_profile(registry, row_limit=row_limit)
-        measured = vb.variable_profile(registry, catalog, row_limit)
+        profile = pf.column_profile(registry, parts=pf.ALL_PARTS if parts is None else parts, row_limit=row_limit)
+        measured = vb.variable_profile(registry, catalog, row_limit, vb.ALL_PARTS if parts is None else parts)
         patients = registry.subject_total()
         table_count = len(registry.tables)
         column_count = sum(len(t.data.columns) for t in registry.tables.values())
