@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("profiles", "display", "variables", "discovery", "models")
+MODULES = ("profiles", "display", "variables", "discovery", "models", "checks")
 
 
 def all_queries() -> dict:

@@ -260,8 +260,8 @@ PART_ROWS = [
     "when p_size < 24 then 'start_date' when p_size < 32 then 'drug_concept_id' "
     "when p_size < 36 then '' else 'p_brand' end as \"column\"",
     "case when p_size = 40 then 'upper(p_brand)' end as expression",
-    "case when p_retailprice < 950 then null when p_retailprice < 990 then 'observation_concept_name ILIKE ''%x%''' "
-    "when p_retailprice < 1000 then 'drug_concept_name = ''y''' when p_retailprice < 1050 then "
+    "case when p_retailprice < 950 then null when p_retailprice < 970 then 'observation_concept_name ILIKE ''%x%''' "
+    "when p_retailprice < 980 then 'drug_concept_name = ''y''' when p_retailprice < 995 then "
     "'p_name ILIKE ''ring'' or p_name ILIKE ''small%''' else '  ' end as criteria",
     "case when p_brand < 'Brand#12' then 'Explained.' end as inclusion_criteria",
     "case when p_size < 10 then 'Unstructured' when p_size < 20 then 'abstracted' when p_size < 30 then '' "

@@ -67,10 +67,14 @@ TEXT_RULES = (
 )
 
 
-def findings(df: DataFrame, severity: str, rule: str, key: Column, message: Column | str) -> DataFrame:
+def as_column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def findings(df: DataFrame, severity: str, rule: str, key: Column | str, message: Column | str) -> DataFrame:
     message = F.lit(message) if isinstance(message, str) else message
     return df.select(F.lit(severity).alias("severity"), F.lit(rule).alias("rule"),
-                     key.cast("string").alias("key"), message.alias("message"))
+                     as_column(key).cast("string").alias("key"), message.alias("message"))
 
 
 def row_key(*columns: str) -> Column:
@@ -84,15 +88,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                     F.concat(F.lit("appears "), F.col("n").cast("string"), F.lit(" times")))
 
 
-def required_fields(df: DataFrame, key: Column, fields: Sequence[str]) -> DataFrame:
+def required_fields(df: DataFrame, key: Column | str, fields: Sequence[str]) -> DataFrame:
     """One finding per row and field that is missing or blank."""
     missing = F.array(*[
         F.when(pr.blank(F.col(f"`{f}`").cast("string")), F.lit(f)) for f in fields])
-    hit = df.select(key.alias("__key"), F.explode(F.filter(missing, lambda x: x.isNotNull())).alias("field"))
+    hit = df.select(as_column(key).alias("__key"), F.explode(F.filter(missing, lambda x: x.isNotNull())).alias("field"))
     return findings(hit, ERROR, "required", F.col("__key"), F.concat(F.lit("missing "), F.col("field")))
 
 
-def allowed_values(df: DataFrame, key: Column, field: str, allowed: Iterable | DataFrame,
+def allowed_values(df: DataFrame, key: Column | str, field: str, allowed: Iterable | DataFrame,
                    severity: str = WARNING) -> DataFrame:
     """Rows whose non-blank value is not in the allowed set (list, or one-column frame)."""
     value = F.col(f"`{field}`")
@@ -106,10 +110,10 @@ def allowed_values(df: DataFrame, key: Column, field: str, allowed: Iterable | D
                     F.concat(F.lit(f"{field}: unexpected value "), value.cast("string")))
 
 
-def unsafe_patterns(df: DataFrame, key: Column, criteria: str = "criteria") -> DataFrame:
+def unsafe_patterns(df: DataFrame, key: Column | str, criteria: str = "criteria") -> DataFrame:
     """ILIKE patterns without wildcard, or open at the end only; one finding per pattern."""
     patterns = F.regexp_extract_all(F.coalesce(F.col(criteria), F.lit("")), F.lit(r"(?i)ILIKE\s*'([^']*)'"), F.lit(1))
-    each = df.select(key.alias("__key"), F.explode(patterns).alias("p"))
+    each = df.select(as_column(key).alias("__key"), F.explode(patterns).alias("p"))
     prefix_only = F.col("p").endswith("%") & ~F.col("p").startswith("%")
     message = (
         F.when(~F.col("p").contains("%"),
@@ -125,7 +129,7 @@ def any_pattern(value: Column, patterns: Iterable[str], ignore_case: bool = True
     return reduce(lambda a, b: a | b, [value.rlike(flag + p) for p in patterns])
 
 
-def missing_scope(df: DataFrame, key: Column, name: str = "variable",
+def missing_scope(df: DataFrame, key: Column | str, name: str = "variable",
                   patterns: Iterable[str] = CONCEPT_NAMES) -> DataFrame:
     """Rows named after a specific concept that have neither criteria nor a value set."""
     open_rows = df.where(~has_scope(F.col("criteria"), F.col("match")))
@@ -135,7 +139,7 @@ def missing_scope(df: DataFrame, key: Column, name: str = "variable",
         F.coalesce(F.col("column"), F.lit("?")), F.lit(" row")))
 
 
-def text_rules(df: DataFrame, key: Column, fields: Sequence[str],
+def text_rules(df: DataFrame, key: Column | str, fields: Sequence[str],
                rules: Sequence[tuple[str, str]] = TEXT_RULES, severity: str = WARNING) -> DataFrame:
     """One finding per row, field and rule found in the whole text, in a single scan.
 
@@ -145,13 +149,13 @@ def text_rules(df: DataFrame, key: Column, fields: Sequence[str],
         F.array(*[F.when(F.col(f).rlike(p), F.struct(F.lit(f).alias("field"), F.lit(label).alias("label")))
                   for p, label in rules])
         for f in fields])
-    found = df.select(key.alias("__key"), F.filter(hits, lambda h: h.isNotNull()).alias("h"))
+    found = df.select(as_column(key).alias("__key"), F.filter(hits, lambda h: h.isNotNull()).alias("h"))
     each = found.where(F.size("h") > 0).select("__key", F.inline("h"))
     return findings(each, severity, "text_rule", F.col("__key"), F.concat(
         F.col("field"), F.lit(" hits style denylist — "), F.col("label")))
 
 
-def id_name_mismatch(df: DataFrame, key: Column, name: str = "variable", column: str = "column",
+def id_name_mismatch(df: DataFrame, key: Column | str, name: str = "variable", column: str = "column",
                      expression: str = "expression", id_column: str = ID_COLUMN) -> DataFrame:
     """An id column under a name that does not say so; expressions are not judged."""
     target = pr.stripped(F.col(f"`{column}`"))
@@ -161,7 +165,7 @@ def id_name_mismatch(df: DataFrame, key: Column, name: str = "variable", column:
         F.coalesce(F.col(name), F.lit("")), F.lit(" points at ID column "), target))
 
 
-def int_list(df: DataFrame, key: Column, items: str) -> DataFrame:
+def int_list(df: DataFrame, key: Column | str, items: str) -> DataFrame:
     """Rows whose list holds entries that are no integers."""
     bad = F.filter(F.col(items), lambda x: ~F.coalesce(F.trim(x), F.lit("")).rlike(r"^-?[0-9]+$"))
     hit = df.withColumn("__bad", bad).where(F.size("__bad") > 0)
@@ -169,37 +173,37 @@ def int_list(df: DataFrame, key: Column, items: str) -> DataFrame:
         F.lit(f"{items} entries must be integers, got "), F.array_join("__bad", ", ", "NULL")))
 
 
-def mutually_exclusive(df: DataFrame, key: Column, first: Column, second: Column, message: str) -> DataFrame:
+def mutually_exclusive(df: DataFrame, key: Column | str, first: Column, second: Column, message: str) -> DataFrame:
     return findings(df.where(first & second), ERROR, "mutually_exclusive", key, message)
 
 
-def suffix(df: DataFrame, key: Column, field: Column, ending: str, when: Column) -> DataFrame:
+def suffix(df: DataFrame, key: Column | str, field: Column, ending: str, when: Column) -> DataFrame:
     """A field that should end with a suffix where another field is set."""
     value = pr.stripped(field)
     hit = df.where(when & (value != "") & ~value.endswith(ending))
     return findings(hit, WARNING, "suffix", key, F.concat(value, F.lit(f" does not end with {ending}")))
 
 
-def identifier(df: DataFrame, key: Column, field: Column) -> DataFrame:
+def identifier(df: DataFrame, key: Column | str, field: Column) -> DataFrame:
     """A field that, when present, must be a plain identifier."""
     hit = df.where(field.isNotNull() & ~pr.stripped(field).rlike(IDENTIFIER))
     return findings(hit, ERROR, "identifier", key, F.concat(F.lit("not a plain identifier: "), field))
 
 
-def enum(df: DataFrame, key: Column, field: Column, allowed: Iterable[str] = PROPOSALS) -> DataFrame:
+def enum(df: DataFrame, key: Column | str, field: Column, allowed: Iterable[str] = PROPOSALS) -> DataFrame:
     value = pr.stripped(field)
     hit = df.where((value != "") & ~value.isin(*allowed))
     return findings(hit, ERROR, "enum", key, F.concat(
         value, F.lit(f" is not one of {', '.join(allowed)}")))
 
 
-def conditional_required(df: DataFrame, key: Column, scoped: Column, field: Column, name: str) -> DataFrame:
+def conditional_required(df: DataFrame, key: Column | str, scoped: Column, field: Column, name: str) -> DataFrame:
     """A scoped row needs the field."""
     hit = df.where(scoped & (pr.stripped(field) == ""))
     return findings(hit, ERROR, "conditional_required", key, f"criteria/match has no {name}")
 
 
-def metadata_shape(df: DataFrame, key: Column, strings: Sequence[str] = (), lists: Sequence[str] = (),
+def metadata_shape(df: DataFrame, key: Column | str, strings: Sequence[str] = (), lists: Sequence[str] = (),
                    sign_off: str | None = None) -> DataFrame:
     """Optional metadata given as JSON text: dates are strings, lists are arrays, the sign-off
     is an object with a reviewer.  Absent (NULL) values pass."""
@@ -220,7 +224,7 @@ def metadata_shape(df: DataFrame, key: Column, strings: Sequence[str] = (), list
         reviewer = F.get_json_object(text, "$.reviewer")
         check(text, is_object, f"{sign_off} must be a mapping")
         checks.append(F.when(is_object & pr.blank(reviewer), F.lit(f"{sign_off} has no reviewer")))
-    each = df.select(key.alias("__key"), F.explode(F.filter(F.array(*checks), lambda m: m.isNotNull())).alias("m"))
+    each = df.select(as_column(key).alias("__key"), F.explode(F.filter(F.array(*checks), lambda m: m.isNotNull())).alias("m"))
     return findings(each, ERROR, "metadata_shape", F.col("__key"), F.col("m"))
 
 
@@ -261,7 +265,7 @@ def summary(found: DataFrame, scope: Column) -> DataFrame:
         .withColumn("scope", F.coalesce("scope", F.lit("total"))))
 
 
-def catalog_findings(catalog: DataFrame, key: Column, known_categories: Iterable[str]) -> DataFrame:
+def catalog_findings(catalog: DataFrame, key: Column | str, known_categories: Iterable[str]) -> DataFrame:
     """Every check of a variable catalogue, as one findings frame."""
     ids = F.coalesce(F.size("match.concept_ids"), F.lit(0)) > 0
     values = (F.coalesce(F.size("match.values"), F.lit(0)) > 0) | (pr.stripped(F.col("match.values_file")) != "")
