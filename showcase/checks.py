@@ -89,7 +89,8 @@ MISSING_SCOPE = (f"with {PART_CATALOG} " + found_sql(
 
 # the fixed rules plus some that ordinary prose trips over
 PROSE_RULES = ck.TEXT_RULES + (
-    (r"(?i)license", "license wording"), (r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", "e-mail address"))
+    (r"(?i)license", "license wording", ("license",)),
+    (r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", "e-mail address", ("@",)))
 
 
 def check_text_rules(spark, sf):
@@ -100,7 +101,7 @@ def check_text_rules(spark, sf):
 
 
 def _rules_sql(rules):
-    return ("(values " + ", ".join(f"({q(p)}, {q(label)})" for p, label in rules) + ") as r(pattern, label)")
+    return ("(values " + ", ".join(f"({q(p)}, {q(label)})" for p, label, *_ in rules) + ") as r(pattern, label)")
 
 
 def _text_rule(key, field, source, rules):

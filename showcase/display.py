@@ -22,9 +22,9 @@ def percent_sql(v: str) -> str:
 def format_numbers(spark, sf):
     rows = table(spark, sf, "lineitem")
     return rows.select(
-        "l_orderkey", "l_linenumber", text.number(F.col("l_extendedprice")).alias("price"),
-        text.number(F.col("l_extendedprice") * F.col("l_discount") / 7).alias("share"),
-        text.number(F.col("l_tax") / 1000).alias("small"), text.number(F.col("l_quantity")).alias("quantity"))
+        "l_orderkey", "l_linenumber", F.expr(text.numbers(
+            "l_extendedprice", "l_extendedprice * l_discount / 7", "l_tax / 1000", "l_quantity")).alias("t")
+    ).selectExpr("l_orderkey", "l_linenumber", "t[0] as price", "t[1] as share", "t[2] as small", "t[3] as quantity")
 
 
 FORMAT_NUMBERS = (
@@ -35,8 +35,8 @@ FORMAT_NUMBERS = (
 
 def format_percent(spark, sf):
     rows = table(spark, sf, "events_n")
-    return rows.select("event_id", text.percent(F.col("value")).alias("value_pct"),
-                       text.percent(F.lit(100.0) * F.col("value") / 640.0).alias("share_pct"))
+    return rows.selectExpr("event_id", f"{text.percent('value')} as value_pct",
+                           f"{text.percent('(100D * value / 640D)')} as share_pct")
 
 
 FORMAT_PERCENT = (f"select event_id, {percent_sql('value')} as value_pct, "
@@ -47,8 +47,7 @@ def numeric_summary_text(spark, sf):
     found = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
         F.min("l_extendedprice").alias("a"), F.max("l_extendedprice").alias("b"),
         F.round(F.avg("l_extendedprice"), 4).alias("c"), F.round(F.stddev_samp("l_extendedprice"), 4).alias("d"))
-    return found.select("l_suppkey", text.numeric_summary(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
-                        .alias("summary"))
+    return found.selectExpr("l_suppkey", f"{text.numeric_summary('a', 'b', 'c', 'd')} as summary")
 
 
 NUMERIC_SUMMARY = (
@@ -61,7 +60,7 @@ NUMERIC_SUMMARY = (
 def _median(spark, sf, render):
     found = pf.column_profile(retail(spark, sf, "orders", "lineitem", "customer"), parts={"quartiles"})
     found = found.where("median is not null")
-    return found.select("table", "column", render(F.col("q1"), F.col("median"), F.col("q3")).alias("median_iqr"))
+    return found.selectExpr("table", "column", f"{render('q1', 'median', 'q3')} as median_iqr")
 
 
 def median_iqr_text(spark, sf):
@@ -91,7 +90,7 @@ def _plain_sql(v: str) -> str:
 def date_range_text(spark, sf):
     found = table(spark, sf, "orders_n").groupBy("o_custkey").agg(
         F.min("o_orderdate").cast("string").alias("a"), F.max("o_orderdate").cast("string").alias("b"))
-    return found.select("o_custkey", text.date_range(F.col("a"), F.col("b")).alias("dates"))
+    return found.selectExpr("o_custkey", f"{text.date_range('a', 'b')} as dates")
 
 
 DATE_RANGE = ("select o_custkey, coalesce('Min: ' || min(o_orderdate)::varchar || ', Max: ' || "
@@ -132,29 +131,28 @@ SHARE = "' (' || format('{:.1f}%', 100.0::double * n / total) || ')'"
 
 
 def value_distribution_text(spark, sf):
-    return _label_lists(spark, sf, 5).select(
-        "p_brand", text.value_distribution(F.col("top"), F.col("total")).alias("cell"))
+    return _label_lists(spark, sf, 5).selectExpr("p_brand", f"{text.value_distribution('top', 'total')} as cell")
 
 
 def variable_distribution_text(spark, sf):
-    return _label_lists(spark, sf, 10).select(
-        "p_brand", text.variable_distribution(F.col("top"), F.col("total")).alias("cell"))
+    return _label_lists(spark, sf, 10).selectExpr(
+        "p_brand", f"{text.variable_distribution('top', 'total')} as cell")
 
 
 def distribution_cell(spark, sf):
     """Half of the brands have no distribution text and fall back to value and count."""
     lists = _label_lists(spark, sf, 5)
-    given = F.when(F.col("p_brand") < "Brand#2", text.value_distribution(F.col("top"), F.col("total"))).otherwise("")
-    return lists.select("p_brand", text.distribution_cell(given, F.col("top")).alias("cell"))
+    given = f"if(p_brand < 'Brand#2', {text.value_distribution('top', 'total')}, '')"
+    return lists.selectExpr("p_brand", f"{text.distribution_cell(given, 'top')} as cell")
 
 
 def values_cell(spark, sf):
-    return _label_lists(spark, sf, 20).select("p_brand", text.values_cell(F.col("top")).alias("cell"))
+    return _label_lists(spark, sf, 20).selectExpr("p_brand", f"{text.values_cell('top')} as cell")
 
 
 def observed_values_cell(spark, sf):
-    return _label_lists(spark, sf, 20).select(
-        "p_brand", text.observed_values(text.top_labels(F.col("top"))).alias("cell"))
+    return _label_lists(spark, sf, 20).selectExpr(
+        "p_brand", f"{text.observed_values(text.top_labels('top'))} as cell")
 
 
 def example_value(spark, sf):
@@ -184,10 +182,9 @@ def _example_sql() -> str:
 
 
 def clean_array_map(spark, sf):
-    found = table(spark, sf, "documents").select(
-        "doc_id", text.clean_list(F.split("text", "[.]")).alias("items"),
-        text.clean_map(F.create_map(F.lit("lang"), F.concat(F.lit("  "), F.col("lang"), F.lit(" ")),
-                                    F.lit("source"), F.concat(F.col("source"), F.lit("  ")))).alias("m"))
+    given = "map('lang', concat('  ', lang, ' '), 'source', concat(source, '  '))"
+    found = table(spark, sf, "documents").selectExpr(
+        "doc_id", f"{text.clean_list('split(text, \'[.]\')')} as items", f"{text.clean_map(given)} as m")
     return found.select("doc_id", F.size("items").cast("long").alias("n_items"),
                         F.md5(F.array_join("items", "|")).alias("items_md5"),
                         F.col("m")["lang"].alias("lang"), F.col("m")["source"].alias("source"))

@@ -231,16 +231,16 @@ MODEL_DOCUMENT = (f"select {len(TABLES)}::bigint as tables, {sum(len(columns(t))
 AUDIENCES = ("technical", "pharma", "customer", "sales")
 
 
-def _kept_model(spark, sf):
+def _light_model(spark, sf):
     """Only what the audience filters look at: the model is measured once for four views."""
     registry, catalog = _registry(spark, sf), demo_catalog(spark)
     return md.build_model(SPEC, registry, catalog, CONFIG, generated_at=STAMP, revision="r1",
-                          parts={"nulls", "counts"}).kept()
+                          parts={"nulls", "counts", "subjects"})
 
 
 def audience_filter(spark, sf):
     """Rows of columns and variables left per audience."""
-    model = _kept_model(spark, sf)
+    model = _light_model(spark, sf)
     out = None
     for a in AUDIENCES:
         seen = au.view(model, a, CONFIG.layout)
@@ -285,7 +285,7 @@ AUDIENCE_EXCLUDE = union(f"select '{t}' as \"table\", {len(columns(t))}::bigint
 
 def audience_visibility(spark, sf):
     """Visible sections with their record counts, per audience."""
-    model = _kept_model(spark, sf)
+    model = _light_model(spark, sf)
     out = None
     for a in AUDIENCES:
         seen = au.view(model, a, CONFIG.layout)
@@ -308,7 +308,7 @@ VISIBILITY = union(
 
 def audience_view(spark, sf):
     """The customer's view: variables with their coverage."""
-    seen = au.view(_kept_model(spark, sf), "customer", CONFIG.layout)
+    seen = au.view(_light_model(spark, sf), "customer", CONFIG.layout)
     return seen.variables.select("category", "variable", "implemented",
                                  F.round("completeness_pct", 4).alias("completeness_pct"))
 
@@ -344,8 +344,13 @@ def _summary_sql():
     return f"with b as (select *, (select count(*) from customer) as n from ({_BOUNDS}) as x) " + union(out)
 
 
+def _tables(spark, sf, config, own):
+    registry = _registry(spark, sf)
+    return md.tables_section(registry, pf.table_profile(registry), config, own)
+
+
 def layout_tables(spark, sf):
-    tables = md._tables_section(_registry(spark, sf), CONFIG, enrich.category_frame(spark, SPEC.category_rules))
+    tables = _tables(spark, sf, CONFIG, enrich.category_frame(spark, SPEC.category_rules))
     return au.tables_layout(tables, "technical")
 
 
@@ -362,7 +367,7 @@ def _tables_layout_sql(fields):
 
 
 def layout_tables_customer(spark, sf):
-    tables = md._tables_section(_registry(spark, sf), CONFIG, enrich.category_frame(spark, SPEC.category_rules))
+    tables = _tables(spark, sf, CONFIG, enrich.category_frame(spark, SPEC.category_rules))
     return au.tables_layout(au.drop_tables(tables, set(HIDDEN)), "customer")
 
 
@@ -370,7 +375,7 @@ def layout_columns(spark, sf):
     """Technical layout without the text cells that other queries check."""
     registry = retail(spark, sf, "customer", "orders_n", "nation")
     found = pf.column_profile(registry, parts={"nulls", "subjects"})
-    section = md._columns_section(registry, found, CONFIG, enrich.category_frame(spark, SPEC.category_rules))
+    section = md.columns_section(registry, found, CONFIG, enrich.category_frame(spark, SPEC.category_rules))
     return au.columns_layout(section, "technical").drop("Example", "Values", "Distribution", "Median (IQR)")
 
 

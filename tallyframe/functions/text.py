@@ -1,14 +1,15 @@
-"""Display text of statistics, as column expressions.
+"""Display text of statistics.
 
 Numbers stay numbers until a section is rendered; these functions are that last step.
+They take and return SQL expressions (names of columns as a rule), for ``selectExpr`` or
+``F.expr``: long expressions are cheap to build that way.
+
 Rounding follows the exact binary value with ties to even, as C and Python print it,
 while the JVM formatter rounds the shortest decimal half up, so ties are resolved first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # Placeholders and cut-off of displayed text.
 DASH = "—"
 RANGE_DASH = "–"
@@ -17,184 +18,179 @@ LABEL_LIMIT = 60
 LABEL_CUT = 57
 LABELS_SHOWN = 10
 
+NO_LABELS = "cast(array() as array<string>)"
+
+
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to a value computed once per row, however often it is used."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once per row, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
 
+def plain(text: str) -> str:
+    """Decimal text without trailing zeros."""
+    return f"regexp_replace({text}, '[.]?0+$', '')"
 
-def _product_gap(a: Column, b: Column, near: Column) -> Column:
-    """Exact sign of a*b - near, by splitting both factors into halves."""
-    def halves(x: Column) -> Column:
-        c = x * F.lit(134217729.0)
-        high = c - (c - x)
-        return F.struct(high.alias("high"), (x - high).alias("low"))
 
-    return _let(F.struct(halves(a).alias("a"), halves(b).alias("b"), (a * b).alias("p")), lambda s: (
-        (s["p"] - near)
-        + (s["a"]["low"] * s["b"]["low"]
-           - (((s["p"] - s["a"]["high"] * s["b"]["high"]) - s["a"]["low"] * s["b"]["high"])
-              - s["a"]["high"] * s["b"]["low"]))))
+def _gap(a: str, b: str, near: str) -> str:
+    """Sign of the exact a*b - near: both factors are split into halves whose products are exact."""
+    error = "(k.a - k.ah) * (k.b - k.bh) - (((k.p - k.ah * k.bh) - (k.a - k.ah) * k.bh) - k.ah * (k.b - k.bh))"
+    halves = ("struct(h.a, h.b, h.ca - (h.ca - h.a) as ah, h.cb - (h.cb - h.b) as bh, h.a * h.b as p)")
+    spread = f"struct({a} as a, {b} as b, {a} * 134217729D as ca, {b} * 134217729D as cb)"
+    return let("h", spread, let("k", halves, f"(k.p - {near}) + ({error})"))
 
 
-def _round_five(digits: Column, gap: Column) -> Column:
+def _round_five(digits: str, gap: str) -> str:
     """A number ending in 5, in tens, rounded by the sign of the exact remainder, ties to even."""
-    return _let(F.floor(digits / F.lit(10)).cast("long"), lambda tens:
-                tens + F.when((gap > 0) | ((gap == 0) & (tens % 2 == 1)), 1).otherwise(0))
+    tens = f"({digits} div 10)"
+    return let("g", gap, f"{tens} + if(g > 0 or (g = 0 and {tens} % 2 = 1), 1, 0)")
 
 
-def one_decimal(value: Column) -> Column:
+def one_decimal(value: str) -> str:
     """``%.1f`` text."""
-    def settle(s: Column) -> Column:
-        tie = (s["h"] % 10 == 5) & (s["h"].cast("double") / 100.0 == s["v"])
-        gap = _product_gap(s["v"], F.lit(100.0), s["h"].cast("double"))
-        return F.when(tie, _round_five(s["h"], gap).cast("double") / 10.0).otherwise(s["v"])
+    tie = "s.h % 10 = 5 and double(s.h) / 100D = s.v"
+    nearest = f"double({_round_five('s.h', _gap('s.v', '100D', 'double(s.h)'))}) / 10D"
+    size = "struct(n, abs(n) as v, bigint(if(abs(n) < 1e13, round(abs(n) * 100D), null)) as h)"
+    exact = let("s", size, f"if(s.n < 0, -1D, 1D) * if({tie}, {nearest}, s.v)")
+    return let("n", f"double({value})", f"format_string('%.1f', {exact})")
 
-    size = F.abs(value)
-    hundredths = F.when(size < 1e13, F.round(size * 100)).cast("long")
-    exact = _let(F.struct(size.alias("v"), hundredths.alias("h")), settle)
-    return F.format_string("%.1f", F.when(value < 0, -exact).otherwise(exact))
 
-
-def _settled_at_three(size: Column) -> Column:
+def _settled_at_three(size: str) -> str:
     """A positive number moved off a four-digit tie onto its three-digit neighbour."""
-    def split(text: Column) -> Column:
-        return F.struct(
-            F.replace(F.substring_index(text, "e", 1), F.lit("."), F.lit("")).cast("long").alias("digits"),
-            (F.lit(3) - F.substring_index(text, "e", -1).cast("int")).alias("shift"))
-
-    def settle(s: Column) -> Column:
-        scale = F.pow(F.lit(10.0), F.abs(s["shift"]).cast("double"))
-        whole = s["digits"].cast("double")
-        below = (s["shift"] >= 0) & (s["shift"] <= 22) & (whole / scale == size)
-        above = (s["shift"] < 0) & (s["shift"] >= -18) & (whole * scale == size)
-        tens_below = _round_five(s["digits"], _product_gap(size, scale, whole)).cast("double")
-        tens_above = _round_five(s["digits"], F.lit(0.0)).cast("double")
-        return (F.when(s["digits"] % 10 != 5, size)
-                .when(below, tens_below / (scale / 10.0))
-                .when(above, tens_above * scale * 10.0)
-                .otherwise(size))
-
-    return _let(split(F.format_string("%.3e", size)), settle)
-
-
-def _three_digits(value: Column) -> Column:
+    whole = "double(s.digits)"
+    below = f"s.shift between 0 and 22 and {whole} / s.scale = s.v"
+    above = f"s.shift between -18 and -1 and {whole} * s.scale = s.v"
+    down = f"double({_round_five('s.digits', _gap('s.v', 's.scale', whole))}) / (s.scale / 10D)"
+    up = f"double({_round_five('s.digits', '0D')}) * s.scale * 10D"
+    settled = f"case when s.digits % 10 <> 5 then s.v when {below} then {down} when {above} then {up} else s.v end"
+    parts = ("struct(e.v, bigint(replace(substring_index(e.t, 'e', 1), '.', '')) as digits, "
+             "3 - int(substring_index(e.t, 'e', -1)) as shift, "
+             "pow(10D, abs(3D - double(substring_index(e.t, 'e', -1)))) as scale)")
+    return let("e", f"struct({size} as v, format_string('%.3e', {size}) as t)", let("s", parts, settled))
+
+
+def _three_digits(value: str) -> str:
     """``%.3g`` text of a finite number that is not a plain integer."""
-    def write(text: Column) -> Column:
-        mantissa = F.substring_index(text, "e", 1)
-        scientific = F.concat(F.regexp_replace(mantissa, r"\.?0+$", ""), F.lit("e"),
-                              F.substring_index(text, "e", -1))
-        plain = F.regexp_replace(F.format_string("%.10f", text.cast("double")), r"\.?0+$", "")
-        order = F.substring_index(text, "e", -1).cast("int")
-        return F.when((order < -4) | (order >= 3), scientific).otherwise(plain)
-
-    text = _let(F.format_string("%.2e", _settled_at_three(F.abs(value))), write)
-    return F.concat(F.when(value < 0, "-").otherwise(""), text)
+    mantissa, power = "substring_index(t, 'e', 1)", "substring_index(t, 'e', -1)"
+    scientific = f"concat({plain(mantissa)}, 'e', {power})"
+    fixed = plain("format_string('%.10f', double(t))")
+    shown = f"if(int({power}) < -4 or int({power}) >= 3, {scientific}, {fixed})"
+    text = let("t", f"format_string('%.2e', {_settled_at_three(f'abs({value})')})", shown)
+    return f"concat(if({value} < 0, '-', ''), {text})"
 
 
-def number(value: Column) -> Column:
+def number(value: str) -> str:
     """At most three significant digits; integers below 1e15 plain; a dash for NULL."""
-    whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
-    return (
-        F.when(value.isNull(), DASH)
-        .when(F.isnan(value), "NaN")
-        .when(F.abs(value) == float("inf"), F.when(value > 0, "Infinity").otherwise("-Infinity"))
-        .when(whole, F.when(whole, value).cast("long").cast("string"))
-        .otherwise(_three_digits(value))
-    )
+    whole = "n = floor(n) and abs(n) < 1e15"
+    shown = (
+        f"case when n is null then '{DASH}' when isnan(n) then 'NaN' "
+        f"when abs(n) = double('infinity') then if(n > 0, 'Infinity', '-Infinity') "
+        f"when {whole} then string(bigint(if({whole}, n, null))) else {_three_digits('n')} end")
+    return let("n", f"double({value})", shown)
+
 
+def numbers(*values: str) -> str:
+    """Array of number texts."""
+    return f"transform(array({', '.join(f'double({v})' for v in values)}), m -> {number('m')})"
 
-def percent(value: Column) -> Column:
-    return F.when(value.isNull(), DASH).otherwise(F.concat(one_decimal(value), F.lit("%")))
 
+def percent(value: str) -> str:
+    return f"if({value} is null, '{DASH}', concat({one_decimal(value)}, '%'))"
 
-def numeric_summary(low: Column, high: Column, mean: Column, std: Column) -> Column:
-    text = F.concat(F.lit("Min: "), number(low), F.lit(", Max: "), number(high),
-                    F.lit(", Mean: "), number(mean), F.lit(" (std: "), number(std), F.lit(")"))
-    return F.when(low.isNull(), "").otherwise(text)
 
+def double_label(value: str) -> str:
+    """Plain decimal text: ``5`` for 5.0 and no exponent below 1e15."""
+    whole = "n = floor(n) and abs(n) < 1e15"
+    shown = (f"case when {whole} then string(bigint(if({whole}, n, null))) "
+             f"when abs(n) >= 1e7 and abs(n) < 1e15 then {plain('string(try_cast(n as decimal(38,9)))')} "
+             f"else string(n) end")
+    return let("n", f"double({value})", shown)
 
-def median_iqr(q1: Column, median: Column, q3: Column) -> Column:
+
+def numeric_summary(low: str, high: str, mean: str, std: str) -> str:
+    shown = let("t", numbers(low, high, mean, std),
+                "concat('Min: ', t[0], ', Max: ', t[1], ', Mean: ', t[2], ' (std: ', t[3], ')')")
+    return f"if({low} is null, '', {shown})"
+
+
+def median_iqr(q1: str, median: str, q3: str) -> str:
     """Column form: short numbers and an en dash."""
-    text = F.concat(F.lit("Median: "), number(median), F.lit(" (IQR: "), number(q1),
-                    F.lit(RANGE_DASH), number(q3), F.lit(")"))
-    return F.when(median.isNull(), "").otherwise(text)
+    shown = let("t", numbers(q1, median, q3),
+                f"concat('Median: ', t[1], ' (IQR: ', t[0], '{RANGE_DASH}', t[2], ')')")
+    return f"if({median} is null, '', {shown})"
 
 
-def variable_median(q1: Column, median: Column, q3: Column) -> Column:
+def variable_median(q1: str, median: str, q3: str) -> str:
     """Variable form: unrounded numbers and a hyphen."""
-    from tallyframe.functions.labels import double_label
-    text = F.concat(F.lit("Median: "), double_label(median), F.lit(" (IQR: "), double_label(q1),
-                    F.lit("-"), double_label(q3), F.lit(")"))
-    return F.when(median.isNull(), "").otherwise(text)
+    shown = (f"concat('Median: ', {double_label(median)}, ' (IQR: ', {double_label(q1)}, '-', "
+             f"{double_label(q3)}, ')')")
+    return f"if({median} is null, '', {shown})"
+
 
+def date_range(low: str, high: str) -> str:
+    return f"if({low} is null, '', concat('Min: ', {low}, ', Max: ', {high}))"
 
-def date_range(low: Column, high: Column) -> Column:
-    return F.when(low.isNull(), "").otherwise(F.concat(F.lit("Min: "), low, F.lit(", Max: "), high))
 
+def cut_label(value: str) -> str:
+    return f"if(length({value}) <= {LABEL_LIMIT}, {value}, concat(substring({value}, 1, {LABEL_CUT}), '...'))"
 
-def cut_label(value: Column) -> Column:
-    return F.when(F.length(value) <= LABEL_LIMIT, value).otherwise(
-        F.concat(F.substring(value, 1, LABEL_CUT), F.lit("...")))
 
+def _share(label: str, total: str) -> str:
+    return f"concat({label}, ': ', x.n, ' (', {one_decimal(f'100D * x.n / {total}')}, '%)')"
 
-def value_distribution(top: Column, row_count: Column) -> Column:
+
+def value_distribution(top: str, row_count: str) -> str:
     """Column form: ``value: n (p%)`` over all rows, long labels cut."""
-    parts = F.transform(top, lambda t: F.concat(
-        cut_label(t["value"]), F.lit(": "), t["n"].cast("string"), F.lit(" ("),
-        one_decimal(F.lit(100.0) * t["n"] / row_count), F.lit("%)")))
-    text = F.array_join(parts, "; ")
-    return F.when(top.isNull() | (row_count <= 0), "").otherwise(text)
+    parts = f"transform({top}, x -> {_share(cut_label('x.value'), row_count)})"
+    return f"if({top} is null or {row_count} <= 0, '', array_join({parts}, '; '))"
 
 
-def _shown(label: Column) -> Column:
-    return F.when(F.coalesce(label, F.lit("")) == "", NULL_LABEL).otherwise(label)
+def _shown(label: str) -> str:
+    return f"if(coalesce({label}, '') = '', '{NULL_LABEL}', {label})"
 
 
-def top_labels(top: Column) -> Column:
+def top_labels(top: str) -> str:
     """First ten labels of a variable; empty labels are named."""
-    labels = F.transform(F.slice(top, 1, LABELS_SHOWN), lambda t: _shown(t["value"]))
-    return F.coalesce(labels, F.array().cast("array<string>"))
+    return f"coalesce(transform(slice({top}, 1, {LABELS_SHOWN}), x -> {_shown('x.value')}), {NO_LABELS})"
 
 
-def variable_distribution(top: Column, total: Column) -> Column:
+def variable_distribution(top: str, total: str) -> str:
     """Variable form: share of the scoped non-null rows, labels not cut."""
-    parts = F.transform(top, lambda t: F.concat(
-        _shown(t["value"]), F.lit(": "), t["n"].cast("string"), F.lit(" ("),
-        one_decimal(F.lit(100.0) * t["n"] / total), F.lit("%)")))
-    return F.when(top.isNull() | (total <= 0), "").otherwise(F.array_join(parts, "; "))
+    parts = f"transform({top}, x -> {_share(_shown('x.value'), total)})"
+    return f"if({top} is null or {total} <= 0, '', array_join({parts}, '; '))"
 
 
-def distribution_cell(distribution: Column, top: Column) -> Column:
+def distribution_cell(distribution: str, top: str) -> str:
     """The distribution text if any, else ``value: n`` pairs."""
-    pairs = F.transform(top, lambda t: F.concat(cut_label(t["value"]), F.lit(": "), t["n"].cast("string")))
-    return F.coalesce(F.when(distribution != "", distribution), F.array_join(pairs, "; "), F.lit(""))
+    pairs = f"transform({top}, x -> concat({cut_label('x.value')}, ': ', x.n))"
+    return f"coalesce(nullif({distribution}, ''), array_join({pairs}, '; '), '')"
 
 
-def values_cell(top: Column) -> Column:
-    labels = F.transform(F.slice(top, 1, LABELS_SHOWN), lambda t: t["value"])
-    return F.coalesce(F.array_join(labels, ", "), F.lit(""))
+def values_cell(top: str) -> str:
+    return f"coalesce(array_join(transform(slice({top}, 1, {LABELS_SHOWN}), x -> x.value), ', '), '')"
 
 
-def observed_values(labels: Column) -> Column:
+def observed_values(labels: str) -> str:
     """One label per line, so that commas inside a label are kept."""
-    return F.coalesce(F.array_join(labels, "\n"), F.lit(""))
+    return f"coalesce(array_join({labels}, '\\n'), '')"
 
 
-def example_value(first_label: Column, low: Column) -> Column:
+def example_value(first_label: str, low: str) -> str:
     """A representative value: the most frequent label, else the lower end of the range."""
-    return F.coalesce(first_label, low, F.lit(""))
+    return f"coalesce({first_label}, {low}, '')"
+
+
+def free_text_note(rows: str) -> str:
+    return f"concat(format_number({rows}, 0), ' rows; values not aggregated (free text)')"
 
 
-def free_text_note(rows: Column) -> Column:
-    return F.concat(F.format_number(rows, 0), F.lit(" rows; values not aggregated (free text)"))
+def clean(value: str) -> str:
+    return f"regexp_replace({value}, '^[ \\\\t\\\\r\\\\n\\\\f]+|[ \\\\t\\\\r\\\\n\\\\f]+$', '')"
 
 
-def clean_list(items: Column) -> Column:
+def clean_list(items: str) -> str:
     """Trimmed entries, blanks dropped."""
-    trimmed = F.transform(items, lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-    return F.coalesce(F.filter(trimmed, lambda x: x != ""), F.array().cast("array<string>"))
+    return f"coalesce(filter(transform({items}, x -> {clean('x')}), x -> x <> ''), {NO_LABELS})"
 
 
-def clean_map(entries: Column) -> Column:
-    return F.transform_values(entries, lambda k, v: F.regexp_replace(v, r"^\s+|\s+$", ""))
+def clean_map(entries: str) -> str:
+    return f"transform_values({entries}, (k, v) -> {clean('v')})"

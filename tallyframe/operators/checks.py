@@ -28,42 +28,43 @@ IDENTIFIER = r"^[A-Za-z_][A-Za-z0-9_]*$"
 PROPOSALS = ("Standard", "Custom")
 REQUIRED_COHORT_FIELDS = ("provider", "disease", "schema_name", "cohort_name")
 
-# Wording that must not reach readers of the dictionary, as (pattern, label).
+# Wording that must not reach readers of the dictionary, as (pattern, label,
+# lower-case words one of which every match contains; none where there is no such word).
 TEXT_RULES = (
     (r"(?i)\b(adrd|aat|alzheimers|respiratory|copd|asthma|ckd|retinal|dr|amd|mash|ibd)_common\b",
-     "pack-file reference"),
-    (r"\b(MTC|RMN)\b", "cohort short-name (MTC / RMN)"),
-    (r"(?i)\bcohort[- ]defining\b", "pack mechanics: 'cohort-defining'"),
-    (r"(?i)\bcaptured\s+in\b", "pack mechanics: 'captured in'"),
-    (r"(?i)\binherit(s|ed|ing)?\s+(from|by)\b", "pack mechanics: 'inherits from / inherited by'"),
-    (r"(?i)\bowned\s+here\b", "pack mechanics: 'owned here'"),
-    (r"(?i)\bredacted\s+by\b", "pack mechanics: 'redacted by'"),
-    (r"(?i)\b(technical|sales|pharma)\s+audience\b", "audience tag in customer copy"),
-    (r"(?i)\bfor\s+both\b", "pack mechanics: 'for both' (cohort-cross-reference)"),
-    (r"(?i)\bsurface\s+it\b", "pack mechanics: 'surface it'"),
-    (r"\bILIKE\b", "SQL fragment: ILIKE"),
-    (r"\bSELECT\b", "SQL fragment: SELECT"),
-    (r"(?i)\sJOIN\s", "SQL fragment: JOIN"),
-    (r"(?i)\sFROM\s+\w+_\w+", "SQL fragment: FROM <table>"),
-    (r"\bextraction_type\b", "generator key 'extraction_type'"),
-    (r"\bvalue_as_concept_name\b", "generator column 'value_as_concept_name'"),
-    (r"(?i)\bbanned\s+wildcard", "QA language: 'banned wildcard' (move to YAML comment)"),
-    (r"(?i)\bcriteria\s+restricted", "QA language: 'criteria restricted' (move to YAML comment)"),
-    (r"(?i)\bearlier\s+draft", "QA language: 'earlier draft' (move to YAML comment)"),
-    (r"(?i)\bdeliberately\b", "QA language: 'deliberately' (move rationale to YAML comment)"),
-    (r"\bTODO\b", "QA language: 'TODO' (move to YAML comment)"),
-    (r"(?i)\bAND-qualifier\b", "QA language: 'AND-qualifier' (move SQL rationale to YAML comment)"),
-    (r"(?i)\bdouble-?count\w*", "QA language: 'double count' (rephrase as a clinical caveat)"),
+     "pack-file reference", ("_common",)),
+    (r"\b(MTC|RMN)\b", "cohort short-name (MTC / RMN)", ("mtc", "rmn")),
+    (r"(?i)\bcohort[- ]defining\b", "pack mechanics: 'cohort-defining'", ("cohort",)),
+    (r"(?i)\bcaptured\s+in\b", "pack mechanics: 'captured in'", ("captured",)),
+    (r"(?i)\binherit(s|ed|ing)?\s+(from|by)\b", "pack mechanics: 'inherits from / inherited by'", ("inherit",)),
+    (r"(?i)\bowned\s+here\b", "pack mechanics: 'owned here'", ("owned",)),
+    (r"(?i)\bredacted\s+by\b", "pack mechanics: 'redacted by'", ("redacted",)),
+    (r"(?i)\b(technical|sales|pharma)\s+audience\b", "audience tag in customer copy", ("audience",)),
+    (r"(?i)\bfor\s+both\b", "pack mechanics: 'for both' (cohort-cross-reference)", ("both",)),
+    (r"(?i)\bsurface\s+it\b", "pack mechanics: 'surface it'", ("surface",)),
+    (r"\bILIKE\b", "SQL fragment: ILIKE", ("ilike",)),
+    (r"\bSELECT\b", "SQL fragment: SELECT", ("select",)),
+    (r"(?i)\sJOIN\s", "SQL fragment: JOIN", ("join",)),
+    (r"(?i)\sFROM\s+\w+_\w+", "SQL fragment: FROM <table>", ("from",)),
+    (r"\bextraction_type\b", "generator key 'extraction_type'", ("extraction_type",)),
+    (r"\bvalue_as_concept_name\b", "generator column 'value_as_concept_name'", ("value_as_concept_name",)),
+    (r"(?i)\bbanned\s+wildcard", "QA language: 'banned wildcard' (move to YAML comment)", ("banned",)),
+    (r"(?i)\bcriteria\s+restricted", "QA language: 'criteria restricted' (move to YAML comment)", ("criteria",)),
+    (r"(?i)\bearlier\s+draft", "QA language: 'earlier draft' (move to YAML comment)", ("earlier",)),
+    (r"(?i)\bdeliberately\b", "QA language: 'deliberately' (move rationale to YAML comment)", ("deliberately",)),
+    (r"\bTODO\b", "QA language: 'TODO' (move to YAML comment)", ("todo",)),
+    (r"(?i)\bAND-qualifier\b", "QA language: 'AND-qualifier' (move SQL rationale to YAML comment)", ("and-qualifier",)),
+    (r"(?i)\bdouble-?count\w*", "QA language: 'double count' (rephrase as a clinical caveat)", ("double",)),
     (r"`(value_as_(string|number|concept_name|datetime)|\w*_concept_(name|id)|drug_(concept_id|exposure)|"
      r"condition_occurrence|procedure_occurrence|observation|measurement|note_text|drug_concept_name)`",
-     "backticked schema field in customer copy (rephrase using the clinical concept)"),
-    (r"\*\*[^*]+\*\*", "markdown emphasis '**...**' (drop or rephrase)"),
-    (r"(?i)\bImplemented\s*[:=]\s*(Yes|No)\b", "generator field 'Implemented: Yes/No' in customer copy"),
-    (r"\ba\s+[AEIOaeio]", "article-vowel mismatch ('a' before a/e/i/o-initial word — usually should be 'an')"),
+     "backticked schema field in customer copy (rephrase using the clinical concept)", ("`",)),
+    (r"\*\*[^*]+\*\*", "markdown emphasis '**...**' (drop or rephrase)", ("**",)),
+    (r"(?i)\bImplemented\s*[:=]\s*(Yes|No)\b", "generator field 'Implemented: Yes/No' in customer copy", ("implemented",)),
+    (r"\ba\s+[AEIOaeio]", "article-vowel mismatch ('a' before a/e/i/o-initial word — usually should be 'an')", ()),
     (r"(?i)\bmatches\s+the\s+.+?\s+family\b",
-     "generic template: 'matches the X family' (rewrite as a clinical definition; see packs/STYLE.md)"),
+     "generic template: 'matches the X family' (rewrite as a clinical definition; see packs/STYLE.md)", ("family",)),
     (r"(?i)\bmatches\s+an?\s+\w+.*\s+(drug|entry|report)\b",
-     "auto-translated SQL phrasing ('matches a X drug / entry / report'); rewrite as a clinical definition"),
+     "auto-translated SQL phrasing ('matches a X drug / entry / report'); rewrite as a clinical definition", ("matches",)),
 )
 
 
@@ -140,16 +141,24 @@ def missing_scope(df: DataFrame, key: Column | str, name: str = "variable",
 
 
 def text_rules(df: DataFrame, key: Column | str, fields: Sequence[str],
-               rules: Sequence[tuple[str, str]] = TEXT_RULES, severity: str = WARNING) -> DataFrame:
+               rules: Sequence[tuple] = TEXT_RULES, severity: str = WARNING) -> DataFrame:
     """One finding per row, field and rule found in the whole text, in a single scan.
 
-    The rules are expressions of one projection: rows are never joined with rules, and
-    only texts with a hit leave the scan."""
-    hits = F.concat(*[
-        F.array(*[F.when(F.col(f).rlike(p), F.struct(F.lit(f).alias("field"), F.lit(label).alias("label")))
-                  for p, label in rules])
-        for f in fields])
-    found = df.select(as_column(key).alias("__key"), F.filter(hits, lambda h: h.isNotNull()).alias("h"))
+    Rules are (pattern, label) or (pattern, label, words): a plain search for the words settles
+    most rows before the pattern is tried.  The rules are expressions of one projection: rows
+    are never joined with rules, and only texts with a hit leave the scan."""
+    lowered = df.select(as_column(key).alias("__key"), *fields,
+                        *[F.lower(F.col(f)).alias(f"__low_{f}") for f in fields])
+
+    def hit(field: str, pattern: str, label: str, words: Sequence[str] = ()) -> Column:
+        found = F.col(field).rlike(pattern)
+        if words:
+            near = reduce(lambda a, b: a | b, [F.col(f"__low_{field}").contains(w) for w in words])
+            found = near & found
+        return F.when(found, F.struct(F.lit(field).alias("field"), F.lit(label).alias("label")))
+
+    hits = F.array(*[hit(f, *rule) for f in fields for rule in rules])
+    found = lowered.select("__key", F.filter(hits, lambda h: h.isNotNull()).alias("h"))
     each = found.where(F.size("h") > 0).select("__key", F.inline("h"))
     return findings(each, severity, "text_rule", F.col("__key"), F.concat(
         F.col("field"), F.lit(" hits style denylist — "), F.col("label")))

@@ -162,16 +162,16 @@ def tables_layout(tables: DataFrame, audience: str) -> DataFrame:
 
 def columns_layout(columns: DataFrame, audience: str) -> DataFrame:
     shown = (
-        columns.withColumn("completeness_text", text.percent(F.col("completeness_pct")))
-        .withColumn("patient_text", text.percent(F.col("patient_pct")))
+        columns.withColumn("completeness_text", F.expr(text.percent("completeness_pct")))
+        .withColumn("patient_text", F.expr(text.percent("patient_pct")))
         .withColumn("pii_text", F.when(F.col("pii"), "Yes").otherwise("")))
     return _project(shown, LAYOUTS[audience][2])
 
 
 def variables_layout(variables: DataFrame, audience: str) -> DataFrame:
     shown = (
-        variables.withColumn("completeness_text", text.percent(F.col("completeness_pct")))
-        .withColumn("patient_text", text.percent(F.col("patient_pct"))))
+        variables.withColumn("completeness_text", F.expr(text.percent("completeness_pct")))
+        .withColumn("patient_text", F.expr(text.percent("patient_pct"))))
     return _project(shown, LAYOUTS[audience][3])
 
 

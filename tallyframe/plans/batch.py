@@ -78,7 +78,7 @@ def batch_results(spark: SparkSession, jobs: Sequence[Job], dry_run: bool = Fals
 def write_batch(spark: SparkSession, jobs: Iterable[Job], directory: str,
                 audiences: Sequence[str] = ("technical",), config: Enrichment | None = None,
                 fmt: str = "parquet", dry_run: bool = False) -> tuple[dict[str, list[str]], dict[str, str]]:
-    """Measure each cohort once, write every audience's sections from the kept model.
+    """Measure each cohort once, write every audience's sections from the same model.
 
     Returns the written paths and the errors, both by cohort slug."""
     paths, errors = {}, {}
@@ -87,7 +87,7 @@ def write_batch(spark: SparkSession, jobs: Iterable[Job], directory: str,
         slug = job.spec.slug
         try:
             registry, catalog = job.open(spark)
-            model = md.build_model(job.spec, registry, catalog, config, dry_run).kept()
+            model = md.build_model(job.spec, registry, catalog, config, dry_run)
             written = []
             for audience in audiences:
                 written += sinks.write_sections(au.sections(model, audience, layout), directory,

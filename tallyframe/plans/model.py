@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
@@ -78,7 +78,8 @@ class CohortSpec:
 
 @dataclass(frozen=True)
 class Model:
-    """Four section frames; ``dry_run`` marks a model without measured data."""
+    """Four section frames over kept measurements, so that deriving views rescans nothing;
+    ``dry_run`` marks a model without measured data."""
     spec: CohortSpec
     summary: DataFrame
     tables: DataFrame
@@ -90,9 +91,6 @@ class Model:
         return {"summary": self.summary, "tables": self.tables,
                 "columns": self.columns, "variables": self.variables}
 
-    def kept(self) -> "Model":
-        """The same model, measured once and kept, to derive several views from."""
-        return replace(self, **{k: materialize(v) for k, v in self.sections().items()})
 
 
 def date_coverage(profile: DataFrame, candidates: Sequence[tuple[str, str]]) -> DataFrame:
@@ -135,22 +133,16 @@ def ordered(df: DataFrame, *names: str) -> DataFrame:
 
 def column_display(profile: DataFrame) -> DataFrame:
     """Add the text cells of a column profile."""
-    top = F.col("top_values")
-    numbers = text.numeric_summary(F.col("min_num"), F.col("max_num"), F.col("mean"), F.col("std"))
-    dates = text.date_range(F.col("min_date"), F.col("max_date"))
-    shares = text.value_distribution(top, F.col("row_count"))
-    low = F.coalesce(F.when(F.col("min_num").isNotNull(), text.number(F.col("min_num"))), F.col("min_date"))
-    return (
-        profile
-        .withColumn("value_distribution", shares)
-        .withColumn("numeric_summary", F.when(dates != "", dates).otherwise(numbers))
-        .withColumn("values", text.values_cell(top))
-        .withColumn("distribution", F.when(F.col("value_distribution") != "", F.col("value_distribution"))
-                    .otherwise(F.col("numeric_summary")))
-        .withColumn("median_iqr", text.median_iqr(F.col("q1"), F.col("median"), F.col("q3")))
-        .withColumn("example", text.example_value(F.get(top, F.lit(0))["value"], low))
-        .withColumn("nullable", F.when(F.col("nullable"), "Yes").otherwise("No"))
-    )
+    shown = profile.withColumn("nullable", F.when(F.col("nullable"), "Yes").otherwise("No")).selectExpr(
+        "*", f"{text.value_distribution('top_values', 'row_count')} as value_distribution",
+        f"case when min_date is not null then {text.date_range('min_date', 'max_date')} "
+        f"else {text.numeric_summary('min_num', 'max_num', 'mean', 'std')} end as numeric_summary",
+        f"{text.median_iqr('q1', 'median', 'q3')} as median_iqr",
+        f"{text.values_cell('top_values')} as values",
+        f"if(min_num is null, min_date, {text.number('min_num')}) as low")
+    return shown.selectExpr(
+        "*", "coalesce(nullif(value_distribution, ''), numeric_summary) as distribution",
+        f"{text.example_value('get(top_values, 0).value', 'low')} as example").drop("low")
 
 
 def basic_dictionary(profile: DataFrame) -> DataFrame:
@@ -163,7 +155,7 @@ def basic_dictionary(profile: DataFrame) -> DataFrame:
         F.col("table").alias("Table(s)"), F.col("column").alias("Column(s)"), blank.alias("Criteria"),
         F.col("values").alias("Values"), F.col("distribution").alias("Distribution"),
         F.col("median_iqr").alias("Median (IQR)"),
-        text.percent(F.col("completeness_pct")).alias("Completeness"),
+        F.expr(text.percent("completeness_pct")).alias("Completeness"),
         kind.alias("Extraction Type"), blank.alias("Notes"))
 
 
@@ -178,7 +170,7 @@ def basic_summary(registry: Registry, cohort: str) -> DataFrame:
     return registry.spark.createDataFrame(rows, "metric string, value string")
 
 
-def _columns_section(registry: Registry, profile: DataFrame, config: Enrichment, own: DataFrame) -> DataFrame:
+def columns_section(registry: Registry, profile: DataFrame, config: Enrichment, own: DataFrame) -> DataFrame:
     spark = registry.spark
     shown = column_display(profile)
     shown = enrich.with_category(shown, enrich.category_frame(spark, config.categories), own)
@@ -195,15 +187,15 @@ def _columns_section(registry: Registry, profile: DataFrame, config: Enrichment,
                 "nullable", "example", "coding_schema", "data_source"))
 
 
-def _tables_section(registry: Registry, config: Enrichment, own: DataFrame) -> DataFrame:
+def tables_section(registry: Registry, tables: DataFrame, config: Enrichment, own: DataFrame) -> DataFrame:
     spark = registry.spark
-    found = enrich.with_category(pf.table_profile(registry), enrich.category_frame(spark, config.categories), own)
+    found = enrich.with_category(tables, enrich.category_frame(spark, config.categories), own)
     found = enrich.with_table_description(found, enrich.description_frame(spark, config.table_descriptions))
     return found.select("table", "category", "row_count", "column_count", "subject_count",
                         *enrich.TABLE_FIELDS)
 
 
-def _variables_section(spark, profile: DataFrame, config: Enrichment) -> DataFrame:
+def variables_section(spark, profile: DataFrame, config: Enrichment) -> DataFrame:
     shown = vb.with_display(profile)
     return enrich.with_sensitive_flag(
         shown, enrich.sensitive_frame(spark, config.sensitive_pairs), config.sensitive_patterns)
@@ -230,7 +222,9 @@ def _summary_section(spark, spec: CohortSpec, patients: int | None, tables: int,
         F.lit(tables).cast("int").alias("table_count"), F.lit(columns).cast("int").alias("column_count"),
         "min_date", "max_date", "years_of_data", "contributing_columns",
         F.col("digest").alias("schema_snapshot_digest"),
-        text.clean_list(limitations).alias("known_limitations"), text.clean_map(sign_off).alias("sign_off"))
+        limitations.alias("known_limitations"), sign_off.alias("sign_off"),
+    ).withColumns({"known_limitations": F.expr(text.clean_list("known_limitations")),
+                   "sign_off": F.expr(text.clean_map("sign_off"))})
 
 
 def build_model(spec: CohortSpec, registry: Registry, catalog: DataFrame,
@@ -246,7 +240,7 @@ def build_model(spec: CohortSpec, registry: Registry, catalog: DataFrame,
     stamp = generated_at or datetime.now(timezone.utc).isoformat(timespec="seconds")
     own = enrich.category_frame(spark, spec.category_rules)
     if dry_run:
-        bare = Registry(spark, registry.schema_name, [])
+        bare, parts = Registry(spark, registry.schema_name, []), None
         profile = spark.createDataFrame([], INVENTORY)
         empty = {c: F.lit(None).cast(t) for c, t in pf.PROFILE_TYPES.items()}
         profile = profile.withColumns({c: v for c, v in empty.items() if c not in profile.columns})
@@ -259,16 +253,18 @@ def build_model(spec: CohortSpec, registry: Registry, catalog: DataFrame,
         patients = registry.subject_total()
         table_count = len(registry.tables)
         column_count = sum(len(t.data.columns) for t in registry.tables.values())
-        # read three times below: sections, date coverage, digest
-        profile = materialize(profile)
+        # measured once; every section and every audience's view is derived from what is kept
+        profile, measured = materialize(profile), materialize(measured)
+    with_subjects = parts is None or "subjects" in parts
+    tables = pf.tables_of(bare, profile) if with_subjects else pf.table_profile(bare)
     return Model(
         spec=spec,
         summary=_summary_section(spark, spec, patients, table_count, column_count,
                                  date_coverage(profile, config.date_candidates), schema_digest(profile),
                                  stamp, revision),
-        tables=ordered(_tables_section(bare, config, own), "category", "table"),
-        columns=ordered(_columns_section(bare, profile, config, own), "category", "table", "column"),
-        variables=ordered(_variables_section(spark, measured, config), "category", "variable"),
+        tables=ordered(tables_section(bare, tables, config, own), "category", "table"),
+        columns=ordered(columns_section(bare, profile, config, own), "category", "table", "column"),
+        variables=ordered(variables_section(spark, measured, config), "category", "variable"),
         dry_run=dry_run,
     )
 

@@ -123,6 +123,19 @@ def table_profile(registry: Registry, names: Iterable[str] | None = None) -> Dat
     ).select("schema", "table", "row_count", "column_count", "subject_count")
 
 
+def tables_of(registry: Registry, profile: DataFrame) -> DataFrame:
+    """The table profile read off a column profile with subject counts: the subjects of a table
+    are the distinct values of its key column, so no table is scanned again."""
+    keys = [(t.name, t.subject_key) for t in registry.tables.values() if t.subject_key]
+    is_key = F.lit(False)
+    for name, key in keys:
+        is_key = is_key | ((F.col("table") == name) & (F.col("column") == key))
+    subjects = F.max(F.when(is_key & (F.col("row_count") > 0), F.col("subject_count")))
+    return profile.groupBy("schema", "table").agg(
+        F.max("row_count").alias("row_count"), F.count(F.lit(1)).cast("int").alias("column_count"),
+        subjects.alias("subject_count"))
+
+
 def top_values(registry: Registry, names: Iterable[str], limit: int = SAMPLE_VALUES,
                concept_limit: int = SAMPLE_VALUES_CONCEPT, basic: bool = False) -> DataFrame:
     """(table, column, rank, value, n, pct_of_rows) of the categorical columns.

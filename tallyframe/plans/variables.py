@@ -63,6 +63,38 @@ def _type_of(table: Table, column: Column) -> T.DataType:
     return table.data.select(column).schema[0].dataType
 
 
+def _is_long_set(row: Row) -> bool:
+    """The predicate is a list of strings too long for an IN list."""
+    match = row["match"]
+    return (match is not None and bool(match["values"]) and not match["concept_ids"]
+            and len(match["values"]) > pr.IN_LIST_LIMIT and bool((match["column"] or "").strip()))
+
+
+def _first_line(error: Exception) -> str:
+    return next((x for x in str(error).splitlines() if x.strip()), type(error).__name__)
+
+
+def _sound_scope(table: Table, scope_text: str | None, membership):
+    try:
+        if membership:
+            _type_of(table, pr.column(membership[0]))
+            return None, membership, ""
+        scope = pr.condition(scope_text)
+        if scope is not None and not isinstance(_type_of(table, scope), T.BooleanType):
+            return F.lit(False), None, f"criteria: not a condition: {scope_text}"
+        return scope, None, ""
+    except (AnalysisException, ParseException) as e:
+        return F.lit(False), None, f"criteria: {_first_line(e)}"
+
+
+def _sound_value(table: Table, value_text: str | None, column: str):
+    try:
+        value = pr.expression(value_text) if value_text else pr.column(column)
+        return value, _type_of(table, value), ""
+    except (AnalysisException, ParseException) as e:
+        return F.lit(None).cast("string"), T.StringType(), f"expression: {_first_line(e)}"
+
+
 def plan_variable(registry: Registry, key: str, row: Row, parts: Collection[str] = ALL_PARTS) -> Planned:
     """``row`` is a prepared catalogue row.  Analysis errors are recorded, not raised: a bad
     expression leaves the scope count, a bad predicate leaves nothing in scope."""
@@ -75,27 +107,26 @@ def plan_variable(registry: Registry, key: str, row: Row, parts: Collection[str]
     errors = []
 
     membership = None
-    listed = row["match"]["values"] if row["match"] is not None else None
-    ids = row["match"]["concept_ids"] if row["match"] is not None else None
-    long_list = bool(listed) and not ids and len(listed) > pr.IN_LIST_LIMIT and row["criteria"].startswith('"')
+    if _is_long_set(row):
+        membership = (row["match"]["column"].strip(), row["match"]["values"])
+    scope_text = None if membership else row["criteria"]
+    value_text = row["expression"] if has_expression else None
     try:
-        if long_list:
-            membership = (row["match"]["column"].strip(), listed)
-            _type_of(table, pr.column(membership[0]))
-            scope = F.col(f"__in_{key}")
-        else:
-            scope = pr.condition(row["criteria"])
-            if scope is not None and not isinstance(_type_of(table, scope), T.BooleanType):
-                raise ValueError(f"criteria is not a condition: {row['criteria']}")
-    except (AnalysisException, ParseException, ValueError) as e:
-        errors.append(f"criteria: {str(e).splitlines()[0]}")
-        scope, membership = F.lit(False), None
-    try:
-        value = pr.expression(row["expression"]) if has_expression else pr.column(column)
-        data_type = _type_of(table, value)
-    except (AnalysisException, ParseException) as e:
-        errors.append(f"expression: {str(e).splitlines()[0]}")
-        value, data_type = F.lit(None).cast("string"), T.StringType()
+        # one look at the schema settles a sound row
+        value = pr.expression(value_text) if has_expression else pr.column(column)
+        scope = pr.condition(scope_text)
+        checked = table.data.select(value, *[c for c in (scope, membership and pr.column(membership[0]))
+                                             if c is not None])
+        data_type = checked.schema[0].dataType
+        if scope is not None and not isinstance(checked.schema[1].dataType, T.BooleanType):
+            raise ValueError
+    except (AnalysisException, ParseException, ValueError):
+        scope, membership, problem = _sound_scope(table, scope_text, membership)
+        errors += [problem] if problem else []
+        value, data_type, problem = _sound_value(table, value_text, column)
+        errors += [problem] if problem else []
+    if membership:
+        scope = F.col(f"__in_{key}")
 
     kind = table.kind(column) if table.has_column(column) and not has_expression else kinds.CATEGORICAL
     dates = kind == kinds.DATE and not row["free_text"]
@@ -179,20 +210,14 @@ def dry_run(catalog: DataFrame) -> DataFrame:
 
 def with_display(profile: DataFrame) -> DataFrame:
     """Add the text cells of a variable: labels, values, distribution, median, example."""
-    labels = text.top_labels(F.col("top_values"))
-    ranged = text.date_range(F.col("min_date"), F.col("max_date"))
-    listed = text.variable_distribution(F.col("top_values"), F.col("n_nonnull"))
+    ranged = text.date_range("min_date", "max_date")
     distribution = (
-        F.when(F.col("n_nonnull") <= 0, "")
-        .when(F.col("free_text"), text.free_text_note(F.col("n_nonnull")))
-        .when(ranged != "", ranged)
-        .otherwise(listed))
-    return (
-        profile
-        .withColumn("top_value_labels", labels)
-        .withColumn("values", F.array_join("top_value_labels", ", "))
-        .withColumn("observed_values", text.observed_values(F.col("top_value_labels")))
-        .withColumn("distribution", distribution)
-        .withColumn("median_iqr", text.variable_median(F.col("q1"), F.col("median"), F.col("q3")))
-        .withColumn("example", text.example_value(F.get("top_value_labels", F.lit(0)), F.col("min_date")))
-    )
+        f"case when n_nonnull <= 0 then '' when free_text then {text.free_text_note('n_nonnull')} "
+        f"when min_date is not null then {ranged} else {text.variable_distribution('top_values', 'n_nonnull')} end")
+    return profile.selectExpr(
+        "*", f"{text.top_labels('top_values')} as top_value_labels", f"{distribution} as distribution",
+        f"{text.variable_median('q1', 'median', 'q3')} as median_iqr",
+    ).selectExpr(
+        "*", "array_join(top_value_labels, ', ') as values",
+        f"{text.observed_values('top_value_labels')} as observed_values",
+        f"{text.example_value('get(top_value_labels, 0)', 'min_date')} as example")
