@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Above this many values a set is matched by a join instead of an IN list.
 IN_LIST_LIMIT = 1000
+# A longer set is broadcast up to this size, which is measured first.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 _QUOTED = re.compile(r"('(?:[^']|'')*')")
 
@@ -86,14 +88,20 @@ def in_values(c: Column, values: list) -> Column:
     return c.isin(list(dict.fromkeys(values)))
 
 
+def value_keys(values: DataFrame, name: str = "__value") -> DataFrame:
+    """Distinct non-null values of a one-column frame, broadcast when counted to be small."""
+    column_name = values.columns[0]
+    keys = values.select(F.col(f"`{column_name}`").alias(name)).where(F.col(name).isNotNull()).distinct()
+    size = keys.agg(F.coalesce(F.sum(F.octet_length(F.col(name).cast("string")) + 16), F.lit(0))).first()[0]
+    return F.broadcast(keys) if size <= BROADCAST_BYTES else keys
+
+
 def with_membership(df: DataFrame, name: str, values: DataFrame, flag: str) -> DataFrame:
     """Add a flag "``name`` is in ``values``" (one-column frame) for sets too long for IN.
 
-    A left join on distinct values: Spark broadcasts them when their size allows and
-    otherwise shuffles both sides, where adaptive execution splits a hot value."""
-    value = values.columns[0]
-    keys = values.select(F.col(value).alias("__value")).where("__value is not null").distinct()
-    joined = df.join(keys, column(name) == F.col("__value"), "left")
+    A left join on distinct values.  Beyond the broadcast size both sides are shuffled, where
+    adaptive execution splits a hot value."""
+    joined = df.join(value_keys(values), column(name) == F.col("__value"), "left")
     return joined.withColumn(flag, F.col("__value").isNotNull()).drop("__value")
 
 
@@ -105,6 +113,4 @@ def match_filter(df: DataFrame, name: str, values: list | DataFrame) -> DataFram
         kind = df.schema[name].dataType
         values = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(values)], "value string")
         values = values.select(F.col("value").cast(kind).alias("value"))
-    key = values.columns[0]
-    return df.join(values.select(F.col(key).alias("__value")).distinct(),
-                   column(name) == F.col("__value"), "left_semi")
+    return df.join(value_keys(values), column(name) == F.col("__value"), "left_semi")

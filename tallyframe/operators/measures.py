@@ -8,7 +8,7 @@ within method limits), one for value counts and one for distinct subjects.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tallyframe.functions.labels import label
 from tallyframe.operators.quantiles import QUARTILES, order_statistics
 from tallyframe.sources.registry import Table
+from tallyframe.sources.sinks import materialize
 
 CHUNK = 50
 # Up to this many rows the built-in percentile (all distinct values in one task) is used.
@@ -67,14 +68,12 @@ def _number(value: float | None) -> str:
     return "null" if value is None else f"double('{value!r}')"
 
 
-def projected(table: Table, measures: Sequence[Measure], labels: bool = False,
-              extra: Sequence[Column] = ()) -> DataFrame:
+def projected(table: Table, measures: Sequence[Measure], extra: Sequence[Column] = ()) -> DataFrame:
     """The table reduced to the measures: m0, m1, … (value in scope) and s0, s1, … (scope)."""
     columns = list(extra)
     for i, m in enumerate(measures):
-        value = label(m.scoped, m.data_type) if labels else m.scoped
-        columns.append(value.alias(f"m{i}"))
-        if not labels and m.scope is not None:
+        columns.append(m.scoped.alias(f"m{i}"))
+        if m.scope is not None:
             columns.append(m.scope.alias(f"s{i}"))
     return table.data.select(*columns)
 
@@ -127,13 +126,30 @@ def _by_slot(measures: Sequence[Measure], result) -> str:
     return "map(" + ", ".join(f"'m{i}', {result(m)}" for i, m in enumerate(measures)) + ")[slot]"
 
 
+def _group_type(data_type: T.DataType) -> T.DataType:
+    """Type to group by: numbers as they are, everything else by its label."""
+    if isinstance(data_type, T.IntegralType):
+        return T.LongType()
+    return data_type if isinstance(data_type, T.DoubleType) else T.StringType()
+
+
 def value_counts(table: Table, measures: Sequence[Measure]) -> DataFrame:
-    """(slot, value, n) of the non-null scoped labels, all measures in one pass.
+    """(slot, value, n) of the non-null scoped labels; one pass per value type.
 
-    The count is combined map-side, so a hot value costs one row per task."""
-    wide = projected(table, measures, labels=True)
-    long = wide.unpivot([], wide.columns, "slot", "value").where("value is not null")
-    return long.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n"))
+    Numbers are counted as numbers and labelled once per distinct value.  The count is
+    combined map-side, so a hot value costs one row per task."""
+    out = []
+    for group_type in (T.StringType(), T.LongType(), T.DoubleType()):
+        own = [(i, m) for i, m in enumerate(measures) if _group_type(m.data_type) == group_type]
+        if not own:
+            continue
+        values = [label(m.scoped, m.data_type) if group_type == T.StringType() else m.scoped.cast(group_type)
+                  for _, m in own]
+        wide = table.data.select(*[v.alias(f"m{i}") for v, (i, _) in zip(values, own)])
+        long = wide.unpivot([], wide.columns, "slot", "value").where("value is not null")
+        counted = long.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n"))
+        out.append(counted.select("slot", label(F.col("value"), group_type).alias("value"), "n"))
+    return union_all(out)
 
 
 def ranked_values(table: Table, measures: Sequence[Measure]) -> DataFrame:
@@ -173,28 +189,56 @@ def subject_flags(table: Table, measures: Sequence[Measure]) -> DataFrame:
     return rows.where("subject is not null").groupBy("subject").agg(*flags)
 
 
-def subjects_part(table: Table, measures: Sequence[Measure]) -> list[DataFrame]:
+def subjects_part(table: Table, measures: Sequence[Measure], filled: Mapping[str, int] | None = None,
+                  row_count: int = 0) -> list[DataFrame]:
+    """Distinct subjects per measure.
+
+    ``filled`` gives the non-null rows per measure where they are known already: a measure that
+    is never NULL has the table's subjects and one that is always NULL has none, so only columns
+    with some NULLs are read again."""
+    filled = filled or {}
     wanted = [m for m in measures if m.subjects]
+    full = [m for m in wanted if filled.get(m.key) == row_count > 0]
+    none = [m for m in wanted if filled.get(m.key) == 0]
+    open_measures = [m for m in wanted if m not in full and m not in none]
+    if full:
+        subject = table.data.schema[table.subject_key].dataType
+        open_measures.append(Measure("", F.col(table.subject_key), subject))
     out = []
-    for start in range(0, len(wanted), CHUNK):
-        chunk = wanted[start:start + CHUNK]
+    for start in range(0, len(open_measures), CHUNK):
+        chunk = open_measures[start:start + CHUNK]
         counted = subject_flags(table, chunk).selectExpr(
             *[f"coalesce(sum(f{i}), 0) as s{i}" for i in range(len(chunk))])
-        rows = [_row(table.name, _quoted(m.key), subject_count=f"s{i}") for i, m in enumerate(chunk)]
+        rows = []
+        for i, m in enumerate(chunk):
+            for key in [m.key] if m.key else [x.key for x in full]:
+                rows.append(_row(table.name, _quoted(key), subject_count=f"s{i}"))
         out.append(counted.selectExpr(f"inline(array({', '.join(rows)}))"))
+    if none:
+        rows = [_row(table.name, _quoted(m.key), subject_count="0") for m in none]
+        out.append(table.data.sparkSession.range(1).selectExpr(f"inline(array({', '.join(rows)}))"))
     return out
 
 
 def measure_parts(table: Table, measures: Sequence[Measure], row_count: int,
                   row_limit: int | None = None) -> list[DataFrame]:
-    """Every statistic asked for, as frames of the STATISTICS shape.  No scan of an empty table."""
+    """Every statistic asked for, as frames of the STATISTICS shape.  No scan of an empty table.
+
+    For a large table the counts are taken first; what they settle is not scanned for again."""
     if row_count == 0 or not measures:
         return []
     parts = statistics(table, measures, row_count, row_limit)
-    if any(m.top > 0 for m in measures):
-        parts.append(top_values_part(table, measures))
+    limit = PERCENTILE_ROW_LIMIT if row_limit is None else row_limit
+    filled: dict[str, int] = {}
+    if parts and row_count > limit and any(m.subjects or m.top for m in measures):
+        parts = [materialize(union_all(parts))]
+        # one row per measure
+        filled = {r["key"]: r["n_nonnull"] for r in parts[0].where("n_nonnull is not null").collect()}
+    listed = [m for m in measures if m.top > 0 and filled.get(m.key) != 0]
+    if listed:
+        parts.append(top_values_part(table, listed))
     if table.subject_key and any(m.subjects for m in measures):
-        parts.extend(subjects_part(table, measures))
+        parts.extend(subjects_part(table, measures, filled, row_count))
     return parts
 
 

@@ -15,11 +15,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tallyframe.sources.sinks import materialize
+
 QUARTILES = (0.25, 0.5, 0.75)
 BUCKETS = 1024
 # A bracket with at most this many values is sorted within one task.
 SORT_LIMIT = 20_000
 STEPS_PER_OCTAVE = 64
+# From this many values on, what lies in the first brackets is kept instead of rescanned,
+# provided that it is a small part of the whole.
+KEEP_FROM_ROWS = 5_000_000
+KEEP_SHARE = 0.125
 
 _BRACKETS = T.StructType([
     T.StructField("key", T.StringType()),
@@ -89,6 +95,7 @@ def order_statistics(df: DataFrame, values: Mapping[str, Column],
     solved: dict[tuple[str, int], float] = {}
     open_brackets = [tuple(r[:5]) for r in found]
 
+    whole_size, kept = sum(totals.values()), False
     while True:
         wide_open, small = [], []
         for key, lo, hi, n, before in open_brackets:
@@ -99,6 +106,10 @@ def order_statistics(df: DataFrame, values: Mapping[str, Column],
                 small.append((key, lo, hi, n, before))
             else:
                 wide_open.append((key, lo, hi, n, before))
+        still = wide_open + small
+        left = sum(b[3] for b in still)
+        if still and not kept and whole_size >= KEEP_FROM_ROWS and left <= KEEP_SHARE * whole_size:
+            long, kept = materialize(_inside(spark, long, still).select("key", "v")), True
         if small:
             solved.update(_sorted_brackets(spark, long, small, ranks))
         if not wide_open:

@@ -112,13 +112,16 @@ def read_value_list(spark: SparkSession, path: str) -> DataFrame:
 def ordered_union(sources: Sequence[DataFrame]) -> DataFrame:
     """Distinct values of (value, position) lists in first-seen order.
 
-    Result: value, source_rank, position of the first sighting, to order by.  The minimum is
-    combined map-side: no group ever holds the copies of a hot value."""
-    tagged = [s.select("value", F.lit(i).alias("source_rank"), F.col("position").cast("long").alias("position"))
+    Result: value, source_rank, position of the first sighting, to order by.  The state is one
+    number per source and value, combined map-side: no group ever holds the copies of a hot value."""
+    tagged = [s.select("value", F.lit(i).alias("source"), F.col("position").cast("long").alias("position"))
               for i, s in enumerate(sources)]
     both = reduce(DataFrame.unionByName, tagged).where(F.col("value").isNotNull())
-    first = both.groupBy("value").agg(F.min(F.struct("source_rank", "position")).alias("first"))
-    return first.select("value", "first.source_rank", "first.position")
+    places = [f"p{i}" for i in range(len(sources))]
+    first = both.groupBy("value").agg(*[
+        F.min(F.when(F.col("source") == i, F.col("position"))).alias(p) for i, p in enumerate(places)])
+    rank = F.coalesce(*[F.when(F.col(p).isNotNull(), i) for i, p in enumerate(places)])
+    return first.select("value", rank.alias("source_rank"), F.coalesce(*places).alias("position"))
 
 
 def inline_value_files(spark: SparkSession, catalog: DataFrame, root: str) -> DataFrame:

@@ -218,3 +218,22 @@ def test_date_coverage(spark):
     assert (row["min_date"], row["max_date"], row["years_of_data"]) == ("2019-01-01 08:00:00", "2021-06-01", 2.41)
     none = md.date_coverage(pf.column_profile(registry(spark)), md.DATE_CANDIDATES).first()
     assert (none["min_date"], none["years_of_data"], none["contributing_columns"]) == (None, None, [])
+
+
+def test_large_path_equals_the_small_one(spark):
+    """Counts first, quartiles by narrowing, subjects only of partly filled columns."""
+    data = spark.range(3000).select(
+        (F.col("id") % 70).alias("person_id"), (F.col("id") * 0.5).alias("full"),
+        F.when(F.col("id") % 70 < 20, F.col("id")).alias("some"), F.lit(None).cast("string").alias("none"),
+        F.when(F.col("id") % 3 > 0, "x").alias("cat"), F.lit(dt.date(2024, 1, 1)).alias("day"))
+    reg = registry(spark, Table("t", data, "person_id"))
+    order = lambda df: sorted(df.collect(), key=lambda r: r["column"])
+    small, large = order(pf.column_profile(reg, ["t"])), order(pf.column_profile(reg, ["t"], row_limit=0))
+    assert small == large
+    assert {r["column"]: r["subject_count"] for r in large} == {
+        "person_id": 70, "full": 70, "some": 20, "none": 0, "cat": 70, "day": 70}
+    rows = ct.catalog_frame(spark, [
+        dict(variable="a", table="t", column="some", criteria="cat = 'x'"), dict(variable="b", table="t", column="none"),
+        dict(variable="c", table="t", column="full"), dict(variable="d", table="t", column="full", criteria="full < 0")])
+    assert vb.variable_profile(reg, rows).orderBy("variable").collect() == \
+        vb.variable_profile(reg, rows, row_limit=0).orderBy("variable").collect()

@@ -68,3 +68,13 @@ def test_many_keys_nulls_and_scopes(spark, narrow):
 def test_any_list(spark, narrow, values):
     found = qs.order_statistics(frame(spark, values), {"v": F.col("v")})
     assert found["v"] == pytest.approx(expected(values), rel=1e-9, abs=1e-300)
+
+
+def test_brackets_are_kept_instead_of_rescanned(spark, monkeypatch):
+    monkeypatch.setattr(qs, "KEEP_FROM_ROWS", 100)
+    monkeypatch.setattr(qs, "SORT_LIMIT", 10)
+    rng = random.Random(3)
+    values = [rng.lognormvariate(0, 3) for _ in range(20_000)]
+    found = qs.order_statistics(frame(spark, values), {"v": F.col("v"), "w": -F.col("v")})
+    assert found["v"] == pytest.approx(expected(values), rel=1e-12)
+    assert found["w"] == pytest.approx(expected([-v for v in values]), rel=1e-12)
