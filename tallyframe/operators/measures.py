@@ -19,8 +19,8 @@ from tallyframe.sources.registry import Table
 from tallyframe.sources.sinks import materialize
 
 CHUNK = 50
-# Up to this many rows the built-in percentile (all distinct values in one task) is used.
-PERCENTILE_ROW_LIMIT = 200_000
+# Up to this many rows the values of a column are sorted within one task.
+SORT_ROW_LIMIT = 200_000
 
 TOP_VALUES = T.ArrayType(T.StructType([
     T.StructField("value", T.StringType()), T.StructField("n", T.LongType())]))
@@ -68,6 +68,13 @@ def _number(value: float | None) -> str:
     return "null" if value is None else f"double('{value!r}')"
 
 
+def _interpolated(values: str, p: float) -> str:
+    """Quantile of a sorted array: the two neighbours of its position, joined linearly."""
+    position = f"({p}D * (size({values}) - 1))"
+    low, high = (f"get({values}, int({f}({position})))" for f in ("floor", "ceil"))
+    return f"if({low} = {high}, {low}, {low} + ({high} - {low}) * ({position} - floor({position})))"
+
+
 def projected(table: Table, measures: Sequence[Measure], extra: Sequence[Column] = ()) -> DataFrame:
     """The table reduced to the measures: m0, m1, … (value in scope) and s0, s1, … (scope)."""
     columns = list(extra)
@@ -83,12 +90,11 @@ def statistics(table: Table, measures: Sequence[Measure], row_count: int,
     """Counts, range, moments, quartiles and date range; one aggregate per chunk of measures.
 
     Chunks read disjoint columns of a columnar source, so splitting costs no extra input."""
-    limit = PERCENTILE_ROW_LIMIT if row_limit is None else row_limit
+    limit = SORT_ROW_LIMIT if row_limit is None else row_limit
     wanted = [m for m in measures if m.counts or m.spread or m.quartiles or m.dates]
     large = [m for m in wanted if m.quartiles] if row_count > limit else []
     found = order_statistics(table.data, {m.key: m.scoped for m in large}) if large else {}
     wanted = [m for m in wanted if m.counts or m.spread or m.dates or not large or m.key in found]
-    probabilities = ", ".join(str(p) for p in QUARTILES)
     out = []
     for start in range(0, len(wanted), CHUNK):
         chunk = wanted[start:start + CHUNK]
@@ -104,7 +110,7 @@ def statistics(table: Table, measures: Sequence[Measure], row_count: int,
                 terms.update(min_num=f"min({number})", max_num=f"max({number})",
                              mean=f"avg({number})", std=f"stddev_samp({number})")
             if m.quartiles and not large:
-                terms["q"] = f"percentile(double(m{i}), array({probabilities}))"
+                terms["q"] = f"sort_array(collect_list(double(m{i})))"
             if m.dates:
                 terms.update(min_date=f"min(m{i})", max_date=f"max(m{i})")
             aggregates += [f"{term} as {name}_{i}" for name, term in terms.items()]
@@ -112,7 +118,7 @@ def statistics(table: Table, measures: Sequence[Measure], row_count: int,
             if m.counts and m.scope is None:
                 fields["n_scope"] = "n_rows"
             if "q" in terms:
-                fields.update(q1=f"q_{i}[0]", median=f"q_{i}[1]", q3=f"q_{i}[2]")
+                fields.update(zip(("q1", "median", "q3"), [_interpolated(f"q_{i}", p) for p in QUARTILES]))
             elif m.quartiles:
                 fields.update(zip(("q1", "median", "q3"), map(_number, found.get(m.key, [None] * 3))))
             rows.append(_row(table.name, _quoted(m.key), **fields))
@@ -228,9 +234,9 @@ def measure_parts(table: Table, measures: Sequence[Measure], row_count: int,
     if row_count == 0 or not measures:
         return []
     parts = statistics(table, measures, row_count, row_limit)
-    limit = PERCENTILE_ROW_LIMIT if row_limit is None else row_limit
+    limit = SORT_ROW_LIMIT if row_limit is None else row_limit
     filled: dict[str, int] = {}
-    if parts and row_count > limit and any(m.subjects or m.top for m in measures):
+    if parts and row_count > limit and table.subject_key and any(m.subjects for m in measures):
         parts = [materialize(union_all(parts))]
         # one row per measure
         filled = {r["key"]: r["n_nonnull"] for r in parts[0].where("n_nonnull is not null").collect()}

@@ -1,7 +1,7 @@
 """Exact interpolated quantiles whose state stays bounded at any table size.
 
-``percentile`` keeps every distinct value of a column in one task, which is fine
-for a table of checked size only.  Beyond that the order statistics are found by
+Sorting a column's values within one task, or ``percentile`` with its distinct values, is
+fine for a table of checked size only.  Beyond that the order statistics are found by
 narrowing: each round counts the values per bucket (a map-side combined
 aggregate with a bounded number of groups), keeps the bucket that holds the
 wanted rank, and looks at its values only in the next round.  Buckets are
