@@ -147,18 +147,18 @@ def text_rules(df: DataFrame, key: Column | str, fields: Sequence[str],
     Rules are (pattern, label) or (pattern, label, words): a plain search for the words settles
     most rows before the pattern is tried.  The rules are expressions of one projection: rows
     are never joined with rules, and only texts with a hit leave the scan."""
-    lowered = df.select(as_column(key).alias("__key"), *fields,
-                        *[F.lower(F.col(f)).alias(f"__low_{f}") for f in fields])
-
-    def hit(field: str, pattern: str, label: str, words: Sequence[str] = ()) -> Column:
+    def hit(field: str, low: Column, pattern: str, label: str, words: Sequence[str] = ()) -> Column:
         found = F.col(field).rlike(pattern)
         if words:
-            near = reduce(lambda a, b: a | b, [F.col(f"__low_{field}").contains(w) for w in words])
-            found = near & found
+            found = reduce(lambda a, b: a | b, [low.contains(w) for w in words]) & found
         return F.when(found, F.struct(F.lit(field).alias("field"), F.lit(label).alias("label")))
 
-    hits = F.array(*[hit(f, *rule) for f in fields for rule in rules])
-    found = lowered.select("__key", F.filter(hits, lambda h: h.isNotNull()).alias("h"))
+    def hits(field: str) -> Column:
+        # the lower-case text is bound once per row, not once per rule
+        return F.flatten(F.transform(F.array(F.lower(F.col(field))), lambda low: F.filter(
+            F.array(*[hit(field, low, *rule) for rule in rules]), lambda h: h.isNotNull())))
+
+    found = df.select(as_column(key).alias("__key"), F.concat(*[hits(f) for f in fields]).alias("h"))
     each = found.where(F.size("h") > 0).select("__key", F.inline("h"))
     return findings(each, severity, "text_rule", F.col("__key"), F.concat(
         F.col("field"), F.lit(" hits style denylist — "), F.col("label")))
