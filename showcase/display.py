@@ -59,7 +59,8 @@ NUMERIC_SUMMARY = (
 
 def _median(spark, sf, render):
     found = pf.column_profile(retail(spark, sf, "orders", "lineitem", "customer"), parts={"quartiles"})
-    found = found.where("median is not null")
+    # rounded, because engines join the two neighbours of a position with different last bits
+    found = found.where("median is not null").withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
     return found.selectExpr("table", "column", f"{render('q1', 'median', 'q3')} as median_iqr")
 
 
@@ -76,7 +77,7 @@ def _median_sql(show, dash) -> str:
     for t, cs in (("orders", ["o_totalprice"]), ("customer", ["c_acctbal"]),
                   ("lineitem", ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])):
         for c in cs:
-            a, b, d = (show(f"quantile_cont({c}, {p})::double") for p in (0.25, 0.5, 0.75))
+            a, b, d = (show(f"round(quantile_cont({c}, {p})::double, 4)") for p in (0.25, 0.5, 0.75))
             out.append(f"select '{t}' as \"table\", '{c}' as \"column\", 'Median: ' || {b} || ' (IQR: ' || {a} || "
                        f"'{dash}' || {d} || ')' as median_iqr from {t}")
     return " union all ".join(out)
