@@ -62,7 +62,7 @@ TEXT_RULES = (
     (r"(?i)\bImplemented\s*[:=]\s*(Yes|No)\b", "generator field 'Implemented: Yes/No' in customer copy", ("implemented",)),
     (r"\ba\s+[AEIOaeio]", "article-vowel mismatch ('a' before a/e/i/o-initial word — usually should be 'an')", ()),
     (r"(?i)\bmatches\s+the\s+.+?\s+family\b",
-     "generic template: 'matches the X family' (rewrite as a clinical definition; see packs/STYLE.md)", ("family",)),
+     "generic template: 'matches the X family' (rewrite as a clinical definition)", ("family",)),
     (r"(?i)\bmatches\s+an?\s+\w+.*\s+(drug|entry|report)\b",
      "auto-translated SQL phrasing ('matches a X drug / entry / report'); rewrite as a clinical definition", ("matches",)),
 )

@@ -81,17 +81,17 @@ def test_ordered_union_with_a_hot_value(spark):
 
 
 LAYERS = {
-    "adrd": {"variables": [dict(category="D", variable="Sex", notes="base"), dict(category="D", variable="Age")]},
-    "aat": {"include": ["adrd"], "variables": [dict(category="M", variable="Drug", notes="shared")]},
-    "mtc": {"include": ["aat"], "variables": [dict(category=" D ", variable="Sex", notes="local"),
+    "base": {"variables": [dict(category="D", variable="Sex", notes="first"), dict(category="D", variable="Age")]},
+    "disease": {"include": ["base"], "variables": [dict(category="M", variable="Drug", notes="shared")]},
+    "local": {"include": ["disease"], "variables": [dict(category=" D ", variable="Sex", notes="own"),
                                               dict(category="M", variable="Extra")]},
 }
 
 
 def test_layers_override_in_place(spark):
-    merged = ct.layered_catalog(spark, LAYERS, "mtc").collect()
+    merged = ct.layered_catalog(spark, LAYERS, "local").collect()
     assert [(r["variable"], r["notes"], r["layer"]) for r in merged] == [
-        ("Sex", "local", "mtc"), ("Age", None, "adrd"), ("Drug", "shared", "aat"), ("Extra", None, "mtc")]
+        ("Sex", "own", "local"), ("Age", None, "base"), ("Drug", "shared", "disease"), ("Extra", None, "local")]
 
 
 def test_includes():

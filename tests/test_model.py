@@ -223,7 +223,7 @@ def test_catalogue_checks(spark):
         "Drug": (dict(column="drug_concept_id"), ["id_name_mismatch"]),
         "Drug Concept ID": (dict(column="drug_concept_id"), []),
         "Upper": (dict(column="drug_id", expression="upper(drug_id)"), []),
-        "Wording": (dict(notes="TODO: inherits from adrd_common"), ["text_rule"] * 4),
+        "Wording": (dict(notes="TODO: inherits from ckd_common"), ["text_rule"] * 4),
         "Ids": (dict(match=ids), []),
         "Bad ids": (dict(match={**ids, "concept_ids": [1, "x"]}), ["int_list"]),
         "Both": (dict(match={**ids, "values": ["a"]}), ["mutually_exclusive"]),
