@@ -222,17 +222,15 @@ NONNULL = ("select user_id, count(*) filter (where event_type ilike '%i%') as n_
            "count(*) filter (where event_type ilike '%i%' and value is not null) as n_nonnull "
            "from events_n group by user_id")
 
-LONG_SET = [f"Customer#{i:09d}" for i in range(0, 3000, 2)] + ["it's nobody"]
-
-
 def match_values_filter(spark, sf):
-    """A short set as IN list, and one too long for that as a semi join."""
+    """A short set as IN list, and one that grows with the data as a semi join."""
     short = pr.match_filter(table(spark, sf, "customer"), "c_mktsegment", ["BUILDING", "MACHINERY", "BUILDING", "it's"])
-    return pr.match_filter(short, "c_name", LONG_SET).select("c_custkey", "c_name", "c_mktsegment")
+    rich = table(spark, sf, "customer").where("c_acctbal > 4000").select("c_name")
+    return pr.match_filter(short, "c_name", rich).select("c_custkey", "c_name", "c_mktsegment")
 
 
 MATCH_VALUES = ("select c_custkey, c_name, c_mktsegment from customer where c_mktsegment in ('BUILDING', 'MACHINERY', "
-                "'it''s') and c_name in (select printf('Customer#%09d', i) from range(0, 3000, 2) as r(i))")
+                "'it''s') and c_name in (select c_name from customer where c_acctbal > 4000)")
 
 
 def match_ids_filter(spark, sf):
@@ -288,7 +286,7 @@ def part_catalog(spark, sf):
         F.col("match_column").alias("column"), F.col("name_column"),
         F.array("match_value_1", "match_value_2", "match_value_1").alias("values"),
         F.lit(None).cast("string").alias("values_file"),
-        F.when(F.col("position") >= 0, ids).alias("concept_ids"))
+        ids.alias("concept_ids"))
     return flat.select(
         F.lit("parts").alias("layer"), F.lit(0).alias("layer_rank"), "position", "category", "variable",
         "description", "table", "column", "expression", "criteria", "inclusion_criteria", "extraction_type",

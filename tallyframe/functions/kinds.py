@@ -61,7 +61,7 @@ def field_kind(field: T.StructField, override: str | None = None) -> str:
         return override
     if isinstance(field.dataType, T.NumericType):
         return CONTINUOUS
-    if field.dataType.typeName() in DATE_TYPES or field.dataType.simpleString() in DATE_TYPES:
+    if re.sub(r"\(.*\)", "", field.dataType.simpleString()) in DATE_TYPES:
         return DATE
     if isinstance(field.dataType, T.StringType) and re.search(FREETEXT_NAME, field.name):
         # varchar/char fields of a table are declared categories even so

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.operators import rollups
 from tallyframe.operators.measures import union_all
-from tallyframe.plans import audience as au, model as md, profile as pf
+from tallyframe.plans import audience as au, model as md, profile as pf, variables as vb
 from tallyframe.plans.model import CohortSpec, Enrichment, Model
 from tallyframe.sources import sinks
 from tallyframe.sources.registry import Registry
@@ -46,29 +46,54 @@ def build_models(spark: SparkSession, jobs: Iterable[Job], config: Enrichment |
     return models, errors
 
 
+def _failed(job: Job, error: Exception) -> tuple:
+    return job.spec.slug, job.spec.schema_name, "error", _reason(error), None, 0
+
+
+def _implemented_counts(slug: str, found: DataFrame) -> DataFrame:
+    return found.agg(
+        F.count(F.lit(1)).alias("variables_total"),
+        F.count_if(rollups.implemented()).alias("variables_implemented"),
+        F.count_if(F.col("error") != "").alias("warning_count"),
+    ).select(F.lit(slug).alias("cohort"), "*")
+
+
+def _count_cohorts(spark: SparkSession, planned: dict, jobs: dict, rows: dict) -> DataFrame:
+    """Count all cohorts in one run; if that fails, one by one, recording the failing ones."""
+    if not planned:
+        return spark.createDataFrame(
+            [], "cohort string, variables_total long, variables_implemented long, warning_count long")
+    try:
+        return sinks.materialize(union_all([counts for _, _, counts in planned.values()]))
+    except Exception:
+        kept = []
+        for slug, (registry, catalog, _) in planned.items():
+            try:
+                found = vb.variable_profile(registry, catalog, parts={"counts"}, isolate=True)
+                kept.append(sinks.materialize(_implemented_counts(slug, found)))
+            except Exception as e:
+                rows[slug] = _failed(jobs[slug], e)
+        return _count_cohorts(spark, {}, jobs, rows) if not kept else union_all(kept)
+
+
 def batch_results(spark: SparkSession, jobs: Sequence[Job], dry_run: bool = False) -> DataFrame:
     """One row per cohort: subjects, tables, variables, implemented share, dropped share, warnings.
 
     Counts come from the unfiltered model.  All cohorts are measured in one union."""
-    from tallyframe.plans import variables as vb
-    rows, measured = [], []
+    planned = {}
+    rows = {}
     for job in jobs:
         slug = job.spec.slug
         try:
             registry, catalog = job.open(spark)
-            found = vb.dry_run(catalog) if dry_run else vb.variable_profile(registry, catalog)
+            found = vb.dry_run(catalog) if dry_run else vb.variable_profile(registry, catalog, parts={"counts"})
             patients = None if dry_run else registry.subject_total()
-            rows.append((slug, job.spec.schema_name, "ok", "", patients, 0 if dry_run else len(registry.tables)))
-            measured.append(found.select(F.lit(slug).alias("cohort"), "implemented", "error"))
+            rows[slug] = (slug, job.spec.schema_name, "ok", "", patients, 0 if dry_run else len(registry.tables))
+            planned[slug] = (registry, catalog, _implemented_counts(slug, found))
         except Exception as e:
-            rows.append((slug, job.spec.schema_name, "error", _reason(e), None, 0))
-    cohorts = spark.createDataFrame(rows, RESULT)
-    variables = union_all(measured) if measured else spark.createDataFrame(
-        [], "cohort string, implemented string, error string")
-    counted = variables.groupBy("cohort").agg(
-        F.count(F.lit(1)).alias("variables_total"),
-        F.count_if(rollups.implemented()).alias("variables_implemented"),
-        F.count_if(F.col("error") != "").alias("warning_count"))
+            rows[slug] = _failed(job, e)
+    counted = _count_cohorts(spark, planned, {job.spec.slug: job for job in jobs}, rows)
+    cohorts = spark.createDataFrame(list(rows.values()), RESULT)
     zero = F.lit(0).cast("long")
     joined = cohorts.join(counted, "cohort", "left").withColumns({
         c: F.coalesce(c, zero) for c in ("variables_total", "variables_implemented", "warning_count")})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException, ParseException
@@ -13,6 +13,7 @@ from tallyframe.operators import enrich, measures as ms
 from tallyframe.plans.profile import share_of_subjects
 from tallyframe.sources import catalog as ct
 from tallyframe.sources.registry import Registry, Table
+from tallyframe.sources.sinks import materialize
 
 VARIABLE_TOP = 10
 DEFAULT_EXTRACTION = "Structured"
@@ -140,10 +141,42 @@ def plan_variable(registry: Registry, key: str, row: Row, parts: Collection[str]
     return Planned(key, name, measure, membership, "; ".join(errors))
 
 
+def _with_memberships(registry: Registry, name: str, planned: Sequence[Planned]) -> Table:
+    """The table with a flag per long value set."""
+    table = registry.tables[name]
+    data = table.data
+    for p in planned:
+        if p.membership:
+            values = registry.spark.createDataFrame([(v,) for v in p.membership[1]], "value string")
+            data = pr.with_membership(data, p.membership[0], values, f"__in_{p.key}")
+    return Table(name, data, table.subject_key, table.kinds, table.object_type)
+
+
+def _isolated(registry: Registry, name: str, planned: Sequence[Planned], count: int,
+              row_limit: int | None) -> tuple[list[DataFrame], dict[str, str]]:
+    """Measure the variables of a table now; halve the set to find those whose rows fail.
+
+    Returns the measured parts and the error of each failing variable."""
+    try:
+        table = _with_memberships(registry, name, planned)
+        parts = ms.measure_parts(table, [p.measure for p in planned], count, row_limit)
+        return ([materialize(ms.union_all(parts))] if parts else []), {}
+    except Exception as e:
+        if len(planned) == 1:
+            return [], {planned[0].key: _first_line(e)}
+        middle = len(planned) // 2
+        first, second = (_isolated(registry, name, half, count, row_limit)
+                         for half in (planned[:middle], planned[middle:]))
+        return first[0] + second[0], {**first[1], **second[1]}
+
+
 def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | None = None,
-                     parts: Collection[str] = ALL_PARTS) -> DataFrame:
+                     parts: Collection[str] = ALL_PARTS, isolate: bool = False) -> DataFrame:
     """One row per catalogue row with its measured statistics, in catalogue order.
 
+    With ``isolate`` the statistics are computed now, and a variable that fails while rows are
+    read (say, on a cast) is recorded with its error instead of failing the others.
+
     Completeness is non-null over scope (NULL without scope); the subject share is over all
     subjects of the cohort and only given for implemented variables."""
     spark = registry.spark
@@ -155,19 +188,19 @@ def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | No
     used = sorted({p.table for p in planned if p.measure is not None})
     counts = registry.row_counts(used) if used else {}
     measured_parts = []
+    failed: dict[str, str] = {}
     for name in used:
-        table = registry.tables[name]
         own = [p for p in planned if p.table == name and p.measure is not None]
-        data = table.data
-        for p in own:
-            if p.membership:
-                values = spark.createDataFrame([(v,) for v in p.membership[1]], "value string")
-                data = pr.with_membership(data, p.membership[0], values, f"__in_{p.key}")
-        table = Table(name, data, table.subject_key, table.kinds, table.object_type)
-        measured_parts.extend(ms.measure_parts(table, [p.measure for p in own], counts[name], row_limit))
+        if isolate:
+            found, errors = _isolated(registry, name, own, counts[name], row_limit)
+            measured_parts.extend(found)
+            failed.update(errors)
+        else:
+            table = _with_memberships(registry, name, own)
+            measured_parts.extend(ms.measure_parts(table, [p.measure for p in own], counts[name], row_limit))
 
     keyed = spark.createDataFrame(
-        [(p.key, p.table, p.error, *r) for p, r in zip(planned, rows)],
+        [(p.key, p.table, p.error or failed.get(p.key, ""), *r) for p, r in zip(planned, rows)],
         T.StructType([T.StructField("key", T.StringType()), T.StructField("__table", T.StringType()),
                       T.StructField("error", T.StringType()), *prepared.schema.fields])).drop("__table")
     measured = ms.combine(measured_parts)
@@ -221,3 +254,13 @@ def with_display(profile: DataFrame) -> DataFrame:
         "*", "array_join(top_value_labels, ', ') as values",
         f"{text.observed_values('top_value_labels')} as observed_values",
         f"{text.example_value('get(top_value_labels, 0)', 'min_date')} as example")
+
+
+def measured_profile(registry: Registry, catalog: DataFrame, row_limit: int | None = None,
+                     parts: Collection[str] = ALL_PARTS) -> DataFrame:
+    """The variable profile, computed and kept.  One run measures everything; only if that
+    fails, variables are isolated to find the failing ones."""
+    try:
+        return materialize(variable_profile(registry, catalog, row_limit, parts))
+    except Exception:
+        return materialize(variable_profile(registry, catalog, row_limit, parts, isolate=True))

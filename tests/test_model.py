@@ -188,6 +188,12 @@ def test_batch(spark, tmp_path):
     rows = {r["cohort"]: r for r in batch.batch_results(spark, jobs).collect()}
     assert rows["bad"]["status"] == "error" and "no such schema" in rows["bad"]["error"]
     assert (rows["demo"]["variables_total"], rows["demo"]["variables_implemented"], rows["demo"]["patient_count"]) == (6, 5, 2)
+    worse = ct.catalog_frame(spark, [dict(category="A", variable="V", table="person", column="age",
+                                          criteria="cast(email as int) = 1"), CATALOG[2]])
+    third = batch.Job(md.CohortSpec("w", "p", "d", "worse", slug="worse"), lambda spark: (demo(spark), worse))
+    three = {r["cohort"]: r for r in batch.batch_results(spark, [*jobs, third]).collect()}
+    assert (three["worse"]["status"], three["worse"]["variables_implemented"], three["worse"]["warning_count"]) == ("ok", 1, 1)
+    assert three["demo"] == rows["demo"] and three["bad"]["status"] == "error"
     paths, errors = batch.write_batch(spark, jobs, str(tmp_path), ["technical", "sales"], CONFIG)
     assert list(errors) == ["bad"] and len(paths["demo"]) == 4 + 1 + 3
     dry = {r["cohort"]: r for r in batch.batch_results(spark, jobs, dry_run=True).collect()}

@@ -237,3 +237,19 @@ def test_large_path_equals_the_small_one(spark):
         dict(variable="c", table="t", column="full"), dict(variable="d", table="t", column="full", criteria="full < 0")])
     assert vb.variable_profile(reg, rows).orderBy("variable").collect() == \
         vb.variable_profile(reg, rows, row_limit=0).orderBy("variable").collect()
+
+
+def test_a_failing_cast_is_isolated(spark):
+    data = spark.createDataFrame([(1, "7", 1.0), (2, "x", 2.0)], "person_id long, k string, v double")
+    reg = registry(spark, Table("t", data, "person_id"))
+    rows = ct.catalog_frame(spark, [
+        dict(variable="bad", table="t", column="v", criteria="cast(k as int) = 7"),
+        dict(variable="worse", table="t", column="v", expression="cast(k as int)"),
+        dict(variable="good", table="t", column="v", criteria="try_cast(k as int) = 7")])
+    found = {r["variable"]: r for r in vb.measured_profile(reg, rows).collect()}
+    assert (found["good"]["n_nonnull"], found["good"]["error"]) == (1, "")
+    assert all(found[v]["implemented"] == "No" and found[v]["error"] for v in ("bad", "worse"))
+
+
+def test_time_of_day_is_a_date_kind():
+    assert kinds.field_kind(T.StructField("x", T.TimeType())) == "date"
