@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from showcase.inputs import retail, table, with_views
 from tallyframe.functions import text
-from tallyframe.operators import measures as ms
 from tallyframe.plans import profile as pf
 
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from showcase.inputs import SUBJECT_KEYS, columns, is_key, retail, table, union, with_views
+from showcase.inputs import SUBJECT_KEYS, columns, retail, table, union, with_views
 from showcase.profiles import q
 from showcase.variables import DEMO, MEANING, PROFILE, TOP10, demo_catalog, demo_profile, part_catalog, PART_CATALOG
-from tallyframe.functions import text
 from tallyframe.operators import enrich, rollups
 from tallyframe.plans import audience as au, batch, model as md, profile as pf
 from tallyframe.sources import catalog as ct

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from showcase.inputs import (SCHEMA, SUBJECT_KEYS, TABLES, columns, is_key, retail, union, with_views)
 from tallyframe.functions import kinds
-from tallyframe.operators import measures as ms
 from tallyframe.plans import batch, model as md, profile as pf
 from tallyframe.sources.registry import Registry, schema_object_counts
 
