@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 NO_JSON_AUDIENCES = ("customer", "sales")
 
 
+def work_folder(spark: SparkSession) -> str:
+    """Folder of intermediate tables: ``spark.checkpoint.dir``, or where that is unset a folder of the
+    warehouse, which every executor reaches as well."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; only a local session falls back to a temporary one."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyframe-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(work_folder(spark))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -31,6 +29,24 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Written once as Parquet in the work folder and read from there: lineage ends here."""
+    spark = df.sparkSession
+    path = f"{work_folder(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``stored`` wrote for frames that nothing reads any more."""
+    for frame in frames:
+        context = frame.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(frame.stored_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def dictionary_name(schema_name: str, audience: str = "technical") -> str:
     suffix = "" if audience == "technical" else f"_{audience}"
     return f"{schema_name}_dictionary{suffix}"
