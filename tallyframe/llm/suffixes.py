@@ -2,9 +2,10 @@
 
 Every string of ``LENGTH`` bytes holds ``LENGTH - GRAM + 1`` grams; its anchor is the one with the least
 hash (the leftmost of equals), which depends on the string alone. So equal strings meet in the initial
-bucket of their anchor's gram, and a document sends one row per anchor instead of one per byte. The row
-carries the stretch of starts the anchor stands for and a hash of all bytes they cover: in a bucket, a
-stretch whose hash also occurs in a smaller document is settled at once.
+bucket of their anchor's gram, and a document sends one entry per anchor instead of one per byte. The entry
+holds the stretch of starts the anchor stands for and a hash of all bytes they cover: in a bucket, a
+stretch whose hash also occurs in a smaller document is settled at once. Entries travel in columnar blocks,
+one per task and partition of the grams.
 
 Stretches that share only the gram are refined: their bytes are fetched, and the starts of a bucket are
 sorted by the identifier of the q-gram bucket (q = 8) at offset 0, then at 8, at 16 and so on. Each round
@@ -32,23 +33,24 @@ from tallyframe.llm.hashing import byte_table, mixed, odd_numbers, powers, prefi
 from tallyframe.sources.sinks import stored
 
 LENGTH = 50
-GRAM = 24
+GRAM = 16
 PIECE = 1 << 21
 _BYTES = byte_table(61)
 _ROW = odd_numbers(67, 2)
 _AT_BITS = np.uint64((1 << 24) - 1)
 REFINED_ROWS = 60_000
 
-ANCHORS = T.StructType([
-    T.StructField("gram", T.LongType()), T.StructField("cover", T.LongType()),
-    T.StructField("doc_id", T.LongType()), T.StructField("tag", T.IntegerType()),
-    T.StructField("start", T.LongType()), T.StructField("anchor", T.LongType()),
-    T.StructField("n", T.IntegerType())])
+BLOCK = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.BinaryType())])
+BLOCK_ANCHORS = 1 << 20
+#: Columns of a block and how many bytes of each number travel, from the low end. Grams need no more than
+#: tells most of them apart, covers are told apart within their gram.
+ENTRY = {"gram": 5, "cover": 6, "row": 4, "start": 5, "ahead": 1, "n": 1}
+ROWS = {"doc_id": 8, "tag": 3}
 
 
 def _tag(data: bytes) -> int:
     """Tells rows of one doc_id apart."""
-    return int.from_bytes(hashlib.blake2b(data, digest_size=4).digest(), "little") >> 1
+    return int.from_bytes(hashlib.blake2b(data, digest_size=3).digest(), "little")
 
 
 def _windows_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -105,40 +107,92 @@ def _pieces(batches: Iterator[pa.RecordBatch]):
         yield held
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for held in _pieces(batches):
-        sizes = np.array([len(p[3]) for p in held])
-        ends = np.cumsum(sizes)
-        gram, cover, first, at, n = anchor_stretches(np.frombuffer(b"".join(p[3] for p in held), np.uint8), ends)
-        doc = np.searchsorted(ends, first, side="right")
-        shift = np.array([p[2] for p in held]) - (ends - sizes)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(gram.view(np.int64)), pa.array(cover.view(np.int64)),
-            pa.array(np.array([p[0] for p in held], np.int64)[doc]),
-            pa.array(np.array([p[1] for p in held], np.int32)[doc]),
-            pa.array(first + shift[doc]), pa.array(at + shift[doc]), pa.array(n.astype(np.int32))],
-            schema=_arrow(ANCHORS))
+def _pack(columns: dict[str, np.ndarray], widths: dict[str, int]) -> bytes:
+    """Byte planes of the columns: bytes of equal weight lie together, so that they compress."""
+    return b"".join([np.ascontiguousarray(columns[c].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :w].T).tobytes()
+                     for c, w in widths.items()])
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    kinds = {"long": pa.int64(), "integer": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(),
-             "string": pa.string()}
-    return pa.schema([(f.name, kinds[f.dataType.typeName()]) for f in schema])
+def _unpack(data: np.ndarray, n: int, widths: dict[str, int]) -> dict[str, np.ndarray]:
+    out, at = {}, 0
+    for c, w in widths.items():
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :w] = data[at:at + n * w].reshape(w, n).T
+        out[c] = wide.view("<i8")[:, 0]
+        at += n * w
+    return out
 
 
-JUDGED = T.StructType([*ANCHORS.fields, T.StructField("settled", T.BooleanType())])
+def _anchors(parts: int):
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        docs: list[tuple[int, int]] = []
+        count = 0
+
+        def emit():
+            gram, cover, row, start, ahead, n = (np.concatenate(c) for c in zip(*found))
+            part = (gram % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            doc_id, tag = np.array(docs, np.int64).T
+            keys, blobs = [], []
+            for p in range(parts):
+                use = order[cuts[p]:cuts[p + 1]]
+                if len(use):
+                    rows, at = np.unique(row[use], return_inverse=True)
+                    entry = {"gram": gram[use] & np.uint64((1 << 40) - 1), "cover": cover[use] >> np.uint64(16),
+                             "row": at, "start": start[use], "ahead": ahead[use], "n": n[use]}
+                    keys.append(p)
+                    blobs.append(np.array([len(use), len(rows)], "<i8").tobytes() + _pack(entry, ENTRY)
+                                 + _pack({"doc_id": doc_id[rows], "tag": tag[rows]}, ROWS))
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())],
+                                              names=BLOCK.names)
+
+        for held in _pieces(batches):
+            sizes = np.array([len(p[3]) for p in held])
+            ends = np.cumsum(sizes)
+            blob = np.frombuffer(b"".join(p[3] for p in held), np.uint8)
+            gram, cover, first, at, n = anchor_stretches(blob, ends)
+            doc = np.searchsorted(ends, first, side="right")
+            shift = np.array([p[2] for p in held]) - (ends - sizes)
+            found.append((gram, cover, doc + len(docs), first + shift[doc], at - first, n))
+            docs += [p[:2] for p in held]
+            count += len(gram)
+            if count >= BLOCK_ANCHORS:
+                yield emit()
+                found, docs, count = [], [], 0
+        if count:
+            yield emit()
+
+    return blocks
+
+
+JUDGED = T.StructType([
+    T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("tag", T.IntegerType()),
+    T.StructField("start", T.LongType()), T.StructField("ahead", T.IntegerType()),
+    T.StructField("n", T.IntegerType()), T.StructField("settled", T.BooleanType())])
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by gram, cover, doc_id. Keeps buckets of at least two documents: stretches whose bytes
-    also occur in a smaller document are settled, others are to be refined if the bucket holds another
-    cover."""
-    names = [f.name for f in ANCHORS]
-    schema = _arrow(JUDGED)
-    held: list[np.ndarray] | None = None
-
-    def judge(cols):
-        gram, cover, doc = cols[0], cols[1], cols[2]
+    """All entries of a partition of the grams. Of buckets with at least two documents, stretches whose bytes
+    also occur in a smaller document are settled; others are to be refined if the bucket holds several
+    covers."""
+    held: dict[int, list[dict]] = {}
+    for batch in batches:
+        for part, blob in zip(batch.column("part").to_pylist(), batch.column("block")):
+            data = np.frombuffer(blob.as_buffer(), np.uint8)
+            n, rows = (int(x) for x in data[:16].view("<i8"))
+            entry = _unpack(data[16:], n, ENTRY)
+            of = _unpack(data[16 + n * sum(ENTRY.values()):], rows, ROWS)
+            row = entry.pop("row")
+            held.setdefault(part, []).append({**entry, "doc_id": of["doc_id"][row],
+                                              "tag": of["tag"][row].astype(np.int32)})
+    for part in list(held):
+        lists = held.pop(part)
+        col = {c: np.concatenate([x[c] for x in lists]) for c in lists[0]}
+        del lists
+        order = np.lexsort((col["doc_id"], col["cover"], col["gram"]))
+        gram, cover, doc = (col[c][order] for c in ("gram", "cover", "doc_id"))
         new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
         new_cover = new_gram | np.concatenate(([True], cover[1:] != cover[:-1]))
         heads, covers = np.flatnonzero(new_gram), np.flatnonzero(new_cover)
@@ -147,25 +201,16 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = np.add.reduceat(new_cover.astype(np.int64), heads) > 1
         settled = doc > doc[covers][group]
         keep = settled | ((low < high)[bucket] & several[bucket])
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([*[pa.array(c[keep]) for c in cols], pa.array(settled[keep])],
-                                             schema=schema)
-
-    for batch in batches:
-        cols = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-        if held is not None:
-            cols = [np.concatenate((a, b)) for a, b in zip(held, cols)]
-        if not len(cols[0]):
-            continue
-        last = np.searchsorted(cols[0], cols[0][-1], side="left")  # the bucket that may go on
-        held = [c[last:] for c in cols]
-        if last:
-            yield from judge([c[:last] for c in cols])
-    if held is not None:
-        yield from judge(held)
+        use, settled = order[keep], settled[keep]
+        for at in range(0, len(use), 1 << 16):
+            part_use = use[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(col[c][part_use].astype(np.int32 if f.dataType == T.IntegerType() else np.int64))
+                 for f in JUDGED.fields[:-1] for c in (f.name,)] + [pa.array(settled[at:at + (1 << 16)])],
+                names=JUDGED.names)
 
 
-STRETCH = ("gram", "tag", "start", "anchor", "n")
+STRETCH = ("gram", "tag", "start", "ahead", "n")
 OPEN = T.StructType([
     T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()),
     T.StructField("tag", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -177,13 +222,12 @@ def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns: list[list] = [[] for _ in OPEN.fields]
         for doc_id, text, *lists in zip(batch["doc_id"], batch["text"], *[batch[f"{c}s"] for c in STRETCH]):
             data = (text or "").encode("utf-8", "surrogatepass")
-            gram, tag, start, anchor, n = (np.asarray(x) for x in lists)
+            gram, tag, start, ahead, n = (np.asarray(x) for x in lists)
             use = np.flatnonzero(tag == _tag(data))
             if len(use):
-                ahead = (anchor - start)[use].astype(np.int32)
                 found = [data[s:s + k + LENGTH - 1] for s, k in zip(start[use], n[use])]
                 for into, values in zip(columns, (gram[use], np.full(len(use), doc_id, np.int64), tag[use],
-                                                  start[use], ahead, found)):
+                                                  start[use], ahead[use], found)):
                     into.append(values)
         if columns[0]:
             blobs = [x for found in columns.pop() for x in found]
@@ -279,9 +323,8 @@ def _refine_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def duplicate_strings(docs: DataFrame) -> DataFrame:
     """(doc_id, tag, start, n): n neighbouring starts of strings of LENGTH bytes that also start in a
     document of smaller doc_id. ``docs`` has doc_id long and text."""
-    anchors = docs.mapInArrow(_anchors, ANCHORS)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    judged = stored(anchors.repartition(partitions, "gram").sortWithinPartitions("gram", "cover", "doc_id")
+    judged = stored(docs.mapInArrow(_anchors(partitions), BLOCK).repartitionById(partitions, F.col("part"))
                     .mapInArrow(_judge, JUDGED))
     wanted = judged.where("not settled").groupBy("doc_id").agg(
         *[F.collect_list(c).alias(f"{c}s") for c in STRETCH])
