@@ -328,7 +328,7 @@ def duplicate_strings(docs: DataFrame) -> DataFrame:
                     .mapInArrow(_judge, JUDGED))
     wanted = judged.where("not settled").groupBy("doc_id").agg(
         *[F.collect_list(c).alias(f"{c}s") for c in STRETCH])
-    opened = docs.join(wanted, "doc_id").mapInPandas(_fetch, OPEN)
+    opened = docs.join(wanted.hint("merge"), "doc_id").mapInPandas(_fetch, OPEN)
     refined = (opened.repartition(partitions, "gram").sortWithinPartitions("gram")
                .mapInPandas(_refine_buckets, DUPLICATE))
     return judged.where("settled").select("doc_id", "tag", "start", "n").unionByName(refined)
@@ -354,8 +354,12 @@ def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the remaining bytes, which
     may cut a character; or, with ``digest``, kept_sha256)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = (duplicate_strings(docs).groupBy("doc_id")
+    # with the same filter, the texts are dealt out by doc_id once for both joins
+    ordered, unordered = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    found = (duplicate_strings(ordered).groupBy("doc_id")
              .agg(*[F.collect_list(c).alias(f"{c}s") for c in ("tag", "start", "n")]))
+    found = ordered.join(found.hint("merge"), "doc_id", "left")
+    found = found.unionByName(unordered, allowMissingColumns=True)
     fields = REMOVED.fields if not digest else [*REMOVED.fields[:-1], T.StructField("kept_sha256", T.StringType())]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -373,5 +377,5 @@ def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
             yield result
 
     named = [T.StructField("doc_id", T.StringType()), *fields[1:]]  # pandas has no null in an integer column
-    return (docs.join(found, "doc_id", "left").withColumn("doc_id", F.col("doc_id").cast("string"))
+    return (found.withColumn("doc_id", F.col("doc_id").cast("string"))
             .mapInPandas(cut, T.StructType(named)).withColumn("doc_id", F.col("doc_id").cast("long")))
