@@ -93,13 +93,15 @@ def nearest(ids, vectors, k=5, every=50):
     return out
 
 
-def edit_distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+def within(a, b, edits):
+    """Whether a becomes b by at most ``edits`` edits: tries each edit at the first difference."""
+    k = 0
+    while k < min(len(a), len(b)) and a[k] == b[k]:
+        k += 1
+    a, b = a[k:], b[k:]
+    if not a or not b or not edits:
+        return max(len(a), len(b)) <= edits
+    return within(a[1:], b[1:], edits - 1) or within(a[1:], b, edits - 1) or within(a, b[1:], edits - 1)
 
 
 def repeated_lines(rows, min_chars, edits):
@@ -119,7 +121,7 @@ def repeated_lines(rows, min_chars, edits):
         for b in lines[i + 1:]:
             if len(b) - len(a) > edits:
                 break
-            if edit_distance(a, b) <= edits:
+            if within(a, b, edits):
                 near.add(max(a, b, key=lambda x: first[x]))
     out = {}
     for (d, i), line in at.items():
