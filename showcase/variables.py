@@ -372,7 +372,7 @@ def resolve_matcher(spark, sf):
 
 
 MATCHER_SQL = (
-    "case when mc <> '' then mc when broad like 'observation_concept_name%' then 'observation_concept_name' "
+    "case when mc <> '' then mc when \"column\" = '' then '' when broad like 'observation_concept_name%' then 'observation_concept_name' "
     "when broad like 'drug_concept_name%' then 'drug_concept_name' "
     "when \"column\" in ('value_as_number', 'start_date') then '' else \"column\" end")
 
@@ -389,8 +389,8 @@ RESOLVE_SCOPE = (
     f"as displayed_criteria, case when \"table\" = '' then 'missing table' "
     f"when matcher_column = '' and \"column\" = '' then 'missing column' "
     f"when matcher_column = '' then 'column `' || \"column\" || '` is a value/date column; configure `match.column`' "
-    f"when scope_sql = '' then 'no `criteria:` or `match:` block configured; cannot scope discovery without "
-    f"redefining the variable' else '' end as skip_reason from m")
+    f"when scope_sql = '' then 'neither criteria nor a value set: cannot scope a search without changing the "
+    f"variable' else '' end as skip_reason from m")
 
 
 def id_name_columns(spark, sf):

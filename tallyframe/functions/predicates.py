@@ -41,13 +41,18 @@ def column(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+# Fixed value: what counts as white space at the ends of a text, Unicode's and the separators 1C to 1F.
+BLANKS = r"[\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
 def blank(c: Column) -> Column:
-    return F.coalesce(F.trim(c), F.lit("")) == ""
+    """NULL, empty, or nothing but white space."""
+    return stripped(c) == ""
 
 
 def stripped(c: Column) -> Column:
     """Text without surrounding white space, empty instead of NULL."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.coalesce(c, F.lit("")), rf"\A{BLANKS}+|{BLANKS}+\z", "")
 
 
 # ---- value sets as catalogue columns: struct<column, name_column, values, values_file, concept_ids>
@@ -55,7 +60,7 @@ def stripped(c: Column) -> Column:
 def configured_ids(match: Column) -> Column:
     """Integer ids in first-seen order; entries that are no integers are dropped."""
     ids = F.transform(F.coalesce(match["concept_ids"], F.array().cast("array<string>")),
-                      lambda x: F.trim(x).try_cast("bigint"))
+                      lambda x: stripped(x).try_cast("bigint"))
     return F.array_distinct(F.filter(ids, lambda x: x.isNotNull()))
 
 

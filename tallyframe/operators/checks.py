@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.functions import predicates as pr
-from tallyframe.sources.catalog import has_scope
+from tallyframe.sources.catalog import has_scope, require_inlined
 from tallyframe.sources.sinks import materialize
 
 ERROR, WARNING = "error", "warning"
@@ -277,7 +277,8 @@ def summary(found: DataFrame, scope: Column) -> DataFrame:
 def catalog_findings(catalog: DataFrame, key: Column | str, known_categories: Iterable[str]) -> DataFrame:
     """Every check of a variable catalogue, as one findings frame."""
     ids = F.coalesce(F.size("match.concept_ids"), F.lit(0)) > 0
-    values = (F.coalesce(F.size("match.values"), F.lit(0)) > 0) | (pr.stripped(F.col("match.values_file")) != "")
+    require_inlined(catalog)
+    values = F.coalesce(F.size("match.values"), F.lit(0)) > 0
     scoped = has_scope(F.col("criteria"), F.col("match"))
     listed = catalog.withColumn("concept_ids", F.col("match.concept_ids"))
     return reduce(DataFrame.unionByName, [

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyframe.functions.predicates import stripped
+
 HIGH_DROP_PCT = 25.0
 UNCATEGORIZED = "Uncategorized"
 
@@ -16,7 +18,7 @@ def implemented() -> Column:
 
 def coverage_rollup(variables: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Variables, implemented variables and mean completeness of the implemented ones per category."""
-    category = F.trim(F.coalesce(F.expr("nullif(category, '')"), F.lit(UNCATEGORIZED)))
+    category = stripped(F.coalesce(F.expr("nullif(category, '')"), F.lit(UNCATEGORIZED)))
     known = F.when(implemented(), F.col("completeness_pct"))
     return (
         variables.groupBy(*by, category.alias("category"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyframe.functions.errors import is_data_error
 from tallyframe.operators import rollups
 from tallyframe.operators.measures import union_all
 from tallyframe.plans import audience as au, model as md, profile as pf, variables as vb
@@ -65,13 +66,17 @@ def _count_cohorts(spark: SparkSession, planned: dict, jobs: dict, rows: dict) -
             [], "cohort string, variables_total long, variables_implemented long, warning_count long")
     try:
         return sinks.materialize(union_all([counts for _, _, counts in planned.values()]))
-    except Exception:
+    except Exception as e:
+        if not is_data_error(e):
+            raise
         kept = []
         for slug, (registry, catalog, _) in planned.items():
             try:
                 found = vb.variable_profile(registry, catalog, parts={"counts"}, isolate=True)
                 kept.append(sinks.materialize(_implemented_counts(slug, found)))
             except Exception as e:
+                if not is_data_error(e):
+                    raise
                 rows[slug] = _failed(jobs[slug], e)
         return _count_cohorts(spark, {}, jobs, rows) if not kept else union_all(kept)
 

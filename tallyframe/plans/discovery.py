@@ -197,7 +197,7 @@ def report(found: DataFrame, parts: DataFrame) -> DataFrame:
 def discover(registry: Registry, catalog: DataFrame, mode: str = NAMES,
              only_variable: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(variables, partition) of a whole catalogue; see ``report`` and ``suggest_*``."""
-    found = targets(catalog, mode, only_variable, registry)
+    found = targets(ct.require_inlined(catalog), mode, only_variable, registry)
     seen, wanted = observed(registry, found, mode), configured(found, mode)
     parts = partition_ids(seen, wanted) if mode == IDS else partition_values(seen.drop("id"), wanted)
     labels = found.select("var_key", "category", "variable")

@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyframe.functions.predicates import stripped
 from tallyframe.functions import text
 from tallyframe.operators import enrich
 from tallyframe.plans import profile as pf, variables as vb
@@ -123,7 +124,7 @@ def schema_digest(columns: DataFrame) -> DataFrame:
 
 
 def sort_key(name: str) -> Column:
-    return F.lower(F.trim(F.coalesce(F.col(f"`{name}`"), F.lit(""))))
+    return F.lower(stripped(F.col(f"`{name}`")))
 
 
 def ordered(df: DataFrame, *names: str) -> DataFrame:

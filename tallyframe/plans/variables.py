@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
+from tallyframe.functions.errors import is_data_error
 from tallyframe.functions import kinds, predicates as pr, text
 from tallyframe.operators import enrich, measures as ms
 from tallyframe.plans.profile import share_of_subjects
+from tallyframe.sources.catalog import require_inlined
 from tallyframe.sources import catalog as ct
 from tallyframe.sources.registry import Registry, Table
 from tallyframe.sources.sinks import materialize
@@ -162,6 +164,8 @@ def _isolated(registry: Registry, name: str, planned: Sequence[Planned], count:
         parts = ms.measure_parts(table, [p.measure for p in planned], count, row_limit)
         return ([materialize(ms.union_all(parts))] if parts else []), {}
     except Exception as e:
+        if not is_data_error(e):
+            raise
         if len(planned) == 1:
             return [], {planned[0].key: _first_line(e)}
         middle = len(planned) // 2
@@ -180,7 +184,7 @@ def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | No
     Completeness is non-null over scope (NULL without scope); the subject share is over all
     subjects of the cohort and only given for implemented variables."""
     spark = registry.spark
-    prepared = prepare(catalog)
+    prepared = prepare(require_inlined(catalog))
     rows = prepared.orderBy("first_rank", "first_position").collect()
     prepared = spark.createDataFrame(rows, prepared.schema) if rows else prepared
     planned = [plan_variable(registry, f"v{i:05d}", r, parts) for i, r in enumerate(rows)]
@@ -211,7 +215,7 @@ def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | No
 
     total = registry.subject_total()
     zero = F.lit(0).cast("long")
-    types = registry.inventory()
+    types = registry.inventory(counted=False)
     out = (
         joined
         .withColumn("n_scope", F.coalesce("n_scope", zero))
@@ -230,7 +234,7 @@ def dry_run(catalog: DataFrame) -> DataFrame:
     """The catalogue as an unmeasured variable profile: nothing implemented, no statistics."""
     empty = {f.name: F.lit(None).cast(f.dataType) for f in ms.STATISTICS.fields
              if f.name not in ("table", "key")}
-    prepared = prepare(catalog).withColumns(empty)
+    prepared = prepare(require_inlined(catalog)).withColumns(empty)
     return (prepared
             .withColumn("completeness_pct", F.lit(None).cast("double"))
             .withColumn("patient_pct", F.lit(None).cast("double"))
@@ -262,5 +266,7 @@ def measured_profile(registry: Registry, catalog: DataFrame, row_limit: int | No
     fails, variables are isolated to find the failing ones."""
     try:
         return materialize(variable_profile(registry, catalog, row_limit, parts))
-    except Exception:
+    except Exception as e:
+        if not is_data_error(e):
+            raise
         return materialize(variable_profile(registry, catalog, row_limit, parts, isolate=True))

@@ -100,7 +100,7 @@ def read_value_list(spark: SparkSession, path: str) -> DataFrame:
     a list of strings or an object with a ``values`` list."""
     if not path.endswith(".json"):
         lines = spark.read.text(path).withColumn("position", F.monotonically_increasing_id())
-        return lines.select(F.trim("value").alias("value"), "position").where("value <> ''")
+        return lines.select(pr.stripped(F.col("value")).alias("value"), "position").where("value <> ''")
     whole = spark.read.text(path, wholetext=True)
     bare = F.from_json("value", "array<string>")
     keyed = F.from_json("value", "struct<values: array<string>>")["values"]
@@ -139,10 +139,20 @@ def inline_value_files(spark: SparkSession, catalog: DataFrame, root: str) -> Da
     joined = catalog.join(listed, F.col("match.values_file") == F.col("__path"), "left")
     empty = F.array().cast("array<string>")
     values = F.array_distinct(F.concat(F.coalesce("match.values", empty), F.coalesce("__values", empty)))
-    return joined.withColumn("match", F.when(F.col("match").isNotNull(), F.col("match").withField("values", values))
+    return joined.withColumn("match", F.when(F.col("match").isNotNull(), F.col("match").withField("values", values)
+                                                .withField("values_file", F.lit(None).cast("string")))
                              ).drop("__path", "__values")
 
 
+def require_inlined(catalog: DataFrame) -> DataFrame:
+    """The catalogue; an error if a value set still names a file that nobody has read: measured as it is,
+    it would match everything."""
+    unread = catalog.where(~pr.blank(F.col("match.values_file"))).select("match.values_file").first()
+    if unread:
+        raise ValueError(f"values_file {unread[0]!r} is not read: call inline_value_files first")
+    return catalog
+
+
 # ---- resolution of catalogue rows
 
 def effective_criteria(criteria: Column, match: Column) -> Column:
@@ -169,15 +179,15 @@ COMPARED_NAME = r"(?i)\b([a-z_]+_concept_name)\b\s*(?:ILIKE\b|=|IN\b)"
 
 NO_TABLE = "missing table"
 NO_COLUMN = "missing column"
-NO_SCOPE = "no `criteria:` or `match:` block configured; cannot scope discovery without redefining the variable"
+NO_SCOPE = "neither criteria nor a value set: cannot scope a search without changing the variable"
 
 
 def resolve_scope(catalog: DataFrame, value_columns: Iterable[str] = VALUE_COLUMNS,
                   value_suffixes: Iterable[str] = VALUE_SUFFIXES) -> DataFrame:
     """Add what discovery needs: matcher column, scope, displayed criteria, skip reason.
 
-    Matcher: the value set's column, else the concept name compared in the criteria, else the
-    variable's own column unless that holds values or dates.  Scope: the broad criteria before
+    Matcher: the value set's column, else, for a row that names a column, the concept name compared in
+    the criteria, else the variable's own column unless that holds values or dates.  Scope: the broad criteria before
     the value set, so that values not yet configured can be seen; display is the other way round."""
     own = pr.stripped(F.col("column"))
     explicit = pr.stripped(F.col("match.column"))
@@ -185,7 +195,7 @@ def resolve_scope(catalog: DataFrame, value_columns: Iterable[str] = VALUE_COLUM
     is_value = F.lower(own).isin(*value_columns)
     for suffix in value_suffixes:
         is_value = is_value | F.lower(own).endswith(suffix)
-    matcher = (F.when(explicit != "", explicit).when(compared != "", compared)
+    matcher = (F.when(explicit != "", explicit).when(own == "", "").when(compared != "", compared)
                .when(is_value, "").otherwise(own))
     strict, broad = pr.match_sql(F.col("match")), pr.stripped(F.col("criteria"))
     scope = F.when(broad != "", broad).otherwise(strict)

@@ -117,9 +117,11 @@ class Registry:
         return self.spark.createDataFrame(
             rows, "schema string, table string, object_type string, column_count int, row_count long")
 
-    def inventory(self, names: Iterable[str] | None = None) -> DataFrame:
-        """One row per column, in ordinal order: the skeleton of every profile."""
-        counts = self.row_counts(names)
+    def inventory(self, names: Iterable[str] | None = None, counted: bool = True) -> DataFrame:
+        """One row per column, in ordinal order: the skeleton of every profile. Without ``counted`` no table
+        is read and the row count is NULL."""
+        names = sorted(self.tables if names is None else names)
+        counts = self.row_counts(names) if counted else dict.fromkeys(names)
         rows = []
         for n in counts:
             t = self.tables[n]

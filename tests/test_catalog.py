@@ -177,3 +177,53 @@ def test_dry_run_shows_the_strict_predicate(spark):
     row = vb.with_display(vb.dry_run(catalog)).first()
     assert (row["criteria"], row["implemented"], row["completeness_pct"], row["values"], row["data_source"]) == (
         "\"c\" IN ('x')", "No", None, "", "Enhanced")
+
+
+def test_unread_value_file_is_an_error(spark, tmp_path):
+    from tallyframe.operators import checks
+    from tallyframe.plans import discovery, variables
+    from tallyframe.sources.registry import Registry, Table
+    (tmp_path / "set.txt").write_text("b\n")
+    rows = ct.catalog_frame(spark, [dict(variable="V", table="t", column="c",
+                                         match=dict(column="c", values_file="set.txt"))])
+    tables = Registry(spark, "s", [Table("t", spark.createDataFrame([("a",), ("b",)], "c string"))])
+    for plan in (lambda: variables.variable_profile(tables, rows), lambda: variables.dry_run(rows),
+                 lambda: discovery.discover(tables, rows), lambda: checks.catalog_findings(rows, "variable", [])):
+        with pytest.raises(ValueError, match="values_file"):
+            plan()
+    read = ct.inline_value_files(spark, rows, str(tmp_path))
+    found = variables.variable_profile(tables, read).first()
+    assert (found["n_scope"], found["n_nonnull"]) == (1, 1)
+
+
+def test_matcher_of_a_row_without_column(spark):
+    rows = ct.catalog_frame(spark, [dict(variable="V", table="t", criteria="drug_concept_name ILIKE '%x%'")])
+    found = ct.resolve_scope(rows).first()
+    assert (found["matcher_column"], found["skip_reason"]) == ("", ct.NO_COLUMN)
+
+
+def test_white_space_of_any_kind(spark):
+    from tallyframe.functions import predicates as pr
+    blanks = ["", " ", "\t\n", "\u00a0", "\u2003\r\n", "\x1f\u3000", None]
+    df = spark.createDataFrame([(b,) for b in blanks] + [("\u00a0a b\u2028",)], "x string")
+    found = df.select(pr.blank(F.col("x")), pr.stripped(F.col("x"))).collect()
+    assert [tuple(r) for r in found] == [(True, "")] * len(blanks) + [(False, "a b")]
+
+
+def test_only_data_errors_are_isolated(spark):
+    from tallyframe.functions.errors import is_data_error
+    with pytest.raises(Exception) as bad_cast:
+        spark.createDataFrame([("x",)], "c string").select(F.col("c").cast("int") + F.expr("cast(c as int)")).collect()
+    with pytest.raises(Exception) as bad_name:
+        spark.range(1).select("nothing")
+    assert is_data_error(bad_cast.value) and is_data_error(bad_name.value)
+    assert not is_data_error(MemoryError()) and not is_data_error(RuntimeError("executor lost"))
+
+
+def test_column_types_need_no_scan(spark):
+    from tallyframe.plans import variables
+    from tallyframe.sources.registry import Registry, Table
+    frame = spark.createDataFrame([("a",)], "c string")
+    tables = Registry(spark, "s", [Table("a", frame), Table("b", frame)])
+    variables.variable_profile(tables, ct.catalog_frame(spark, [dict(variable="V", table="a", column="c")]))
+    assert set(tables._row_counts) == {"a"}
