@@ -4,8 +4,9 @@ A line is a run between line feeds, stripped of spaces, tabs and carriage return
 least ``MIN_CHARS`` characters take part; others are left alone. Two lines within ``EDITS`` edits share
 one of EDITS + 1 segments of the shorter line, at a place that its own shift bounds; so every line is
 posted under the hash of each of its segments, with its length and the segment's number, and probes the
-substrings of its own that could be such a segment of a line of equal or smaller length. Pairs that meet
-are verified with Spark's banded edit distance.
+substrings of its own that could be such a segment of a line of equal or smaller length. The join itself
+refuses pairs whose letter counts are too far apart, so that most pairs of variants of one line that share
+a segment never become rows; the others are verified with Spark's banded edit distance.
 
 A line is removed where it occurred before (in the order of doc_id, then of lines), and where a
 different line within EDITS edits first occurred before it; decisions are made on the input, not on what
@@ -24,6 +25,8 @@ from tallyframe.sources.sinks import stored
 
 MIN_CHARS = 20
 EDITS = 2
+#: The most frequent letters of English, in that order; other scripts are compared by segments and distance alone.
+LETTERS = "etaoinsrhldcumfp"
 
 
 def _lines(text: Column) -> Column:
@@ -34,73 +37,108 @@ def _line_key(line: Column) -> Column:
     return F.xxhash64(line)
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """(1-based start, length) of segment i of a line of that length; the longer segments come last."""
-    parts = edits + 1
-    short, longer = F.floor(length / parts), length % parts
-    start = (i - 1) * short + F.greatest(F.lit(0), i - 1 - (parts - longer)) + 1
-    size = short + F.when(F.lit(i) > parts - longer, 1).otherwise(0)
-    return start.cast("int"), size.cast("int")
-
-
-def _postings(line: Column, length: Column, edits: int) -> Column:
-    out = []
-    for i in range(1, edits + 2):
-        start, size = _segment(length, i, edits)
-        out.append(F.xxhash64(F.lit(i), length, F.substring(line, start, size)))
-    return F.array(*out)
-
-
-def _probes(line: Column, length: Column, edits: int) -> Column:
-    """Hashes of the substrings that may be segment i of a line shorter by ``shorter``: the start differs
-    from the segment's by at most i - 1 (edits before it), and by at most edits + 1 - i once the ends are
-    aligned (edits after it)."""
-    out = []
-    for shorter in range(edits + 1):
-        other = (length - shorter).cast("int")
-        for i in range(1, edits + 2):
-            start, size = _segment(other, i, edits)
+def _sketched(lines: DataFrame) -> DataFrame:
+    """The lines with their counts (modulo 16) of sixteen letters, four bits each. Each letter is taken out of
+    what the ones before have left."""
+    names = lines.columns
+    lines, sketch = lines.withColumn("_rest0", F.col("line")), F.lit(0).cast("long")
+    for lane, letter in enumerate(LETTERS):
+        lines = lines.withColumn(f"_rest{lane + 1}", F.replace(f"_rest{lane}", F.lit(letter)))
+        count = (F.octet_length(f"_rest{lane}") - F.octet_length(f"_rest{lane + 1}")).bitwiseAND(15)
+        sketch = sketch.bitwiseOR(F.shiftleft(count.cast("long"), 4 * lane))
+    return lines.select(*names, sketch.alias("sketch"))
+
+
+def _sketches_near(a: Column, b: Column, edits: int) -> Column:
+    """What holds of any two lines within the edits: an edit changes the counts by two in sum at most. Counts
+    modulo 16 are compared the shorter way round."""
+    apart = F.lit(0)
+    for lane in range(len(LETTERS)):
+        x, y = (F.shiftright(sketch, 4 * lane).bitwiseAND(15).cast("int") for sketch in (a, b))
+        ahead = (x - y).bitwiseAND(15)
+        apart = apart + F.least(ahead, F.lit(16) - ahead)
+    return apart <= 2 * edits
+
+
+def _places(edits: int) -> list[tuple[int, int, int]]:
+    """(segment, how much shorter its line is, shift): the start of a probe differs from the segment's by at
+    most segment - 1 (edits before it), and by at most edits + 1 - segment once the ends are aligned (edits
+    after it)."""
+    return [(i, shorter, shift) for shorter in range(edits + 1) for i in range(1, edits + 2)
             for shift in range(max(-(i - 1), shorter - (edits + 1 - i)),
-                               min(i - 1, shorter + (edits + 1 - i)) + 1):
-                at = start + shift
-                inside = (at >= 1) & (at + size - 1 <= length)
-                out.append(F.when(inside, F.xxhash64(F.lit(i), other, F.substring(line, at, size))))
-    return F.array_compact(F.array(*out))
+                               min(i - 1, shorter + (edits + 1 - i)) + 1)]
+
+
+def _hashed(lines: DataFrame, name: str, places: list[tuple[int, int, int]], edits: int) -> DataFrame:
+    """(name, sketch, shorter, at): a hash of the substring at each of the places of each line, with the
+    segment's number and the length of the line that may have it. Each segment's surroundings are cut out
+    once, so that a probe walks over them instead of the whole line."""
+    parts = edits + 1
+    n, windows = F.col("n"), []
+    for i in range(1, parts + 1):
+        start = F.greatest(F.lit(1), F.expr(f"{i - 1} * ((n - {edits}) div {parts})") - (i - 1) + 1).cast("int")
+        end = F.expr(f"{i} * ((n + {parts - 1}) div {parts})") + edits
+        windows.append((start, F.substring("line", start, (end - start + 1).cast("int"))))
+    cut = lines.select(F.col("key").alias(name), F.col("sketch").alias(f"{name}_sketch"), "n",
+                       *[c.alias(f"{k}{i}") for i, (s, w) in enumerate(windows, 1) for k, c in (("s", s), ("w", w))])
+    names = ("i", "shorter", "shift")
+    each = F.explode(F.array(*[F.struct(*[F.lit(x).alias(k) for k, x in zip(names, place, strict=True)])
+                               for place in places]))
+    i, other = F.col("p.i"), F.col("other")
+    rows = cut.withColumn("p", each).withColumn("other", (n - F.col("p.shorter")).cast("int"))
+    short, longer = F.expr(f"cast(other div {parts} as int)"), other % parts
+    rows = rows.withColumn("size", short + F.when(i > parts - longer, 1).otherwise(0)).withColumn(
+        "start", (i - 1) * short + F.greatest(F.lit(0), i - 1 - (parts - longer)) + 1 + F.col("p.shift"))
+    window, first = F.col(f"w{parts}"), F.col(f"s{parts}")
+    for k in range(1, parts):
+        window = F.when(i == k, F.col(f"w{k}")).otherwise(window)
+        first = F.when(i == k, F.col(f"s{k}")).otherwise(first)
+    inside = (F.col("start") >= 1) & (F.col("start") + F.col("size") - 1 <= n)
+    return rows.where(inside).select(name, f"{name}_sketch", "p.shorter", F.xxhash64(
+        i, other, F.substring(window, (F.col("start") - first + 1).cast("int"), F.col("size").cast("int"))).alias("at"))
+
+
+def candidate_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
+    """(a, b) keys of different lines (key, line, n characters, sketch) that share a segment where edits allow
+    it, and whose sketches are as near as they must be; each pair once."""
+    posted = _hashed(lines, "a", [(i, 0, 0) for i in range(1, edits + 2)], edits).drop("shorter")
+    probed = _hashed(lines, "b", _places(edits), edits)
+    once = (F.col("shorter") > 0) | (F.col("a") < F.col("b"))
+    return (posted.join(probed, (posted["at"] == probed["at"]) & once
+                        & _sketches_near(F.col("a_sketch"), F.col("b_sketch"), edits))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def near_line_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(a, b) keys of different lines (key, line) within ``edits`` edits, each pair once."""
-    length = F.char_length("line").cast("int")
-    sized = lines.select("key", "line", length.alias("n"))
-    posted = sized.select(F.col("key").alias("a"), F.explode(_postings(F.col("line"), F.col("n"), edits)).alias("at"))
-    probed = sized.select(F.col("key").alias("b"), F.explode(_probes(F.col("line"), F.col("n"), edits)).alias("at"))
-    met = (posted.join(probed, "at").where("a <> b")
-           .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    left = lines.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
-    right = lines.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
-    return (met.join(left, "a").join(right, "b")
-            .where(F.levenshtein("line_a", "line_b", edits) >= 0).select("a", "b"))
+    """(a, b) keys of different lines (key, line, n, sketch) within ``edits`` edits, each pair once, with the
+    other columns of lines named a_ and b_."""
+    met = stored(candidate_pairs(lines, edits))
+    lines = lines.drop("n", "sketch")
+    for side in ("a", "b"):
+        named = [F.col(c).alias(side if c == "key" else f"{side}_{c}") for c in lines.columns]
+        met = met.join(lines.select(*named), side)
+    return met.where(F.levenshtein("a_line", "b_line", edits) >= 0).drop("a_line", "b_line")
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
-    """(doc_id, idx) of every line occurrence that goes; idx numbers the document's distinct lines."""
+    """(doc_id, idx) of every line occurrence that goes; idx numbers the document's distinct lines.
+
+    The distinct lines are written once, with the place where they first occur; only the keys of lines that
+    lose an occurrence meet the occurrences again."""
     at = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.array_distinct(_lines(F.col("text"))))
                                                  .alias("idx", "line"))
-    at = at.where(F.char_length("line") >= min_chars)
-    keyed = at.select("doc_id", "idx", _line_key(F.col("line")).alias("key"))
-    first = keyed.groupBy("key").agg(F.min("doc_id").alias("first_doc"),
-                                     F.min_by("idx", "doc_id").alias("first_idx"))
-    lines = at.select(_line_key(F.col("line")).alias("key"), "line").dropDuplicates(["key"])
-    pairs = stored(near_line_pairs(lines, edits))
-    place = F.struct("first_doc", "first_idx", "key")
-    places = first.select("key", place.alias("place"))
-    both = (pairs.join(places.select(F.col("key").alias("a"), F.col("place").alias("place_a")), "a")
-            .join(places.select(F.col("key").alias("b"), F.col("place").alias("place_b")), "b"))
-    later = (both.select(F.when(F.col("place_a") < F.col("place_b"), F.col("b")).otherwise(F.col("a")).alias("key"))
-             .distinct().withColumn("near", F.lit(True)))
-    judged = keyed.join(first, "key").join(later, "key", "left")
-    goes = F.col("near").isNotNull() | (F.col("doc_id") != F.col("first_doc")) | (F.col("idx") != F.col("first_idx"))
-    return judged.where(goes).select("doc_id", "idx")
+    at = at.where(F.char_length("line") >= min_chars).withColumn("key", _line_key(F.col("line")))
+    lines = at.groupBy("key").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "idx")).alias("place"),
+                                  F.count("*").alias("times"))
+    lines = stored(_sketched(lines.withColumn("n", F.char_length("line").cast("int"))))
+    pairs = near_line_pairs(lines.drop("times"), edits)
+    earlier = F.struct("a_place", "a") < F.struct("b_place", "b")
+    later = pairs.select(F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
+    later = stored(later.withColumn("near", F.lit(True)))
+    losing = stored(lines.select("key", "place", "times").join(later, "key", "left")
+                    .where("near or times > 1").select("key", "place", "near"))
+    goes = F.col("near").isNotNull() | (F.struct("doc_id", "idx") != F.col("place"))
+    return at.select("doc_id", "idx", "key").join(losing, "key").where(goes).select("doc_id", "idx")
 
 
 def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
