@@ -111,13 +111,14 @@ def candidate_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 
 def near_line_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """(a, b) keys of different lines (key, line, n, sketch) within ``edits`` edits, each pair once, with the
-    other columns of lines named a_ and b_. What is left after each join is written, so that the lines are
-    shuffled only where the pairs are too many to broadcast."""
+    other columns of lines named a_ and b_. The lines are read once, for the keys that occur in pairs; only
+    those that are left meet the pairs."""
     met = stored(candidate_pairs(lines, edits))
-    lines = lines.drop("n", "sketch")
+    keys = met.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    lines = stored(lines.drop("n", "sketch").join(stored(keys), "key", "left_semi"))
     for side in ("a", "b"):
         named = [F.col(c).alias(side if c == "key" else f"{side}_{c}") for c in lines.columns]
-        met = stored(met.join(lines.select(*named), side))
+        met = met.join(lines.select(*named), side)
     return met.where(F.levenshtein("a_line", "b_line", edits) >= 0).drop("a_line", "b_line")
 
 
