@@ -32,9 +32,16 @@ from pyspark.sql import functions as F
 # and the elements whose start ends an open paragraph
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style template noscript head title iframe object svg canvas textarea select option "
-                   "datalist math audio video".split())
+                   "datalist audio video mphantom annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
-                   "span strike strong sub sup time tt u var wbr br img output ruby rt rp nobr".split())
+                   "span strike strong sub sup time tt u var wbr br img output ruby rt rp nobr math semantics maction "
+                   "menclose merror mfrac mi mmultiscripts mn mo mover mpadded mprescripts mroot mrow ms mspace msqrt "
+                   "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split())
+# What may stand in a head; anything else ends one that is open. In formulas, elements that set text apart,
+# and hidden ones, which the slash of an empty tag ends
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+APART = frozenset("br img mspace mtd mtr".split())
+EMPTY_IN_MATH = frozenset("mphantom annotation annotation-xml".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption "
                            "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search "
                            "section summary table ul".split())
@@ -83,6 +90,7 @@ class Tree(HTMLParser):
         self.nodes = [Node("#page", -1)]
         self.open = [(0, "#page")]  # (node, tag) of open block elements
         self.hidden: list[str] = []
+        self.past_head = False
         self.links = 0
         self.label = 0
         self._start_run()
@@ -117,11 +125,22 @@ class Tree(HTMLParser):
             elif name in SCOPES or name not in CLOSES_ITSELF:
                 return
 
+    def _end_head(self) -> None:
+        """A head without an end tag ends at the first thing that may not stand in it."""
+        if self.hidden == ["head"]:
+            self.hidden = []
+        if not self.hidden:
+            self.past_head = True
+
     def handle_starttag(self, tag: str, attrs) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if self.hidden:
-            if tag not in VOID:
+            if tag not in VOID and (tag not in ("head", "html") or self.hidden != ["head"]):
                 self.hidden.append(tag)
             return
+        if tag == "head" and self.past_head:
+            return
         if tag in HIDDEN:
             if tag not in VOID:
                 self.hidden.append(tag)
@@ -129,8 +148,8 @@ class Tree(HTMLParser):
         if tag == "a":
             self.links = 1
         if tag in INLINE:
-            if tag in ("br", "img", "wbr"):
-                self.run.append(" " if tag != "wbr" else "")
+            if tag in APART:
+                self.run.append(" ")
             return
         if tag == "input":
             return
@@ -147,9 +166,12 @@ class Tree(HTMLParser):
         self.open.append((len(self.nodes) - 1, tag))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
-        self.handle_starttag(tag, attrs)  # the slash means nothing on elements of HTML
+        if tag not in EMPTY_IN_MATH:
+            self.handle_starttag(tag, attrs)  # the slash means nothing on elements of HTML
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in ("head", "body", "html", "br"):
+            self._end_head()
         if self.hidden:
             if tag in self.hidden:
                 while self.hidden.pop() != tag:
@@ -169,6 +191,8 @@ class Tree(HTMLParser):
             self.flush()
 
     def handle_data(self, data: str) -> None:
+        if not self.past_head and data.strip("\t\n\f\r "):
+            self._end_head()
         if not self.hidden:
             self.run.append(data)
             self.run_chars += len(data)

@@ -244,6 +244,21 @@ def test_main_text(spark):
     assert html.extracted(df.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("page,want", (
+    ("<html><head><title>T</title><body><p>Some prose.</p>", ["Some prose."]),
+    ("<head><meta charset=utf-8><link rel=x><style>p{}</style><div><p>Some prose.</p></div>", ["Some prose."]),
+    ("<head><title>T</title><img src=x>Some prose.", ["Some prose."]),
+    ("<head><title>T</title>\nSome prose.<p>More.", ["Some prose.", "More."]),
+    ("<head><title>T</title></body>Some prose.", ["Some prose."]),
+    ("<head><noscript><img src=x></noscript><script>a</script></head><p>Some prose.", ["Some prose."]),
+    ("<head><title>T</title></head><body><p>Some<head> prose.</p><p>More.", ["Some prose.", "More."]),
+    ("<p>As <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math>"
+     " holds.</p>", ["As x=2 holds."]),
+    ("<p>A <math><mphantom/><mi>y</mi></math> too.</p>", ["A y too."])))
+def test_heads_and_formulas(page, want):
+    assert [x.text for x in html.parse(page) if x.tag == "#text"] == want
+
+
 def test_marginals_are_exact():
     """Sum-product against the sum over all labellings of a small tree."""
     from itertools import product
