@@ -246,21 +246,24 @@ def missing_references(edges: DataFrame, source: str, target: str, known: DataFr
 
 
 def circular_references(edges: DataFrame, source: str, target: str) -> DataFrame:
-    """Nodes that lie on a reference cycle, or on a path from one cycle to another.
-
-    A node without a way in or without a way out is on neither; such nodes are peeled off
-    until nothing changes.  Every round is two semi joins on distinct edges, cut from its
-    lineage, so the state never exceeds the edge list."""
-    left = materialize(edges.select(F.col(source).alias("s"), F.col(target).alias("t"))
-                       .where("s is not null and t is not null").distinct())
-    size, now = None, left.count()
+    """Nodes that lie on a reference cycle, that is, reach themselves.
+
+    Nodes without a way in or without a way out reach nothing that leads back and are dropped first.  Then
+    paths are joined with paths, so that every round doubles their length, until no pair of nodes is new:
+    rounds grow with the logarithm of the longest path.  The state, cut from its lineage in every round, is
+    the pairs of nodes of which one reaches the other."""
+    named = (edges.select(F.col(source).alias("s"), F.col(target).alias("t"))
+             .where("s is not null and t is not null").distinct())
+    inner = named.join(named.select(F.col("s").alias("x")).distinct(), F.col("t") == F.col("x"), "left_semi").join(
+        named.select(F.col("t").alias("x")).distinct(), F.col("s") == F.col("x"), "left_semi")
+    reach = materialize(inner)
+    size, now = None, reach.count()
     while now and now != size:
-        sources = left.select(F.col("s").alias("x")).distinct()
-        targets = left.select(F.col("t").alias("x")).distinct()
-        left = materialize(left.join(sources, F.col("t") == F.col("x"), "left_semi")
-                           .join(targets, F.col("s") == F.col("x"), "left_semi"))
-        size, now = now, left.count()
-    return findings(left.select("s").distinct(), ERROR, "circular_reference", F.col("s"),
+        onward = reach.select(F.col("s").alias("t"), F.col("t").alias("end"))
+        longer = reach.join(onward, "t").select("s", F.col("end").alias("t"))
+        reach = materialize(reach.unionByName(longer).distinct())
+        size, now = now, reach.count()
+    return findings(reach.where("s = t").select("s"), ERROR, "circular_reference", F.col("s"),
                     "circular include detected")
 
 

@@ -295,6 +295,18 @@ def test_cycles(spark):
     assert [(r["key"], r["message"]) for r in found if r["message"] == "not found: f"] == [("e", "not found: f")]
 
 
+def test_between_cycles(spark, monkeypatch):
+    """A node between two cycles is on none; a ring of 40 nodes is read in about log2(40) rounds."""
+    pairs = [("a", "b"), ("b", "a"), ("b", "m"), ("m", "c"), ("c", "d"), ("d", "c"), ("d", "z")]
+    found = ck.circular_references(spark.createDataFrame(pairs, "s string, t string"), "s", "t")
+    assert sorted(names(found, "key")) == ["a", "b", "c", "d"]
+    rounds, plain = [], ck.materialize
+    monkeypatch.setattr(ck, "materialize", lambda df: rounds.append(1) or plain(df))
+    ring = [(i, (i + 1) % 40) for i in range(40)] + [(39, 50)] + [(i, i + 1) for i in range(50, 70)]
+    found = ck.circular_references(spark.createDataFrame(ring, "s long, t long"), "s", "t")
+    assert sorted(int(x) for x in names(found, "key")) == list(range(40)) and len(rounds) <= 10
+
+
 def test_drift(spark):
     before = spark.createDataFrame([("t", "a", 50.0), ("t", "b", 10.0), ("t", "c", 1.0)], "table string, column string, completeness_pct double")
     after = spark.createDataFrame([("t", "a", 50.0), ("t", "b", 30.0), ("t", "d", 1.0)], "table string, column string, completeness_pct double")
