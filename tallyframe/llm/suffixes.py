@@ -5,7 +5,13 @@ hash (the leftmost of equals), which depends on the string alone. So equal strin
 bucket of their anchor's gram, and a document sends one entry per anchor instead of one per byte. The entry
 holds the stretch of starts the anchor stands for and a hash of all bytes they cover: in a bucket, a
 stretch whose hash also occurs in a smaller document is settled at once. Entries travel in columnar blocks,
-one per task and partition of the grams.
+some per task and partition of the grams; partitions grow with the bytes of the input.
+
+No task holds all entries of a common passage: a task settles the stretches of its own block first, so that
+of one stretch only the least document of each block travels as an entry, and deals grams that are still
+crowded in its block out by gram and cover, leaving a mark where the gram belongs, so that the rest of the
+bucket is refined with them. Grams with more stretches to refine than one task should hold are refined as
+strings: the least document of each is an aggregate combined map-side, joined back.
 
 Stretches that share only the gram are refined: their bytes are fetched, and the starts of a bucket are
 sorted by the identifier of the q-gram bucket (q = 8) at offset 0, then at 8, at 16 and so on. Each round
@@ -39,6 +45,9 @@ _BYTES = byte_table(61)
 _ROW = odd_numbers(67, 2)
 _AT_BITS = np.uint64((1 << 24) - 1)
 REFINED_ROWS = 60_000
+PART_BYTES = 32 << 20
+#: Unsettled entries of one gram that a block sends to the gram's partition.
+CROWD = 64
 
 BLOCK = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.BinaryType())])
 BLOCK_ANCHORS = 1 << 20
@@ -46,6 +55,10 @@ BLOCK_ANCHORS = 1 << 20
 #: tells most of them apart, covers are told apart within their gram.
 ENTRY = {"gram": 5, "cover": 6, "row": 4, "start": 5, "ahead": 1, "n": 1}
 ROWS = {"doc_id": 8, "tag": 3}
+#: Kinds of blocks: entries of whole grams, entries of crowded grams, and stretches settled in their block.
+WHOLE, CROWDED, SETTLED = range(3)
+SETTLED_ENTRY = {"row": 4, "start": 5, "n": 1}
+_LAST = np.iinfo(np.int64).max
 
 
 def _tag(data: bytes) -> int:
@@ -123,28 +136,76 @@ def _unpack(data: np.ndarray, n: int, widths: dict[str, int]) -> dict[str, np.nd
     return out
 
 
-def _anchors(parts: int):
+def _later(cover: np.ndarray, gram: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which entries have a smaller document under the same cover and gram."""
+    order = np.argsort(cover, kind="stable")
+    key = cover[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    key = gram[order]
+    new[1:] |= key[1:] != key[:-1]
+    key = doc[order]
+    least = np.minimum.reduceat(key, np.flatnonzero(new))
+    out = np.empty(len(order), bool)
+    out[order] = key > least[np.cumsum(new) - 1]
+    return out
+
+
+def _crowds(gram: np.ndarray, crowd: int) -> np.ndarray:
+    """The grams that occur more than ``crowd`` times, ascending."""
+    gram = np.sort(gram)
+    heads = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1]))[:len(gram)])
+    return gram[heads[np.diff(heads, append=len(gram)) > crowd]]
+
+
+def _among(gram: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    if not len(grams):
+        return np.zeros(len(gram), bool)
+    return grams[np.minimum(np.searchsorted(grams, gram), len(grams) - 1)] == gram
+
+
+def _anchors(parts: int, crowd: int = CROWD):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
         docs: list[tuple[int, int]] = []
         count = 0
 
         def emit():
-            gram, cover, row, start, ahead, n = (np.concatenate(c) for c in zip(*found))
-            part = (gram % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            lists = list(zip(*found))
+            found.clear()
+            gram, cover, row, start, ahead, n = (np.concatenate(lists.pop(0)) for _ in range(6))
             doc_id, tag = np.array(docs, np.int64).T
+            settled = _later(cover, gram, doc_id[row])
+            crowds = _crowds(gram[~settled], crowd)
+            crowded = ~settled & _among(gram, crowds)
+            low = np.uint64((1 << 40) - 1)
+            mark_part = (crowds % np.uint64(parts)).astype(np.int64)
             keys, blobs = [], []
-            for p in range(parts):
-                use = order[cuts[p]:cuts[p + 1]]
-                if len(use):
+            for kind, chosen, widths in ((WHOLE, ~settled & ~crowded, ENTRY), (CROWDED, crowded, ENTRY),
+                                         (SETTLED, settled, SETTLED_ENTRY)):
+                chosen = np.flatnonzero(chosen)
+                if kind == WHOLE:
+                    part = gram[chosen]
+                elif kind == CROWDED:
+                    part = mixed(gram[chosen] ^ cover[chosen])
+                else:  # in runs, from a place of the block's own
+                    part = gram[0] % np.uint64(parts) + (np.arange(len(chosen), dtype=np.uint64) >> np.uint64(12))
+                part = (part % np.uint64(parts)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                cuts = np.searchsorted(part[order], np.arange(parts + 1))
+                chosen = chosen[order]
+                marked = set(mark_part.tolist()) if kind == WHOLE else set()
+                for p in sorted(marked | set(np.flatnonzero(np.diff(cuts)).tolist())):
+                    use = chosen[cuts[p]:cuts[p + 1]]
+                    marks = crowds[mark_part == p] if p in marked else crowds[:0]
                     rows, at = np.unique(row[use], return_inverse=True)
-                    entry = {"gram": gram[use] & np.uint64((1 << 40) - 1), "cover": cover[use] >> np.uint64(16),
+                    rows = rows if len(rows) else row[:1]
+                    entry = {"gram": np.concatenate((gram[use], marks)) & low, "cover": cover[use] >> np.uint64(16),
                              "row": at, "start": start[use], "ahead": ahead[use], "n": n[use]}
+                    entry = {c: np.concatenate((entry[c], np.zeros(len(marks), entry[c].dtype))) if c != "gram" else entry[c]
+                             for c in widths}
                     keys.append(p)
-                    blobs.append(np.array([len(use), len(rows)], "<i8").tobytes() + _pack(entry, ENTRY)
-                                 + _pack({"doc_id": doc_id[rows], "tag": tag[rows]}, ROWS))
+                    blobs.append(np.array([len(use) + len(marks), len(rows), kind], "<i8").tobytes()
+                                 + _pack(entry, widths) + _pack({"doc_id": doc_id[rows], "tag": tag[rows]}, ROWS))
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())],
                                               names=BLOCK.names)
 
@@ -170,25 +231,41 @@ def _anchors(parts: int):
 JUDGED = T.StructType([
     T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("tag", T.IntegerType()),
     T.StructField("start", T.LongType()), T.StructField("ahead", T.IntegerType()),
-    T.StructField("n", T.IntegerType()), T.StructField("settled", T.BooleanType())])
+    T.StructField("n", T.IntegerType()), T.StructField("many", T.IntegerType()),
+    T.StructField("settled", T.BooleanType())])
 
 
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All entries of a partition of the grams. Of buckets with at least two documents, stretches whose bytes
-    also occur in a smaller document are settled; others are to be refined if the bucket holds several
-    covers."""
-    held: dict[int, list[dict]] = {}
+def _judge(batches: Iterator[pa.RecordBatch], many_from: int) -> Iterator[pa.RecordBatch]:
+    """All entries of a partition. Stretches whose bytes also occur in a smaller document are settled; others
+    are to be refined if their bucket is crowded or holds several covers and documents. Of at least
+    ``many_from`` such entries of a gram, the first has their number in ``many``."""
+
+    def judged(col: dict[str, np.ndarray], use: np.ndarray, settled: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(use), 1 << 16):
+            part_use = use[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(col[c][part_use].astype(np.int32 if f.dataType == T.IntegerType() else np.int64))
+                 for f in JUDGED.fields[:-1] for c in (f.name,)] + [pa.array(settled[at:at + (1 << 16)])],
+                names=JUDGED.names)
+
+    held: dict[tuple[int, int], list[dict]] = {}
     for batch in batches:
         for part, blob in zip(batch.column("part").to_pylist(), batch.column("block")):
             data = np.frombuffer(blob.as_buffer(), np.uint8)
-            n, rows = (int(x) for x in data[:16].view("<i8"))
-            entry = _unpack(data[16:], n, ENTRY)
-            of = _unpack(data[16 + n * sum(ENTRY.values()):], rows, ROWS)
+            n, rows, kind = (int(x) for x in data[:24].view("<i8"))
+            widths = SETTLED_ENTRY if kind == SETTLED else ENTRY
+            entry = _unpack(data[24:], n, widths)
+            of = _unpack(data[24 + n * sum(widths.values()):], rows, ROWS)
             row = entry.pop("row")
-            held.setdefault(part, []).append({**entry, "doc_id": of["doc_id"][row],
-                                              "tag": of["tag"][row].astype(np.int32)})
-    for part in list(held):
-        lists = held.pop(part)
+            entry |= {"doc_id": of["doc_id"][row], "tag": of["tag"][row].astype(np.int32)}
+            if kind == SETTLED:
+                none = np.zeros(n, np.int64)
+                yield from judged({**entry, "gram": none, "ahead": none, "many": none}, np.arange(n), np.ones(n, bool))
+            else:
+                entry["doc_id"][entry["n"] == 0] = _LAST  # a mark, smaller than nothing
+                held.setdefault((part, kind), []).append(entry)
+    for part, kind in list(held):
+        lists = held.pop((part, kind))
         col = {c: np.concatenate([x[c] for x in lists]) for c in lists[0]}
         del lists
         order = np.lexsort((col["doc_id"], col["cover"], col["gram"]))
@@ -199,15 +276,16 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, group = np.cumsum(new_gram) - 1, np.cumsum(new_cover) - 1
         low, high = np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)
         several = np.add.reduceat(new_cover.astype(np.int64), heads) > 1
+        mark = col["n"][order] == 0
+        open_bucket = (low < high) & several | np.logical_or.reduceat(mark, heads)
         settled = doc > doc[covers][group]
-        keep = settled | ((low < high)[bucket] & several[bucket])
-        use, settled = order[keep], settled[keep]
-        for at in range(0, len(use), 1 << 16):
-            part_use = use[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(col[c][part_use].astype(np.int32 if f.dataType == T.IntegerType() else np.int64))
-                 for f in JUDGED.fields[:-1] for c in (f.name,)] + [pa.array(settled[at:at + (1 << 16)])],
-                names=JUDGED.names)
+        keep = ~mark & (settled | open_bucket[bucket] | (kind == CROWDED))
+        use = np.flatnonzero(keep & ~settled)
+        first = np.flatnonzero(np.diff(bucket[use], prepend=-1))
+        sizes = np.diff(first, append=len(use))
+        col["many"] = np.zeros(len(order), np.int32)
+        col["many"][order[use[first]]] = np.where(sizes >= many_from, sizes, 0)
+        yield from judged(col, order[keep], settled[keep])
 
 
 STRETCH = ("gram", "tag", "start", "ahead", "n")
@@ -320,18 +398,59 @@ def _refine_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield judge(pd.concat(held, ignore_index=True))
 
 
-def duplicate_strings(docs: DataFrame) -> DataFrame:
+STRING = T.StructType([
+    T.StructField("string", T.BinaryType()), T.StructField("doc_id", T.LongType()),
+    T.StructField("tag", T.IntegerType()), T.StructField("start", T.LongType())])
+
+
+def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), 1000):
+            rows = batch.iloc[at:at + 1000]
+            found = [(b[x:x + LENGTH], d, t, s + x) for d, t, s, b in zip(rows["doc_id"], rows["tag"], rows["start"],
+                     rows["bytes"]) for x in range(len(b) - LENGTH + 1)]
+            yield pd.DataFrame(found, columns=STRING.names)
+
+
+def _refined_as_strings(opened: DataFrame) -> DataFrame:
+    """(doc_id, tag, start, n) of the starts whose string also occurs in a smaller document."""
+    strings = stored(opened.mapInPandas(_strings, STRING))
+    least = strings.groupBy("string").agg(F.min("doc_id").alias("least"))
+    return (strings.join(least, "string").where("doc_id > least")
+            .select("doc_id", "tag", "start", F.lit(1).alias("n")))
+
+
+def _partitions(docs: DataFrame, part_bytes: int) -> int:
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // part_bytes))
+
+
+def duplicate_strings(docs: DataFrame, part_bytes: int = PART_BYTES, crowd: int = CROWD,
+                      refined_rows: int = REFINED_ROWS) -> DataFrame:
     """(doc_id, tag, start, n): n neighbouring starts of strings of LENGTH bytes that also start in a
     document of smaller doc_id. ``docs`` has doc_id long and text."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    judged = stored(docs.mapInArrow(_anchors(partitions), BLOCK).repartitionById(partitions, F.col("part"))
-                    .mapInArrow(_judge, JUDGED))
-    wanted = judged.where("not settled").groupBy("doc_id").agg(
-        *[F.collect_list(c).alias(f"{c}s") for c in STRETCH])
-    opened = docs.join(wanted.hint("merge"), "doc_id").mapInPandas(_fetch, OPEN)
-    refined = (opened.repartition(partitions, "gram").sortWithinPartitions("gram")
+    partitions = _partitions(docs, part_bytes)
+    # smaller numbers cannot add up to half of refined_rows over all partitions
+    many_from = max(1, refined_rows // (2 * (partitions + 1)))
+    judged = stored(docs.mapInArrow(_anchors(partitions, crowd), BLOCK).repartitionById(partitions, F.col("part"))
+                    .mapInArrow(lambda batches: _judge(batches, many_from), JUDGED))
+    unsettled = judged.where("not settled")
+    large = stored(judged.where("many > 0").groupBy("gram").agg(F.sum("many").alias("many"))
+                   .where(F.col("many") > refined_rows // 2).select("gram"))
+
+    def opened(stretches: DataFrame) -> DataFrame:
+        wanted = stretches.groupBy("doc_id").agg(*[F.collect_list(c).alias(f"{c}s") for c in STRETCH])
+        return docs.join(wanted.hint("merge"), "doc_id").mapInPandas(_fetch, OPEN)
+
+    found = judged.where("settled").select("doc_id", "tag", "start", "n")
+    if large.isEmpty():
+        small = unsettled
+    else:
+        small = unsettled.join(large, "gram", "left_anti")
+        found = found.unionByName(_refined_as_strings(opened(unsettled.join(large, "gram", "left_semi"))))
+    refined = (opened(small).repartition(partitions, "gram").sortWithinPartitions("gram")
                .mapInPandas(_refine_buckets, DUPLICATE))
-    return judged.where("settled").select("doc_id", "tag", "start", "n").unionByName(refined)
+    return found.unionByName(refined)
 
 
 REMOVED = T.StructType([

@@ -309,6 +309,35 @@ def test_repeats(request, which):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) == want
 
 
+@pytest.mark.parametrize("crowd,refined", ((2, 10 ** 6), (2, 3), (10 ** 6, 3), (0, 0)))
+def test_repeats_of_crowded_grams(spark, crowd, refined):
+    """Buckets dealt out by cover, refined as strings, and both, against the plain version."""
+    rng = np.random.default_rng(8)
+    passage, rows = "a passage that every other document has, " * 2, []
+    for d in range(60):
+        noise = ["".join(rng.choice(list("abc "), int(n))) for n in rng.integers(0, 60, 3)]
+        rows.append((d // 2 if d < 8 else d, noise[0] + passage[:60 + d % 9] + noise[1] + "-" * int(rng.integers(40, 90)) + noise[2]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    gone = {}
+    for r in suffixes.duplicate_strings(docs, 500, crowd, refined).collect():
+        gone.setdefault((r["doc_id"], r["tag"]), []).append((r["start"], r["n"]))
+    for (d, t), want in zip(rows, brute.repeats(rows)):
+        starts, ns = np.array(gone.get((d, suffixes._tag(t.encode())), np.zeros((0, 2), np.int64))).T
+        removed, spans, kept = suffixes._cut(t.encode(), starts, ns)
+        assert (len(t.encode()), removed, spans, kept) == want
+    assert suffixes._partitions(docs, 500) == -(-sum(len(t) for _, t in rows) // 500)
+
+
+def test_common_passage_does_not_meet_in_one_partition(spark):
+    """Of a passage in every document, the block sends one document's entries to be judged."""
+    rng = np.random.default_rng(9)
+    passage = "".join(rng.choice(list("abcdefgh "), 300))
+    docs = spark.createDataFrame([(d, passage) for d in range(500)], "doc_id long, text string")
+    [out] = suffixes._anchors(4)(iter(docs.toArrow().combine_chunks().to_batches()))
+    sent = [np.frombuffer(b, "<i8", 3) for b in out.column("block").to_pylist()]
+    assert sum(n for n, _, kind in sent if kind != suffixes.SETTLED) * 500 == sum(n for n, _, _ in sent)
+
+
 def test_repeats_across_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "PIECE", 100)
     rng = np.random.default_rng(2)
