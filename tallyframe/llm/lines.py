@@ -1,7 +1,8 @@
 """Line dedup: a segment-partition edit join in DataFrame expressions only.
 
-A line is a run between line feeds, stripped of spaces, tabs and carriage returns at its ends. Lines of at
-least ``MIN_CHARS`` characters take part; others are left alone. Two lines within ``EDITS`` edits share
+A line is a run between line feeds, stripped of spaces, tabs and carriage returns at its ends. Exact repeats
+are told of lines of every length but empty ones. Only lines of at least ``MIN_CHARS`` characters take part
+in the edit join: two edits make another line of a shorter one. Two lines within ``EDITS`` edits share
 one of EDITS + 1 segments of the shorter line, at a place that its own shift bounds; so every line is
 posted under the hash of each of its segments, with its length and the segment's number, and probes the
 substrings of its own that could be such a segment of a line of equal or smaller length. The join itself
@@ -10,7 +11,10 @@ a segment never become rows; the others are verified with Spark's banded edit di
 
 A line is removed where it occurred before (in the order of doc_id, then of lines), and where a
 different line within EDITS edits first occurred before it; decisions are made on the input, not on what
-is left, so a line may be removed for one that goes itself.
+is left, so a line may be removed for one that goes itself. Repeats of lines under ``MIN_CHARS`` characters
+are reported on their own; as prose repeats short sentences too, a text loses such a line only if at least
+``SHORT_ROWS`` rows have it and these are at least ``SHORT_SHARE`` of all rows, or ``SENTENCE_SHARE`` for a
+line that ends as a sentence does.
 
 Defined results: a null text has no lines and stays null; rows with a null doc_id are left alone; rows
 repeated under one doc_id count as one document, each keeping its first occurrences; an empty table gives
@@ -25,6 +29,10 @@ from tallyframe.sources.sinks import stored
 
 MIN_CHARS = 20
 EDITS = 2
+SHORT_ROWS = 20
+SHORT_SHARE = 0.01
+SENTENCE_SHARE = 0.2
+SENTENCE_END = r"[.!?…。！？‥।؟:;,\"'”’»)）」』]$"
 #: The most frequent letters of English, in that order; other scripts are compared by segments and distance alone.
 LETTERS = "etaoinsrhldcumfp"
 
@@ -123,46 +131,57 @@ def near_line_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
-    """(doc_id, idx) of every line occurrence that goes; idx numbers the document's distinct lines.
+    """(doc_id, idx, short, times, sentence) of every line occurrence that occurred before; idx numbers the
+    document's distinct lines. ``short``: the line has under ``min_chars`` characters, so that only exact
+    repeats count; ``times``: rows that have the line; ``sentence``: it ends as a sentence does.
 
     The distinct lines are written once, with the place where they first occur; only the keys of lines that
     lose an occurrence meet the occurrences again."""
     at = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.array_distinct(_lines(F.col("text"))))
                                                  .alias("idx", "line"))
-    at = at.where(F.char_length("line") >= min_chars).withColumn("key", _line_key(F.col("line")))
+    at = at.where("line <> ''").withColumn("key", _line_key(F.col("line")))
     lines = at.groupBy("key").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "idx")).alias("place"),
                                   F.count("*").alias("times"))
-    lines = stored(_sketched(lines.withColumn("n", F.char_length("line").cast("int"))))
-    pairs = near_line_pairs(lines.drop("times"), edits)
+    lines = lines.withColumn("n", F.char_length("line").cast("int")).where((F.col("n") >= min_chars) | (F.col("times") > 1))
+    lines = stored(_sketched(lines))
+    pairs = near_line_pairs(lines.where(F.col("n") >= min_chars).drop("times"), edits)
     earlier = F.struct("a_place", "a") < F.struct("b_place", "b")
     later = pairs.select(F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
     later = stored(later.withColumn("near", F.lit(True)))
-    losing = stored(lines.select("key", "place", "times").join(later, "key", "left")
-                    .where("near or times > 1").select("key", "place", "near"))
+    losing = stored(lines.join(later, "key", "left").where("near or times > 1")
+                    .select("key", "place", "near", "times", (F.col("n") < min_chars).alias("short"),
+                            F.col("line").rlike(SENTENCE_END).alias("sentence")))
     goes = F.col("near").isNotNull() | (F.struct("doc_id", "idx") != F.col("place"))
-    return at.select("doc_id", "idx", "key").join(losing, "key").where(goes).select("doc_id", "idx")
+    return (at.select("doc_id", "idx", "key").join(losing, "key").where(goes)
+            .select("doc_id", "idx", "short", "times", "sentence"))
 
 
 def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
-    """Per document: doc_id, n_lines (distinct ones), n_dropped, dropped (their numbers, ascending)."""
+    """Per document: doc_id, n_lines (distinct ones), n_dropped, dropped (their numbers, ascending), and
+    repeated_short: the numbers of shorter lines that occurred before, ascending."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    numbers = lambda which: F.sort_array(F.collect_set(F.when(which, F.col("idx"))))
     gone = (repeated_lines(docs, min_chars, edits).groupBy("doc_id")
-            .agg(F.sort_array(F.collect_set("idx")).alias("dropped")))
+            .agg(numbers(~F.col("short")).alias("dropped"), numbers(F.col("short")).alias("repeated_short")))
     sized = docs.select("doc_id", F.coalesce(F.size(F.array_distinct(_lines(F.col("text")))), F.lit(0))
                         .cast("long").alias("n_lines"))
     none = F.array().cast("array<int>")
     return (sized.join(gone, "doc_id", "left")
-            .select("doc_id", "n_lines", F.coalesce("dropped", none).alias("dropped"))
+            .select("doc_id", "n_lines", F.coalesce("dropped", none).alias("dropped"),
+                    F.coalesce("repeated_short", none).alias("repeated_short"))
             .withColumn("n_dropped", F.size("dropped").cast("long")))
 
 
 def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
     """The rows, with their columns, whose text has lost the lines that go and later repeats within the
-    row of lines that take part; other lines stay as they are. A text that had lines and lost them all
-    goes as a row. A text that loses nothing is not touched."""
+    row of lines of at least ``min_chars`` characters; shorter lines go by the rule above, others stay as
+    they are. A text that had lines and lost them all goes as a row. A text that loses nothing is not touched."""
     names = docs.columns
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    gone = (repeated_lines(narrow, min_chars, edits).groupBy("doc_id")
+    rows = narrow.where("doc_id is not null").count()
+    share = F.when(F.col("sentence"), F.lit(SENTENCE_SHARE)).otherwise(F.lit(SHORT_SHARE))
+    common = (F.col("times") >= SHORT_ROWS) & (F.col("times") >= share * rows)
+    gone = (repeated_lines(narrow, min_chars, edits).where(~F.col("short") | common).groupBy("doc_id")
             .agg(F.collect_set("idx").alias("_gone")).withColumnRenamed("doc_id", "_gone_doc"))
     joined = docs.join(gone, docs["doc_id"] == gone["_gone_doc"], "left")
     raw, plain = F.split("text", "\n"), _lines(F.col("text"))
@@ -175,9 +194,9 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: i
     keep = F.filter(
         F.arrays_zip(F.col("_raw").alias("raw"), F.col("_plain").alias("plain"),
                      F.sequence(F.lit(0), F.size("_raw") - 1).alias("at")),
-        lambda x: (F.char_length(x["plain"]) < min_chars) | (
-            ~F.map_contains_key(by_line, x["plain"])
-            & (~repeated | (F.array_position(F.col("_plain"), x["plain"]) == x["at"] + 1))))
+        lambda x: ~F.map_contains_key(by_line, x["plain"]) & (
+            (F.char_length(x["plain"]) < min_chars) | ~repeated
+            | (F.array_position(F.col("_plain"), x["plain"]) == x["at"] + 1)))
     touched = F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ((F.size("_lost") > 0) | repeated)
     joined = joined.withColumn("_kept", F.when(touched, keep))
     text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(

@@ -222,6 +222,27 @@ def test_line_edits(spark):
     assert {d: list(r["dropped"]) for d, r in found.items() if r["dropped"]} == want
 
 
+def test_short_lines(spark):
+    """Exact repeats of short lines are reported; a text loses what is common and no sentence, or very common."""
+    rows = []
+    for d in range(60):
+        text = [f"Own line {d} " + "xyzw"[d % 4] * (d + 9)]
+        text += ["Read more"] * (d % 3 == 0) + ["\u8fd9\u662f\u4e00\u53e5\u8bdd\u3002"] * (d < 8) + ["Yes."] * (d % 6 == 0)
+        text += ["", "All rights reserved."[1:]] + ["Rare words"] * (d in (3, 4)) + ["Read more"] * (d == 9)
+        rows.append((d, "\n".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    report, kept = by_id(lines.line_report(docs)), by_id(lines.without_repeated_lines(docs))
+    seen = set()
+    for d, text in rows:
+        distinct = list(dict.fromkeys(text.split("\n")))
+        short = [x for x in distinct if 0 < len(x) < 20]
+        assert [distinct[i] for i in report[d]["repeated_short"]] == [x for x in short if x in seen]
+        gone = {"Read more", "ll rights reserved."} & seen
+        own = distinct[0] not in kept[d]["text"]
+        assert [x for x in kept[d]["text"].split("\n")] == [x for x in text.split("\n") if x not in gone][own:]
+        seen |= set(short)
+
+
 def test_main_text(spark):
     texts = ["A first line of prose, long enough to be read.\nAnother one, with & and more.\nShort.\nThe last of them is here."] * 5
     model = html.fit(texts)
