@@ -4,7 +4,8 @@ Fitted on a bounded, documented sample of labelled rows: of each language, rows
 doc_id lies below ``sample_per_language`` / rows of that language, so at most about that many whole
 texts are read by the fit at any corpus size. Every text is scored whole. Counts are summed by Spark;
 the log-probability matrix (``BUCKETS`` x languages) is broadcast, and batches are scored as a sparse
-product in numpy, in windows of bounded size.
+product in numpy, in windows of bounded size. Every label is a language, however rare: the matrix takes
+64 KB for each, on the driver and on every executor.
 
 Defined results: ``und`` with score 0 for a null text, a text without letters, or when nothing could be
 learned; rows with a null lang are never learned from; repeated rows are learned as often as they occur;
@@ -25,9 +26,9 @@ UNKNOWN = "und"
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 4000
-MAX_LANGUAGES = 1000
 SMOOTHING = 0.5
 WINDOW = 1 << 18
+SCORES = 1 << 23
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _FACTORS = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
@@ -104,6 +105,10 @@ class Model:
 
     def score(self, texts) -> tuple[list[str], np.ndarray]:
         n, k = len(texts), len(self.languages)
+        rows = max(1, SCORES // max(k, 1))
+        if n > rows:  # a bounded number of scores at once, for any number of languages
+            parts = [self.score(texts[at:at + rows]) for at in range(0, n, rows)]
+            return [x for told, _ in parts for x in told], np.concatenate([x for _, x in parts])
         sums, seen = np.zeros((n, max(k, 1))), np.zeros(n, bool)
         if k:
             for buckets, owners in _windows(texts):
@@ -122,14 +127,10 @@ class Model:
 def fit(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Learn from text and non-null lang of rows that are not held out."""
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not sizes:
-        return Model([], np.zeros((0, BUCKETS)))
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
-                           for x in (lang, min(1.0, sample_per_language / n))])[F.col("lang")]
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of_lang"))
+    share = F.least(F.lit(1.0), F.lit(float(sample_per_language)) / F.col("of_lang"))
     unit = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(unit < share).select("text", "lang")
+    sample = rows.join(F.broadcast(sizes), "lang").where(unit < share).select("text", "lang")
     found = (sample.mapInPandas(_count, "lang string, bucket int, n long")
              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     languages = sorted(found["lang"].unique().tolist())

@@ -161,6 +161,19 @@ def test_language(documents, awkward):
                                                             for r in found.values())
 
 
+def test_every_label_is_learned(spark, monkeypatch):
+    rows = [(i, chr(0x4e00 + i) * 5, f"l{i}") for i in range(1700)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(4))
+    learned = [r for r in rows if not brute.held_out(r[0])]
+    assert len(learned) > 1000 and model.languages == sorted(r[2] for r in learned)
+    some = [r[1] for r in learned[:20]]
+    told, score = model.score(some)
+    assert sum(x == r[2] for x, r in zip(told, learned)) >= 15
+    monkeypatch.setattr(langid, "SCORES", 3 * len(learned))
+    again, same = model.score(some)
+    assert again == told and (same == score).all()
+
+
 def _vectors(spark, n=700, dim=12, seed=5):
     rng = np.random.default_rng(seed)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(n, dim)))]
