@@ -24,6 +24,7 @@ import hashlib
 import math
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -154,15 +155,20 @@ def subtree_sums(nodes: DataFrame, height: int, bands: int) -> DataFrame:
     """(key, leaves, saved): sums over the subtree of each node. ``nodes`` has key, depth, above, and the node's own
     leaves and saved."""
     at_root = F.col("depth") % height == 0
-    within = F.when(at_root, F.array("key")).otherwise(F.concat(F.array("key"), F.col("above")))
-    totals = stored(_for_ancestors(nodes, within))
-    roots = stored(nodes.where(at_root & (F.col("depth") > 0)).select("key", "depth", "above"))
+    ancestors = F.when(at_root, F.array("key")).otherwise(F.concat(F.array("key"), F.col("above")))
+    within = stored(_for_ancestors(nodes, ancestors))
+    roots = stored(nodes.where(at_root & (F.col("depth") > 0)).select("key", "depth", "above").join(within, "key"))
+    parts, risen = [within], None
     for band in range(bands - 1, 0, -1):
-        # complete totals of this band's roots, for their ancestors in the band above
-        complete = roots.where(F.col("depth") == band * height).join(totals, "key")
+        # totals of this band's roots, completed by the band below, count for their ancestors in the band above
+        complete = roots.where(F.col("depth") == band * height)
+        if risen is not None:
+            added = risen.toDF("key", "more_leaves", "more_saved")
+            complete = complete.join(added, "key", "left").select(
+                "above", *[(F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).alias(c) for c in ("leaves", "saved")])
         risen = stored(_for_ancestors(complete, F.col("above")))
-        totals = stored(_sums(totals.unionByName(risen)))
-    return totals
+        parts.append(risen)
+    return _sums(reduce(DataFrame.unionByName, parts))
 
 
 def trie(turns: DataFrame, skipped: Callable[[int], int] = lambda conv_id: 0, height: int | None = None) -> DataFrame:
