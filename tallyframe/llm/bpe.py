@@ -21,14 +21,16 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-CACHE_CHUNKS = 600_000
-BATCH_CHARS = 1 << 24
-OUTPUT_CHUNKS = 1 << 18
+#: Characters of chunks that are remembered, and of texts that are learned and encoded together.
+CACHE_CHARS = 1 << 21
+BATCH_CHARS = 1 << 21
+OUTPUT_CHUNKS = 1 << 17
 # White space of Unicode, and the control characters that Python's split takes as well
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _MORE_SPACE = re.compile("[\x1c-\x1f]")
@@ -172,6 +174,7 @@ class Encoder:
         self.words: dict[str | int, int] = {" ": -1}
         self.word_ids, self.word_cuts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.ids, self.cuts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     @staticmethod
@@ -196,9 +199,10 @@ class Encoder:
         return (self.vocabulary.words_and_gaps.findall(_plain(plain)) + [" "] if plain else []) + out
 
     def learn(self, chunks: set[str]) -> None:
-        if len(self.known) > CACHE_CHUNKS:
+        if self.chars > CACHE_CHARS:
             self.forget()
         new = [c for c in chunks if c not in self.known]
+        self.chars += sum(map(len, new))
         if not new:
             return
         found = self._words_of(new)
@@ -251,11 +255,11 @@ def decode(vocabulary: Vocabulary, ids: bytes) -> str:
     return " ".join([vocabulary.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-def _batches(texts: list[str], limit: int = BATCH_CHARS) -> Iterator[list[str]]:
+def _batches(texts: pa.Array, limit: int = BATCH_CHARS) -> Iterator[list[str]]:
     held, size = [], 0
     for t in texts:
-        held.append(t)
-        size += len(t)
+        held.append(t.as_py() or "")
+        size += len(held[-1])
         if size >= limit:
             yield held
             held, size = [], 0
@@ -274,35 +278,38 @@ def _encoder_of(text: str) -> Encoder:
     return _encoders[text]
 
 
-def _encoder(docs: DataFrame, vocabulary_path: str, kind: T.StructType, row):
+def _encoded_rows(docs: DataFrame, vocabulary_path: str, fields: list[T.StructField], row) -> DataFrame:
+    """doc_id and the fields that ``row`` makes of (identifiers, decoded text), a part of a batch at a time."""
     with open(vocabulary_path, encoding="utf-8") as file:  # a vocabulary, read by the driver
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
+    kind = T.StructType([T.StructField("doc_id", T.LongType()), *fields])
+    arrow = to_arrow_schema(kind)
 
-    @F.pandas_udf(kind)
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder_of(shared.value)
-        for texts in batches:
-            plain = [t or "" for t in texts]
-            out = [row(*found) for part in _batches(plain) for found in encoder.encode(part)]
-            yield pd.DataFrame(out, columns=kind.names)
+        for batch in batches:
+            start = 0
+            for texts in _batches(batch.column("text")):
+                out = [row(*found) for found in encoder.encode(texts)]
+                ids = batch.column("doc_id").slice(start, len(out))
+                start += len(out)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, *[pa.array(c, f.type) for c, f in zip(zip(*out), list(arrow)[1:])]], schema=arrow)
 
-    return encode
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, kind)
 
 
 def encoded(docs: DataFrame, vocabulary_path: str, decoded: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and, if wanted, decoded per row."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
               T.StructField("decoded", T.StringType())][:3 if decoded else 2]
-    encode = _encoder(docs, vocabulary_path, T.StructType(fields),
-                      lambda ids, text: (len(ids) // 4, ids, text)[:len(fields)])
-    return docs.select("doc_id", encode("text").alias("e")).select("doc_id", "e.*")
+    return _encoded_rows(docs, vocabulary_path, fields, lambda ids, text: (len(ids) // 4, ids, text)[:len(fields)])
 
 
 def encoded_digests(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 per row: the same without carrying ids and texts."""
-    kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                         T.StructField("decoded_sha256", T.StringType())])
-    encode = _encoder(docs, vocabulary_path, kind, lambda ids, text: (
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+              T.StructField("decoded_sha256", T.StringType())]
+    return _encoded_rows(docs, vocabulary_path, fields, lambda ids, text: (
         len(ids) // 4, hashlib.sha256(ids).hexdigest(),
         hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
-    return docs.select("doc_id", encode("text").alias("e")).select("doc_id", "e.*")

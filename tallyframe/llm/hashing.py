@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_tables: list[np.ndarray] = []
 
 
 def byte_table(seed: int) -> np.ndarray:
@@ -17,18 +17,18 @@ def odd_numbers(seed: int, n: int) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least n powers of an odd base and of its inverse, modulo 2**64."""
-    size = 1 << max(16, int(n - 1).bit_length())
-    if size not in _tables:
-        out = []
+    """At least n powers of an odd base and of its inverse, modulo 2**64. A process keeps one pair of tables."""
+    if not _tables or len(_tables[0]) < n:
+        size = 1 << max(16, int(n - 1).bit_length())
+        tables = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             table = np.full(size, np.uint64(base), np.uint64)
             table[0] = 1
-            out.append(np.multiply.accumulate(table))
-        if size <= 1 << 23:
-            _tables[size] = tuple(out)
-        return tuple(out)
-    return _tables[size]
+            tables.append(np.multiply.accumulate(table, out=table))
+        if size > 1 << 22:
+            return tuple(tables)
+        _tables[:] = tables
+    return tuple(_tables)
 
 
 def prefix_sums(data: np.ndarray, table: np.ndarray, up: np.ndarray) -> np.ndarray:

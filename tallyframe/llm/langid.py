@@ -164,6 +164,5 @@ def predict_languages(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = 0.5, model: Model | None = None) -> DataFrame:
     """The rows, with their columns, whose language is told with at least ``min_score``; the others go."""
     predict = _predictor(docs, model or fit(docs))
-    told = docs.select(*[F.col(f"`{c}`") for c in docs.columns], predict("text").alias("_langid"))
-    told = told.where((F.col("_langid.lang") != UNKNOWN) & (F.col("_langid.score") >= min_score))
-    return told.drop("_langid")
+    told = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), predict("text").alias("p"))
+    return told.where((F.col("p.lang") != UNKNOWN) & (F.col("p.score") >= min_score)).select("row.*")

@@ -12,13 +12,16 @@ a segment never become rows; the others are verified with Spark's banded edit di
 A line is removed where it occurred before (in the order of doc_id, then of lines), and where a
 different line within EDITS edits first occurred before it; decisions are made on the input, not on what
 is left, so a line may be removed for one that goes itself. Repeats of lines under ``MIN_CHARS`` characters
-are reported on their own; as prose repeats short sentences too, a text loses such a line only if at least
-``SHORT_ROWS`` rows have it and these are at least ``SHORT_SHARE`` of all rows, or ``SENTENCE_SHARE`` for a
-line that ends as a sentence does.
+are reported on their own. As prose and programs repeat short lines too, a text loses such a line only if it is
+page furniture: at least two words with a letter, and no end of a sentence.
 
-Defined results: a null text has no lines and stays null; rows with a null doc_id are left alone; rows
-repeated under one doc_id count as one document, each keeping its first occurrences; an empty table gives
-an empty result; texts of any length are split whole."""
+Rows are told apart by doc_id and a hash of the text (36 bits; within one doc_id only), rows that are equal in both
+get equal answers. Lines are told apart by 64-bit hashes.
+
+Defined results: a null text has no lines and stays null; rows with a null doc_id are left alone; equal rows
+repeated under one doc_id count as one document, each keeping its first occurrences; rows of one doc_id with other
+texts are documents of their own, in the order of their hashes; an empty table gives an empty result; other columns
+may have any name; texts of any length are split whole, and the work grows with the number of their lines."""
 
 from __future__ import annotations
 
@@ -29,10 +32,10 @@ from tallyframe.sources.sinks import stored
 
 MIN_CHARS = 20
 EDITS = 2
-SHORT_ROWS = 20
-SHORT_SHARE = 0.01
-SENTENCE_SHARE = 0.2
 SENTENCE_END = r"[.!?…。！？‥।؟:;,\"'”’»)）」』]$"
+WORDS_WITH_LETTER = r"(?s)^(?=.*\p{L}).*\S\s+\S"
+#: Bits of a spot that number the line, above them is the hash of the text.
+SPOT_BITS = 28
 #: The most frequent letters of English, in that order; other scripts are compared by segments and distance alone.
 LETTERS = "etaoinsrhldcumfp"
 
@@ -130,17 +133,23 @@ def near_line_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     return met.where(F.levenshtein("a_line", "b_line", edits) >= 0).drop("a_line", "b_line")
 
 
-def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
-    """(doc_id, idx, short, times, sentence) of every line occurrence that occurred before; idx numbers the
-    document's distinct lines. ``short``: the line has under ``min_chars`` characters, so that only exact
-    repeats count; ``times``: rows that have the line; ``sentence``: it ends as a sentence does.
+def _text_key(text: Column) -> Column:
+    return F.shiftright(F.xxhash64(text), SPOT_BITS)
+
+
+def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, every: bool = False) -> DataFrame:
+    """(doc_id, text_key, idx, short, furniture) of every line occurrence that occurred before. idx numbers the
+    distinct lines of the text or, with ``every``, all of them. ``short``: the line has under ``min_chars``
+    characters, so that only exact repeats count; ``furniture``: see above.
 
     The distinct lines are written once, with the place where they first occur; only the keys of lines that
     lose an occurrence meet the occurrences again."""
-    at = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.array_distinct(_lines(F.col("text"))))
-                                                 .alias("idx", "line"))
-    at = at.where("line <> ''").withColumn("key", _line_key(F.col("line")))
-    lines = at.groupBy("key").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "idx")).alias("place"),
+    lines = _lines(F.col("text"))
+    at = docs.where("doc_id is not null").select("doc_id", _text_key(F.col("text")).alias("text_key"), F.posexplode(
+        lines if every else F.array_distinct(lines)).alias("idx", "line")).where("line <> ''")
+    spot = F.shiftleft(F.col("text_key"), SPOT_BITS).bitwiseOR(F.col("idx").cast("long"))
+    at = at.select("doc_id", spot.alias("spot"), "line", _line_key(F.col("line")).alias("key"))
+    lines = at.groupBy("key").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "spot")).alias("place"),
                                   F.count("*").alias("times"))
     lines = lines.withColumn("n", F.char_length("line").cast("int")).where((F.col("n") >= min_chars) | (F.col("times") > 1))
     lines = stored(_sketched(lines))
@@ -148,12 +157,13 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDI
     earlier = F.struct("a_place", "a") < F.struct("b_place", "b")
     later = pairs.select(F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
     later = stored(later.withColumn("near", F.lit(True)))
+    furniture = F.col("line").rlike(WORDS_WITH_LETTER) & ~F.col("line").rlike(SENTENCE_END)
     losing = stored(lines.join(later, "key", "left").where("near or times > 1")
-                    .select("key", "place", "near", "times", (F.col("n") < min_chars).alias("short"),
-                            F.col("line").rlike(SENTENCE_END).alias("sentence")))
-    goes = F.col("near").isNotNull() | (F.struct("doc_id", "idx") != F.col("place"))
-    return (at.select("doc_id", "idx", "key").join(losing, "key").where(goes)
-            .select("doc_id", "idx", "short", "times", "sentence"))
+                    .select("key", "place", "near", (F.col("n") < min_chars).alias("short"), furniture.alias("furniture")))
+    goes = F.col("near").isNotNull() | (F.struct("doc_id", "spot") != F.col("place"))
+    return (at.select("doc_id", "spot", "key").join(losing, "key").where(goes)
+            .select("doc_id", F.shiftright("spot", SPOT_BITS).alias("text_key"),
+                    F.col("spot").bitwiseAND((1 << SPOT_BITS) - 1).cast("int").alias("idx"), "short", "furniture"))
 
 
 def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
@@ -161,46 +171,33 @@ def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS)
     repeated_short: the numbers of shorter lines that occurred before, ascending."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     numbers = lambda which: F.sort_array(F.collect_set(F.when(which, F.col("idx"))))
-    gone = (repeated_lines(docs, min_chars, edits).groupBy("doc_id")
+    gone = (repeated_lines(docs, min_chars, edits).groupBy("doc_id", "text_key")
             .agg(numbers(~F.col("short")).alias("dropped"), numbers(F.col("short")).alias("repeated_short")))
-    sized = docs.select("doc_id", F.coalesce(F.size(F.array_distinct(_lines(F.col("text")))), F.lit(0))
-                        .cast("long").alias("n_lines"))
+    sized = docs.select("doc_id", _text_key(F.col("text")).alias("text_key"), F.coalesce(
+        F.size(F.array_distinct(_lines(F.col("text")))), F.lit(0)).cast("long").alias("n_lines"))
     none = F.array().cast("array<int>")
-    return (sized.join(gone, "doc_id", "left")
+    return (sized.join(gone, ["doc_id", "text_key"], "left")
             .select("doc_id", "n_lines", F.coalesce("dropped", none).alias("dropped"),
                     F.coalesce("repeated_short", none).alias("repeated_short"))
             .withColumn("n_dropped", F.size("dropped").cast("long")))
 
 
 def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
-    """The rows, with their columns, whose text has lost the lines that go and later repeats within the
-    row of lines of at least ``min_chars`` characters; shorter lines go by the rule above, others stay as
-    they are. A text that had lines and lost them all goes as a row. A text that loses nothing is not touched."""
-    names = docs.columns
+    """The rows, with their columns, whose text has lost the lines that go, later repeats within the row among
+    them: lines of at least ``min_chars`` characters, and shorter ones by the rule above; others stay as
+    they are. A text that had lines and lost them all goes as a row. A text that loses nothing is not touched.
+
+    A row travels as one structure, its text as the array of its lines, so that what is left is picked by
+    position."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = narrow.where("doc_id is not null").count()
-    share = F.when(F.col("sentence"), F.lit(SENTENCE_SHARE)).otherwise(F.lit(SHORT_SHARE))
-    common = (F.col("times") >= SHORT_ROWS) & (F.col("times") >= share * rows)
-    gone = (repeated_lines(narrow, min_chars, edits).where(~F.col("short") | common).groupBy("doc_id")
-            .agg(F.collect_set("idx").alias("_gone")).withColumnRenamed("doc_id", "_gone_doc"))
-    joined = docs.join(gone, docs["doc_id"] == gone["_gone_doc"], "left")
-    raw, plain = F.split("text", "\n"), _lines(F.col("text"))
-    distinct = F.array_distinct(plain)
-    lost = F.coalesce(F.col("_gone"), F.array().cast("array<int>"))
-    joined = joined.withColumn("_raw", raw).withColumn("_plain", plain).withColumn(
-        "_lost", F.transform(lost, lambda i: F.get(distinct, i)))
-    repeated = F.size("_plain") != F.size(F.array_distinct("_plain"))
-    by_line = F.map_from_entries(F.transform(F.col("_lost"), lambda x: F.struct(x.alias("k"), F.lit(True).alias("v"))))
-    keep = F.filter(
-        F.arrays_zip(F.col("_raw").alias("raw"), F.col("_plain").alias("plain"),
-                     F.sequence(F.lit(0), F.size("_raw") - 1).alias("at")),
-        lambda x: ~F.map_contains_key(by_line, x["plain"]) & (
-            (F.char_length(x["plain"]) < min_chars) | ~repeated
-            | (F.array_position(F.col("_plain"), x["plain"]) == x["at"] + 1)))
-    touched = F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ((F.size("_lost") > 0) | repeated)
-    joined = joined.withColumn("_kept", F.when(touched, keep))
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform("_kept", lambda x: x["raw"]), "\n"))
-    emptied = F.coalesce((F.size("_kept") == 0) | (F.col("_new") == ""), F.lit(False)) & (F.col("text") != "")
-    joined = joined.withColumn("_new", text).where(~F.coalesce(emptied, F.lit(False)))
-    return joined.select(*[F.col("_new").alias("text") if n == "text" else docs[n] for n in names])
+    gone = (repeated_lines(narrow, min_chars, edits, every=True).where("not short or furniture")
+            .groupBy("doc_id", "text_key").agg(F.collect_set("idx").alias("gone")))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), _text_key(F.col("text")).alias("text_key"),
+        F.split("text", "\n").alias("lines"), F.struct(*[docs[n] for n in docs.columns if n != "text"]).alias("row"))
+    joined = rows.join(gone, ["doc_id", "text_key"], "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    picked = F.transform(left, lambda i: F.get(F.col("lines"), i))
+    text = F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(picked), "\n")
+    joined = joined.select("row", "gone", text.alias("text")).where("gone is null or text <> ''")
+    return joined.select(*[F.col("text") if n == "text" else F.col("row").getField(n).alias(n) for n in docs.columns])

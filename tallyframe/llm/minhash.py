@@ -100,7 +100,7 @@ def _posts(values: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (set size), k1, k2 (128-bit key of the set), posts."""
+    """The columns but text, n (set size), k1, k2 (128-bit key of the set), posts."""
 
     @F.pandas_udf(SIGNATURE)
     def sign(texts: pd.Series) -> pd.DataFrame:
@@ -111,7 +111,8 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
             out.append((len(values), *keys, posts))
         return pd.DataFrame(out, columns=SIGNATURE.names)
 
-    return docs.select("doc_id", sign("text").alias("s")).select("doc_id", "s.*")
+    others = [c for c in docs.columns if c != "text"]
+    return docs.select(*others, sign("text").alias("s")).select(*others, "s.*")
 
 
 def _sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
@@ -147,7 +148,7 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     shingle, and what follows it in either set, with it, must make up the overlap needed."""
     rows = (members.join(sets, members["rep"] == sets["doc_id"])
             .select("rep", "component", F.size("set").alias("n"), F.explode("set").alias("shingle")))
-    rows = rows.withColumn("found", F.count(F.lit(1)).over(Window.partitionBy("shingle")))
+    rows = rows.join(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("found")).hint("merge"), "shingle")
     by_rarity = Window.partitionBy("rep").orderBy("found", "shingle")
     early = rows.withColumn("place", F.row_number().over(by_rarity)).where(
         (F.col("found") > 1) & (100 * (F.col("n") - F.col("place") + 1) >= SIMILARITY_PERCENT * F.col("n")))
@@ -160,10 +161,9 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
             .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links of
-    similarity 0.8 or more), kept (doc_id = component_id)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _grouped(docs: DataFrame, size: int) -> DataFrame:
+    """One row per document: the columns but text, n, k1, k2, component (the smallest doc_id linked with it; null
+    if its links have none)."""
     signed = stored(signatures(docs, size))
     classes = stored(signed.where("n > 0").groupBy("k1", "k2")
                      .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("posts").alias("posts")))
@@ -201,13 +201,29 @@ def near_duplicates(docs: DataFrame, size: int = WORDS) -> DataFrame:
     found = components(links)
     named = classes.select("k1", "k2", "rep").join(found, classes["rep"] == found["node"], "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component"))
+    return signed.drop("posts").join(named, ["k1", "k2"], "left")
+
+
+def near_duplicates(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links of
+    similarity 0.8 or more), kept (doc_id = component_id)."""
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return (signed.join(named, ["k1", "k2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return (_grouped(docs, size).select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def keep_one(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """The rows, with their columns, less those whose component has a smaller doc_id."""
-    dropped = near_duplicates(docs, size).where(~F.col("kept")).select(F.col("doc_id").alias("_dup")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["_dup"], "left_anti")
+    """The rows, with their columns, less near duplicates: of each component one row stays, that of the smallest
+    doc_id (null last), then one of those. Rows without a word are linked with nothing and all stay.
+
+    The rows are written with a number each, by which they are linked, so rows of one doc_id or of none are told
+    apart."""
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("number"),
+                                  F.struct(*[docs[c] for c in docs.columns]).alias("row")))
+    found = _grouped(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"),
+                                     F.col("row.doc_id").cast("long").alias("own_id")), size)
+    first = F.min(F.struct(F.col("own_id").isNull().alias("unnamed"), "own_id", F.col("doc_id").alias("number")))
+    group = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    staying = found.groupBy(group.alias("group")).agg(first.alias("first")).select("first.number")
+    return numbered.join(staying, "number", "left_semi").select("row.*")

@@ -146,8 +146,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     plan = (mix(docs.select("doc_id", "source", "text"), **options).where("taken > 0")
             .dropDuplicates(["doc_id", "source", "text_key"])
             .select(F.struct("doc_id", "source", "text_key", "positions", "order_key").alias("_mix")))
-    kept = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_mix.doc_id"])
-                     & docs["source"].eqNullSafe(plan["_mix.source"])
-                     & (F.xxhash64(docs["text"]) == plan["_mix.text_key"]))
-    return (kept.withColumn("_mix_due", F.explode("_mix.positions"))
-            .orderBy("_mix_due", "_mix.order_key").select(*[docs[n] for n in docs.columns]))
+    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"),
+                       F.struct(*[docs[n] for n in docs.columns]).alias("row"))
+    kept = rows.join(plan, rows["doc_id"].eqNullSafe(plan["_mix.doc_id"])
+                     & rows["source"].eqNullSafe(plan["_mix.source"]) & (rows["text_key"] == plan["_mix.text_key"]))
+    return (kept.select("row", "_mix.order_key", F.explode("_mix.positions").alias("due"))
+            .orderBy("due", "order_key").select("row.*"))
