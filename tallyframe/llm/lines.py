@@ -13,7 +13,7 @@ A line is removed where it occurred before (in the order of doc_id, then of line
 different line within EDITS edits first occurred before it; decisions are made on the input, not on what
 is left, so a line may be removed for one that goes itself. Repeats of lines under ``MIN_CHARS`` characters
 are reported on their own. As prose and programs repeat short lines too, a text loses such a line only if it is
-page furniture: at least two words with a letter, and no end of a sentence.
+page furniture: at least two words with a letter, and no end of a sentence; and not if nothing else is left of it.
 
 Rows are told apart by doc_id and a hash of the text (36 bits; within one doc_id only), rows that are equal in both
 get equal answers. Lines are told apart by 64-bit hashes.
@@ -190,14 +190,18 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: i
     A row travels as one structure, its text as the array of its lines, so that what is left is picked by
     position."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    which = lambda short: F.collect_set(F.when(short, F.col("idx")))
     gone = (repeated_lines(narrow, min_chars, edits, every=True).where("not short or furniture")
-            .groupBy("doc_id", "text_key").agg(F.collect_set("idx").alias("gone")))
+            .groupBy("doc_id", "text_key").agg(which(~F.col("short")).alias("gone"), which(F.col("short")).alias("furniture")))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), _text_key(F.col("text")).alias("text_key"),
         F.split("text", "\n").alias("lines"), F.struct(*[docs[n] for n in docs.columns if n != "text"]).alias("row"))
     joined = rows.join(gone, ["doc_id", "text_key"], "left")
+    picked = lambda at: F.array_join(F.transform(at, lambda i: F.get(F.col("lines"), i)), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
-    picked = F.transform(left, lambda i: F.get(F.col("lines"), i))
-    text = F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(picked), "\n")
-    joined = joined.select("row", "gone", text.alias("text")).where("gone is null or text <> ''")
+    joined = joined.withColumn("text", F.when(F.col("gone").isNull(), F.array_join("lines", "\n")).otherwise(
+        picked(F.array_except(left, "furniture"))))
+    # a text that would be nothing without its furniture keeps it
+    bare = F.col("gone").isNotNull() & (F.col("text") == "")
+    joined = joined.withColumn("text", F.when(bare, picked(left)).otherwise(F.col("text"))).where("gone is null or text <> ''")
     return joined.select(*[F.col("text") if n == "text" else F.col("row").getField(n).alias(n) for n in docs.columns])

@@ -67,7 +67,7 @@ def shingle_sets(texts, size: int):
         n = len(found)
         shingles = np.zeros(n, np.uint64)
         for k in range(size):
-            shingles[:n - k] += found[k:] * factors[k]
+            shingles[:max(0, n - k)] += found[k:] * factors[k]
         shingles = mixed(shingles)
         for a, b in zip(cuts[:-1], cuts[1:]):
             if b - a >= size:

@@ -34,27 +34,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyframe.llm.hashing import byte_table, mixed, odd_numbers, powers, prefix_sums
 from tallyframe.sources.sinks import stored
 
 LENGTH = 50
 GRAM = 16
-PIECE = 1 << 21
+PIECE = 1 << 20
 _BYTES = byte_table(61)
 _ROW = odd_numbers(67, 2)
 _AT_BITS = np.uint64((1 << 24) - 1)
 REFINED_ROWS = 60_000
 PART_BYTES = 32 << 20
+#: Entries of a partition that are unpacked and sorted at once, those of one gram apart.
+RANGE_ENTRIES = 1 << 17
 #: Unsettled entries of one gram that a block sends to the gram's partition.
 CROWD = 64
 
 BLOCK = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block", T.BinaryType())])
-BLOCK_ANCHORS = 1 << 20
+BLOCK_ANCHORS = 1 << 19
 #: Columns of a block and how many bytes of each number travel, from the low end. Grams need no more than
 #: tells most of them apart, covers are told apart within their gram.
 ENTRY = {"gram": 5, "cover": 6, "row": 4, "start": 5, "ahead": 1, "n": 1}
-ROWS = {"doc_id": 8, "tag": 3}
+ROWS = {"doc_id": 8, "tag": 8}
 #: Kinds of blocks: entries of whole grams, entries of crowded grams, and stretches settled in their block.
 WHOLE, CROWDED, SETTLED = range(3)
 SETTLED_ENTRY = {"row": 4, "start": 5, "n": 1}
@@ -63,7 +66,7 @@ _LAST = np.iinfo(np.int64).max
 
 def _tag(data: bytes) -> int:
     """Tells rows of one doc_id apart."""
-    return int.from_bytes(hashlib.blake2b(data, digest_size=3).digest(), "little")
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
 def _windows_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -126,12 +129,16 @@ def _pack(columns: dict[str, np.ndarray], widths: dict[str, int]) -> bytes:
                      for c, w in widths.items()])
 
 
-def _unpack(data: np.ndarray, n: int, widths: dict[str, int]) -> dict[str, np.ndarray]:
+def _unpack(data: np.ndarray, n: int, widths: dict[str, int], names: tuple[str, ...] = (),
+            use: np.ndarray | slice = slice(None)) -> dict[str, np.ndarray]:
+    """Columns (all, or those named) of the entries (all, or those in use) of a block."""
     out, at = {}, 0
     for c, w in widths.items():
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :w] = data[at:at + n * w].reshape(w, n).T
-        out[c] = wide.view("<i8")[:, 0]
+        if not names or c in names:
+            planes = data[at:at + n * w].reshape(w, n)[:, use]
+            wide = np.zeros((planes.shape[1], 8), np.uint8)
+            wide[:, :w] = planes.T
+            out[c] = wide.view("<i8")[:, 0]
         at += n * w
     return out
 
@@ -229,69 +236,99 @@ def _anchors(parts: int, crowd: int = CROWD):
 
 
 JUDGED = T.StructType([
-    T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("tag", T.IntegerType()),
+    T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("tag", T.LongType()),
     T.StructField("start", T.LongType()), T.StructField("ahead", T.IntegerType()),
     T.StructField("n", T.IntegerType()), T.StructField("many", T.IntegerType()),
     T.StructField("settled", T.BooleanType())])
 
 
+class _Packed:
+    """Blocks of entries of one kind as they came, unpacked for a range of grams at a time."""
+
+    def __init__(self):
+        self.blocks: list[tuple[np.ndarray, int, dict[str, np.ndarray]]] = []
+        self.entries = 0
+
+    def add(self, data: np.ndarray, n: int, of: dict[str, np.ndarray]) -> None:
+        self.blocks.append((data, n, of))
+        self.entries += n
+
+    def ranges(self, entries: int) -> Iterator[dict[str, np.ndarray]]:
+        """All entries, about so many at once, those of a gram together."""
+        count = max(1, -(-self.entries // entries))
+        # the partition has taken the low part of the hash, so ranges are dealt by a mixture of it
+        own = [(mixed(_unpack(data, n, ENTRY, ("gram",))["gram"].view(np.uint64)) % np.uint64(count)).astype(np.uint16)
+               for data, n, _ in self.blocks] if count > 1 else None
+        for k in range(count):
+            parts = []
+            for i, (data, n, of) in enumerate(self.blocks):
+                entry = _unpack(data, n, ENTRY, (), slice(None) if own is None else np.flatnonzero(own[i] == k))
+                row = entry.pop("row")
+                entry |= {"doc_id": of["doc_id"][row], "tag": of["tag"][row]}
+                entry["doc_id"][entry["n"] == 0] = _LAST  # a mark, smaller than nothing
+                for c in ("ahead", "n"):
+                    entry[c] = entry[c].astype(np.int8)
+                parts.append(entry)
+            yield {c: np.concatenate([x.pop(c) for x in parts]) for c in list(parts[0])}
+
+
 def _judge(batches: Iterator[pa.RecordBatch], many_from: int) -> Iterator[pa.RecordBatch]:
-    """All entries of a partition. Stretches whose bytes also occur in a smaller document are settled; others
-    are to be refined if their bucket is crowded or holds several covers and documents. Of at least
-    ``many_from`` such entries of a gram, the first has their number in ``many``."""
+    """All entries of a partition, a range of its grams at a time. Stretches whose bytes also occur in a smaller
+    document are settled; others are to be refined if their bucket is crowded or holds several covers and
+    documents. Of at least ``many_from`` such entries of a gram, the first has their number in ``many``."""
+    arrow = to_arrow_schema(JUDGED)
 
     def judged(col: dict[str, np.ndarray], use: np.ndarray, settled: np.ndarray) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(use), 1 << 16):
             part_use = use[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(col[c][part_use].astype(np.int32 if f.dataType == T.IntegerType() else np.int64))
-                 for f in JUDGED.fields[:-1] for c in (f.name,)] + [pa.array(settled[at:at + (1 << 16)])],
-                names=JUDGED.names)
+            columns = [pa.array(col[f.name][part_use].astype(f.type.to_pandas_dtype())) for f in list(arrow)[:-1]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(settled[at:at + (1 << 16)])], schema=arrow)
 
-    held: dict[tuple[int, int], list[dict]] = {}
+    held: dict[tuple[int, int], _Packed] = {}
     for batch in batches:
         for part, blob in zip(batch.column("part").to_pylist(), batch.column("block")):
             data = np.frombuffer(blob.as_buffer(), np.uint8)
             n, rows, kind = (int(x) for x in data[:24].view("<i8"))
             widths = SETTLED_ENTRY if kind == SETTLED else ENTRY
-            entry = _unpack(data[24:], n, widths)
             of = _unpack(data[24 + n * sum(widths.values()):], rows, ROWS)
-            row = entry.pop("row")
-            entry |= {"doc_id": of["doc_id"][row], "tag": of["tag"][row].astype(np.int32)}
             if kind == SETTLED:
-                none = np.zeros(n, np.int64)
+                entry = _unpack(data[24:], n, widths)
+                row = entry.pop("row")
+                entry |= {"doc_id": of["doc_id"][row], "tag": of["tag"][row]}
+                none = np.zeros(n, np.int8)
                 yield from judged({**entry, "gram": none, "ahead": none, "many": none}, np.arange(n), np.ones(n, bool))
             else:
-                entry["doc_id"][entry["n"] == 0] = _LAST  # a mark, smaller than nothing
-                held.setdefault((part, kind), []).append(entry)
+                own = data[24:24 + n * sum(widths.values())].copy()  # not the whole batch
+                held.setdefault((part, kind), _Packed()).add(own, n, of)
     for part, kind in list(held):
-        lists = held.pop((part, kind))
-        col = {c: np.concatenate([x[c] for x in lists]) for c in lists[0]}
-        del lists
-        order = np.lexsort((col["doc_id"], col["cover"], col["gram"]))
-        gram, cover, doc = (col[c][order] for c in ("gram", "cover", "doc_id"))
-        new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
-        new_cover = new_gram | np.concatenate(([True], cover[1:] != cover[:-1]))
-        heads, covers = np.flatnonzero(new_gram), np.flatnonzero(new_cover)
-        bucket, group = np.cumsum(new_gram) - 1, np.cumsum(new_cover) - 1
-        low, high = np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)
-        several = np.add.reduceat(new_cover.astype(np.int64), heads) > 1
-        mark = col["n"][order] == 0
-        open_bucket = (low < high) & several | np.logical_or.reduceat(mark, heads)
-        settled = doc > doc[covers][group]
-        keep = ~mark & (settled | open_bucket[bucket] | (kind == CROWDED))
-        use = np.flatnonzero(keep & ~settled)
-        first = np.flatnonzero(np.diff(bucket[use], prepend=-1))
-        sizes = np.diff(first, append=len(use))
-        col["many"] = np.zeros(len(order), np.int32)
-        col["many"][order[use[first]]] = np.where(sizes >= many_from, sizes, 0)
-        yield from judged(col, order[keep], settled[keep])
+        packed = held.pop((part, kind))
+        for col in packed.ranges(RANGE_ENTRIES):
+            if not len(col["gram"]):
+                continue
+            order = np.lexsort((col["doc_id"], col["cover"], col["gram"]))
+            gram, cover, doc = (col[c][order] for c in ("gram", "cover", "doc_id"))
+            new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
+            new_cover = new_gram | np.concatenate(([True], cover[1:] != cover[:-1]))
+            heads, covers = np.flatnonzero(new_gram), np.flatnonzero(new_cover)
+            bucket, group = np.cumsum(new_gram) - 1, np.cumsum(new_cover) - 1
+            low, high = np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)
+            several = np.add.reduceat(new_cover.astype(np.int64), heads) > 1
+            mark = col["n"][order] == 0
+            open_bucket = (low < high) & several | np.logical_or.reduceat(mark, heads)
+            settled = doc > doc[covers][group]
+            keep = ~mark & (settled | open_bucket[bucket] | (kind == CROWDED))
+            use = np.flatnonzero(keep & ~settled)
+            first = np.flatnonzero(np.diff(bucket[use], prepend=-1))
+            sizes = np.diff(first, append=len(use))
+            col["many"] = np.zeros(len(order), np.int32)
+            col["many"][order[use[first]]] = np.where(sizes >= many_from, sizes, 0)
+            yield from judged(col, order[keep], settled[keep])
 
 
 STRETCH = ("gram", "tag", "start", "ahead", "n")
 OPEN = T.StructType([
     T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()),
-    T.StructField("tag", T.IntegerType()), T.StructField("start", T.LongType()),
+    T.StructField("tag", T.LongType()), T.StructField("start", T.LongType()),
     T.StructField("ahead", T.IntegerType()), T.StructField("bytes", T.BinaryType())])
 
 
@@ -343,7 +380,7 @@ def refine(strings: np.ndarray, bucket: np.ndarray) -> np.ndarray:
 
 
 DUPLICATE = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("tag", T.IntegerType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("tag", T.LongType()),
     T.StructField("start", T.LongType()), T.StructField("n", T.IntegerType())])
 
 
@@ -400,7 +437,7 @@ def _refine_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 STRING = T.StructType([
     T.StructField("string", T.BinaryType()), T.StructField("doc_id", T.LongType()),
-    T.StructField("tag", T.IntegerType()), T.StructField("start", T.LongType())])
+    T.StructField("tag", T.LongType()), T.StructField("start", T.LongType())])
 
 
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
