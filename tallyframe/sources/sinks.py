@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,11 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 NO_JSON_AUDIENCES = ("customer", "sales")
 
 
+#: Frames that ``stored`` has written for each open ``cleared`` block.
+_written: list[list[DataFrame]] = []
+
+
 def work_folder(spark: SparkSession) -> str:
-    """Folder of intermediate tables: ``spark.checkpoint.dir``, or where that is unset a folder of the
-    warehouse, which every executor reaches as well."""
+    """Folder of intermediate tables: ``spark.checkpoint.dir``, or where that is unset a folder of the warehouse. On
+    a cluster, a warehouse in a folder of one machine is refused."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and (warehouse.startswith("file:") or ":" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/_work"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -36,9 +46,25 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_path = path
+    if _written:
+        _written[-1].append(out)
     return out
 
 
+@contextlib.contextmanager
+def cleared() -> Iterator[list[DataFrame]]:
+    """What ``stored`` writes inside the block is deleted at its end, but for the frames put in the list."""
+    kept: list[DataFrame] = []
+    _written.append([])
+    try:
+        yield kept
+    finally:
+        made, staying = _written.pop(), {f.stored_path for f in kept}
+        discard(*[f for f in made if f.stored_path not in staying])
+        if _written:
+            _written[-1].extend(kept)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what ``stored`` wrote for frames that nothing reads any more."""
     for frame in frames:
