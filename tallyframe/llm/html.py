@@ -166,7 +166,9 @@ class Tree(HTMLParser):
         self.open.append((len(self.nodes) - 1, tag))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
-        if tag not in EMPTY_IN_MATH:
+        if tag == "svg" or "svg" in self.hidden:  # there the slash ends the element
+            self._end_head()
+        elif tag not in EMPTY_IN_MATH:
             self.handle_starttag(tag, attrs)  # the slash means nothing on elements of HTML
 
     def handle_endtag(self, tag: str) -> None:

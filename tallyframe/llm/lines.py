@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.sources.sinks import stored
+from tallyframe.sources.sinks import cleared, stored
 
 MIN_CHARS = 20
 EDITS = 2
@@ -191,8 +191,11 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: i
     position."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     which = lambda short: F.collect_set(F.when(short, F.col("idx")))
-    gone = (repeated_lines(narrow, min_chars, edits, every=True).where("not short or furniture")
-            .groupBy("doc_id", "text_key").agg(which(~F.col("short")).alias("gone"), which(F.col("short")).alias("furniture")))
+    with cleared() as kept:
+        gone = repeated_lines(narrow, min_chars, edits, every=True).where("not short or furniture")
+        gone = stored(gone.groupBy("doc_id", "text_key").agg(which(~F.col("short")).alias("gone"),
+                                                             which(F.col("short")).alias("furniture")))
+        kept.append(gone)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), _text_key(F.col("text")).alias("text_key"),
         F.split("text", "\n").alias("lines"), F.struct(*[docs[n] for n in docs.columns if n != "text"]).alias("row"))

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from tallyframe.llm.components import components
 from tallyframe.llm.hashing import byte_table, mixed, odd_numbers, words
-from tallyframe.sources.sinks import stored
+from tallyframe.sources.sinks import cleared, stored
 
 WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -221,9 +221,11 @@ def keep_one(docs: DataFrame, size: int = WORDS) -> DataFrame:
     apart."""
     numbered = stored(docs.select(F.monotonically_increasing_id().alias("number"),
                                   F.struct(*[docs[c] for c in docs.columns]).alias("row")))
-    found = _grouped(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"),
-                                     F.col("row.doc_id").cast("long").alias("own_id")), size)
     first = F.min(F.struct(F.col("own_id").isNull().alias("unnamed"), "own_id", F.col("doc_id").alias("number")))
     group = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    staying = found.groupBy(group.alias("group")).agg(first.alias("first")).select("first.number")
+    with cleared() as kept:
+        found = _grouped(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"),
+                                         F.col("row.doc_id").cast("long").alias("own_id")), size)
+        staying = stored(found.groupBy(group.alias("group")).agg(first.alias("first")).select("first.number"))
+        kept.append(staying)
     return numbered.join(staying, "number", "left_semi").select("row.*")

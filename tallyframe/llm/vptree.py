@@ -28,6 +28,14 @@ SHARD_ROWS = 1 << 16
 SLACK = 1e-9
 
 
+#: Cosines and directions that agree to so many digits are ties.
+DIGITS = 12
+#: Squared chords below this are computed from the difference of the vectors.
+NEAR = 1e-4
+#: A distance and a row in one number, to sort by both.
+DISTANCE_BITS, ROW_BITS = 40, 21
+
+
 class Tree:
     """Vantage-point tree over the rows of ``points`` (distinct unit vectors)."""
 
@@ -58,21 +66,31 @@ class Tree:
 
     @staticmethod
     def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
+        """Chords; those of near directions from their difference, as the cosine has no digits for them."""
+        squares = np.maximum(0.0, 2.0 - 2.0 * (a @ b.T))
+        i, j = np.nonzero(squares < NEAR)
+        for at in range(0, len(i), 4096):
+            x, y = i[at:at + 4096], j[at:at + 4096]
+            squares[x, y] = ((a[x] - b[y]) ** 2).sum(axis=1)
+        return np.sqrt(squares)
 
     def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, chord distances), n x k, of the k nearest; row -1 where there are fewer."""
+        """(rows, chord distances), n x k, of the k nearest; row -1 where there are fewer. Of equal distances
+        (to about 1e-12) the smaller rows come first."""
         n = len(queries)
         best, rows = np.full((n, k), np.inf), np.full((n, k), -1, np.int64)
+        keys = np.full((n, k), np.iinfo(np.int64).max)
 
         def offer(active, candidates, distance):
+            key = np.round(distance * (1 << DISTANCE_BITS)).astype(np.int64) << ROW_BITS | candidates
             d = np.concatenate((best[active], distance), axis=1)
             r = np.concatenate((rows[active], np.broadcast_to(candidates, distance.shape)), axis=1)
+            key = np.concatenate((keys[active], key), axis=1)
             if d.shape[1] > 4 * k:
-                part = np.argpartition(d, 2 * k, axis=1)[:, :2 * k]
-                d, r = np.take_along_axis(d, part, 1), np.take_along_axis(r, part, 1)
-            order = np.argsort(d, axis=1, kind="stable")[:, :k]
-            best[active], rows[active] = np.take_along_axis(d, order, 1), np.take_along_axis(r, order, 1)
+                part = np.argpartition(key, 2 * k, axis=1)[:, :2 * k]
+                d, r, key = (np.take_along_axis(x, part, 1) for x in (d, r, key))
+            order = np.argsort(key, axis=1, kind="stable")[:, :k]
+            best[active], rows[active], keys[active] = (np.take_along_axis(x, order, 1) for x in (d, r, key))
 
         def reach(active):
             return best[active, -1] / self.factor + SLACK
@@ -117,22 +135,28 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """Distinct vectors of one length, their smallest ids, and the tree."""
+    """Distinct directions of one length, the smallest ids of each with their vectors, and the tree."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, factor: float):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, factor: float, leaf: int = LEAF):
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], vectors[order]
-        self.vectors, first, group = np.unique(vectors, axis=0, return_index=True, return_inverse=True)
+        units = _unit(vectors)
+        _, first, group = np.unique(np.round(units, DIGITS) + 0.0, axis=0, return_index=True, return_inverse=True)
         by_id = np.argsort(first, kind="stable")  # rows of the tree in order of their smallest id
         place = np.empty_like(by_id)
         place[by_id] = np.arange(len(by_id))
-        self.vectors, group = self.vectors[by_id], place[group.ravel()]
+        group = place[group.ravel()]
         members = np.argsort(group, kind="stable")
         sizes = np.bincount(group)
         starts = np.cumsum(sizes) - sizes
-        # of equal vectors only the k + 1 smallest ids can be an answer
-        self.ids = [np.unique(ids[members[s:s + n]])[:k + 1] for s, n in zip(starts, sizes)]
-        self.k, self.tree = k, Tree(_unit(self.vectors), factor)
+        # of one direction only the k + 1 smallest ids can be an answer; an id may have several vectors
+        self.ids, self.vectors = [], []
+        for s, n in zip(starts, sizes):
+            mine = members[s:s + n]
+            chosen = mine[np.unique(ids[mine], return_index=True)[1][:k + 1]]
+            self.ids.append(ids[chosen])
+            self.vectors.append(vectors[chosen])
+        self.k, self.tree = k, Tree(units[first[by_id]], factor, leaf)
 
     def answer(self, query_ids: np.ndarray, queries: np.ndarray) -> pd.DataFrame:
         rows, _ = self.tree.search(_unit(queries), self.k + 1)
@@ -140,10 +164,13 @@ class Shard:
         for i, found in enumerate(rows):
             found = found[found >= 0]
             if len(found):
-                score = cosines(self.vectors[found], np.broadcast_to(queries[i], (len(found), queries.shape[1])))
-                pairs = sorted((-s, int(v)) for s, f in zip(score, found) for v in self.ids[f]
-                               if v != query_ids[i])[:self.k]
-                out += [(int(query_ids[i]), v, -s) for s, v in pairs]
+                ids = np.concatenate([self.ids[f] for f in found])
+                near = np.concatenate([self.vectors[f] for f in found])
+                score = cosines(near, np.broadcast_to(queries[i], near.shape))
+                own = ids != query_ids[i]
+                ids, score = ids[own], score[own]
+                order = np.lexsort((ids, -np.round(score, DIGITS)))[:self.k]
+                out += [(int(query_ids[i]), int(ids[j]), float(score[j])) for j in order]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
@@ -190,7 +217,7 @@ def nearest(vectors: DataFrame, id_column: str = "vec_id", vector_column: str =
              .mapInPandas(search, T.StructType([
                  T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
                  T.StructField("score", T.DoubleType())])))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", DIGITS)), "vec_id")
     return (found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

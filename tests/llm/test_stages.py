@@ -124,3 +124,49 @@ def test_bpe_in_small_parts(spark, monkeypatch):
     monkeypatch.setattr(bpe, "BATCH_CHARS", 50)
     monkeypatch.setattr(bpe, "CACHE_CHARS", 30)
     assert sorted(map(repr, bpe.encoded(docs_of(spark, rows), path).collect())) == whole
+
+
+def test_parallel_vectors_tie_by_id(spark):
+    from tallyframe.llm import vptree
+    base = [0.3, -0.7, 0.11, 0.05]
+    rows = [(i, [x * (1 + i) for x in base]) for i in range(40)] + [(i, [0.0, 0.0, float(i), 1.0]) for i in range(40, 60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in vptree.nearest(frame).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert found[0] == [1, 2, 3, 4, 5] and len(found) == 2
+
+
+def test_orthogonal_vectors_tie_by_id():
+    import numpy as np
+
+    from tallyframe.llm import vptree
+    shard = vptree.Shard(np.arange(300), np.eye(300), 5, 1.0, leaf=8)
+    assert shard.answer(np.array([50]), np.eye(300)[50:51])["vec_id"].tolist() == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("spread", (1.0, 0.05))
+def test_recall_of_a_deep_tree(spread):
+    import numpy as np
+
+    from tallyframe.llm import vptree
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 16))
+    vectors = centres[rng.integers(40, size=6000)] * (spread < 1) + spread * rng.normal(size=(6000, 16))
+    ids = np.arange(6000)
+    queries = ids[::50]
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    cos = unit[queries] @ unit.T
+    cos[np.arange(len(queries)), queries] = -2
+    want = {int(q): set(np.argsort(-c)[:5].tolist()) for q, c in zip(queries, cos)}
+    for factor, least in ((1.0, 1.0), (vptree.FACTOR, 0.9)):
+        found = vptree.Shard(ids, vectors, 5, factor, leaf=16).answer(queries, vectors[queries])
+        hits = sum(v in want[q] for q, v in zip(found["query_id"], found["vec_id"]))
+        assert hits >= least * 5 * len(queries)
+
+
+@pytest.mark.parametrize("icon", ('<svg class="i"/>', '<svg viewBox="0 0 1 1" />', '<svg><path d="M0"/><g/></svg>'))
+def test_text_after_an_icon(icon):
+    from tallyframe.llm import html
+    page = f"<html><head><title>T</title></head><body>{icon}<article><p>Before {icon} words.</p><p>More.</p></article>"
+    assert [n.text for n in html.parse(page) if n.tag == "#text"] == ["Before words.", "More."]
