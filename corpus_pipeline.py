@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.llm import bpe, langid, lines, minhash, mixing
-from tallyframe.sources.sinks import stored
+from tallyframe.sources.sinks import cleared, stored
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,5 +49,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        with cleared() as kept:  # what a stage has written goes as its result is there
+            docs = stored(stage(spark, docs, sf_dir))
+            kept.append(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
