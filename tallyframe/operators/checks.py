@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.functions import predicates as pr
 from tallyframe.sources.catalog import has_scope, require_inlined
-from tallyframe.sources.sinks import materialize
+from tallyframe.sources.sinks import discard, stored
 
 ERROR, WARNING = "error", "warning"
 FINDING_COLUMNS = ("severity", "rule", "key", "message")
@@ -245,26 +245,75 @@ def missing_references(edges: DataFrame, source: str, target: str, known: DataFr
                     F.concat(F.lit("not found: "), F.col(target).cast("string")))
 
 
+def _least_label(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, label, least): the least label of the nodes that reach a node over the edges (s, t), its own included.
+
+    A round takes the labels of the nodes one step before and, as the node of a label reaches whom it labels, the
+    label of that node too. So the stretch that a label stands for grows by a factor in each round."""
+    def heard(now: DataFrame) -> DataFrame:
+        step = edges.join(now.select(F.col("node").alias("s"), "least"), "s").select(F.col("t").alias("node"), "least")
+        jump = (now.select("node", F.col("least.node").alias("by")).where("node <> by")
+                .join(now.select(F.col("node").alias("by"), "least"), "by").select("node", "least"))
+        best = step.unionByName(jump).groupBy("node").agg(F.min("least").alias("heard"))
+        return now.join(best, "node", "left").select("node", "label", "before", F.least("least", "heard").alias("least"))
+
+    now = stored(nodes.withColumn("least", F.col("label")))
+    while True:
+        after = stored(heard(heard(now.withColumn("before", F.col("least")))))  # two rounds at once
+        discard(now)
+        now = after
+        if after.where("least <> before").isEmpty():
+            return now
+
+
+def strongly_connected(edges: DataFrame) -> DataFrame:
+    """(node, group) of the nodes of edges (s, t) that lie on a cycle of several nodes; group is one of its nodes.
+
+    Nodes get labels in a random order, anew in each pass. The least label that reaches a node forward splits the
+    graph: no cycle leaves such a part. Within a part, the nodes from which its least label is reached are one
+    strongly connected component. Components and edges between parts go, the rest is split in the next pass, so
+    passes grow with the logarithm of the number of components. The state of a round is the edges and one row for
+    each node."""
+    given = edges
+    edges = stored(edges.where("s <> t").distinct())
+    found, turn = [], 0
+    while True:
+        # a node without a way in or without a way out lies on no cycle
+        inner = edges.join(edges.select(F.col("s").alias("t")).distinct(), "t", "left_semi").join(
+            edges.select(F.col("t").alias("s")).distinct(), "s", "left_semi").select("s", "t")
+        inner = stored(inner)
+        discard(edges)
+        if inner.isEmpty():
+            discard(inner)
+            break
+        nodes = inner.select(F.explode(F.array("s", "t")).alias("node")).distinct()
+        nodes = nodes.select("node", F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node").alias("label"))
+        ahead = _least_label(inner, nodes)
+        part = ahead.select("node", F.col("least").alias("part"))
+        within = stored(inner.join(part.select(F.col("node").alias("s"), F.col("part").alias("from")), "s")
+                        .join(part.select(F.col("node").alias("t"), F.col("part").alias("to")), "t")
+                        .where(F.col("from") == F.col("to")).select("s", "t"))
+        back = _least_label(within.select(F.col("t").alias("s"), F.col("s").alias("t")), nodes)
+        grouped = stored(part.join(back.select("node", "least"), "node").where(F.col("part") == F.col("least"))
+                         .select("node", F.col("part.node").alias("group")))
+        several = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
+        found.append(stored(grouped.join(several, "group").select("node", "group")))
+        done = grouped.select(F.col("node").alias("s"))
+        edges = stored(within.join(done, "s", "left_anti").join(done.withColumnRenamed("s", "t"), "t", "left_anti")
+                       .select("s", "t"))
+        discard(inner, ahead, within, back, grouped)
+        turn += 1
+    return reduce(DataFrame.unionByName, found) if found else given.select(
+        F.col("s").alias("node"), F.col("t").alias("group")).where(F.lit(False))
+
+
 def circular_references(edges: DataFrame, source: str, target: str) -> DataFrame:
-    """Nodes that lie on a reference cycle, that is, reach themselves.
-
-    Nodes without a way in or without a way out reach nothing that leads back and are dropped first.  Then
-    paths are joined with paths, so that every round doubles their length, until no pair of nodes is new:
-    rounds grow with the logarithm of the longest path.  The state, cut from its lineage in every round, is
-    the pairs of nodes of which one reaches the other."""
-    named = (edges.select(F.col(source).alias("s"), F.col(target).alias("t"))
-             .where("s is not null and t is not null").distinct())
-    inner = named.join(named.select(F.col("s").alias("x")).distinct(), F.col("t") == F.col("x"), "left_semi").join(
-        named.select(F.col("t").alias("x")).distinct(), F.col("s") == F.col("x"), "left_semi")
-    reach = materialize(inner)
-    size, now = None, reach.count()
-    while now and now != size:
-        onward = reach.select(F.col("s").alias("t"), F.col("t").alias("end"))
-        longer = reach.join(onward, "t").select("s", F.col("end").alias("t"))
-        reach = materialize(reach.unionByName(longer).distinct())
-        size, now = now, reach.count()
-    return findings(reach.where("s = t").select("s"), ERROR, "circular_reference", F.col("s"),
-                    "circular include detected")
+    """Nodes that lie on a reference cycle, that is, reach themselves: by an edge of their own, or as one of several
+    nodes of a strongly connected component."""
+    named = edges.select(F.col(source).alias("s"), F.col(target).alias("t")).where("s is not null and t is not null")
+    own = named.where("s = t").select(F.col("s").alias("node"))
+    looped = own.unionByName(strongly_connected(named).select("node")).distinct()
+    return findings(looped, ERROR, "circular_reference", F.col("node"), "circular include detected")
 
 
 def summary(found: DataFrame, scope: Column) -> DataFrame:
