@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from showcase.inputs import SUBJECT_KEYS, columns, retail, table, union, with_views
 from showcase.profiles import q
 from showcase.variables import DEMO, MEANING, PROFILE, TOP10, demo_catalog, demo_profile, part_catalog, PART_CATALOG
 from tallyframe.operators import enrich, rollups
-from tallyframe.plans import audience as au, batch, model as md, profile as pf
-from tallyframe.sources import catalog as ct
+from tallyframe.plans import audience as au, batch, model as md, profile as pf, release
+from tallyframe.sources import catalog as ct, sinks
 from tallyframe.sources.registry import Registry
 
 TABLES = ("customer", "orders_n", "events_n", "lineitem", "documents", "nation", "region")
@@ -483,7 +486,9 @@ def _jobs(sf):
 
 def batch_results(spark, sf):
     found = batch.batch_results(spark, _jobs(sf))
-    return found.select("cohort", "schema_name", "status", "patient_count", "table_count", "variables_total",
+    # an error's text names the folder that is missing; its first word is the kind
+    return found.select("cohort", "schema_name", "status", F.regexp_extract("error", r"^\w*", 0).alias("error"),
+                        "patient_count", "table_count", "variables_total",
                         "variables_implemented", F.round("implemented_pct", 4).alias("implemented_pct"),
                         F.round("drop_pct", 4).alias("drop_pct"), "warning_count")
 
@@ -491,7 +496,8 @@ def batch_results(spark, sf):
 _IMPLEMENTED = f"(select count(*) from ({PROFILE}) as p where implemented = 'Yes')"
 _CLICKS = "(select case when count(value) > 0 then 1 else 0 end from events where event_type = 'click')"
 BATCH = (
-    f"select cohort, schema_name, status, patient_count, table_count, total as variables_total, "
+    f"select cohort, schema_name, status, case when status = 'error' then 'AnalysisException' else '' end as error, "
+    f"patient_count, table_count, total as variables_total, "
     f"done as variables_implemented, round(100.0 * done / nullif(total, 0), 4) as implemented_pct, "
     f"round(100.0 * (total - done) / nullif(total, 0), 4) as drop_pct, warnings as warning_count from ("
     f"select 'retail' as cohort, 'retail' as schema_name, 'ok' as status, (select count(*) from customer) as patient_count, "
@@ -509,6 +515,31 @@ def batch_totals(spark, sf):
     return rollups.batch_totals(batch.batch_results(spark, _jobs(sf)))
 
 
+# ---- released models
+
+def hard_fail_rules(spark, sf):
+    """Rules failed by three cohorts as they are written: all customers, those with hardly any debts, and web events."""
+    rich = Registry(spark, "rich", [replace(t, data=t.data.where("c_acctbal > 9999") if t.name == "customer" else t.data)
+                                    for t in retail(spark, sf, "customer", "nation").tables.values()], "customer")
+    cohorts = [(SPEC, retail(spark, sf, "customer", "nation")),
+               (md.CohortSpec("rich", " ", "d", "rich", slug="rich"), rich),
+               (md.CohortSpec("web", "", "", "web", slug="web", status="wip"), retail(spark, sf, "events"))]
+    folder, found = f"{sinks.work_folder(spark)}/releases", []
+    for spec, registry in cohorts:
+        built = md.build_model(spec, registry, ct.catalog_frame(spark, SMALL), CONFIG, generated_at=STAMP, parts={"nulls", "subjects"})
+        found.append(release.release(built, folder)[1])
+    return reduce(DataFrame.unionByName, found)
+
+
+HARD_RULES = (
+    "select 'error' as severity, 'no_patients' as rule, 'rich' as \"key\", 'patient_count must be above 0' as message "
+    "from (select count(*) as n from customer where c_acctbal > 9999) as a where n = 0 union all "
+    "select 'error', 'no_patients', 'retail', 'patient_count must be above 0' "
+    "from (select count(*) as n from customer) as b where n = 0 union all "
+    "select 'error', 'blank_field', 'rich', 'provider must be told' union all "
+    "select 'error', 'no_patients', 'web', 'patient_count must be above 0'")
+
+
 # ---- comparing profiles
 
 def profile_drift(spark, sf):
@@ -569,7 +600,9 @@ QUERIES = {
                                          f"count(*) as n from cat group by 1"),
     "batch_results": (batch_results, BATCH),
     "high_drop_cohorts": (high_drop_cohorts, f"select cohort, drop_pct from ({BATCH}) as b where drop_pct >= 25"),
-    "batch_totals": (batch_totals, "select 3::bigint as cohorts, 2::bigint as ok, 1::bigint as errors"),
+    "batch_totals": (batch_totals, f"select count(*) as cohorts, count(*) filter (where status = 'ok') as ok, "
+                                   f"count(*) filter (where status = 'error') as errors from ({BATCH}) as b"),
+    "hard_fail_rules": (hard_fail_rules, HARD_RULES),
     "profile_drift": (profile_drift, DRIFT),
     "combined_profiles": (combined_profiles, COMBINED),
 }

@@ -180,6 +180,35 @@ def test_write_and_read_back(spark, model, tmp_path):
     assert md.records(model).count() == 1 + 3 + 8 + 6
 
 
+def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
+    out = str(tmp_path)
+    good = spark.createDataFrame([(1, "x")], "a int, b string")
+    assert sinks.read_sections(spark, out, "demo") == {}
+    sinks.write_sections({"tables": good, "columns": good}, out, "demo")
+    bad = spark.createDataFrame([("no number",)], "a string").select(F.expr("cast(a as int)").alias("a"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        sinks.write_sections({"tables": good.unionByName(good), "columns": bad}, out, "demo")
+    now = sinks.read_sections(spark, out, "demo")
+    assert now["tables"].count() == 1 and now["columns"].collect() == good.collect()
+    sinks.write_sections({"tables": good.unionByName(good)}, out, "demo", fmt="csv")
+    now = sinks.read_sections(spark, out, "demo")
+    assert list(now) == ["tables"] and now["tables"].count() == 2
+
+
+def test_hard_rules_gate_the_release(spark, model, tmp_path):
+    from dataclasses import replace
+
+    from tallyframe.plans import release
+    out = str(tmp_path)
+    paths, found = release.release(model, out)
+    assert found.count() == 0 and sinks.current_version(spark, out, "demo")["sections"] == paths
+    nobody = replace(model, summary=model.summary.withColumn("patient_count", F.lit(None).cast("long")),
+                     tables=model.tables.where("table = 'none'"), spec=replace(model.spec, status="wip"))
+    hidden, found = release.release(nobody, out)
+    assert sorted(r["rule"] for r in found.collect()) == ["empty_section", "no_patients"]
+    assert sinks.current_version(spark, out, "demo")["sections"] == paths and hidden != paths
+
+
 def test_batch(spark, tmp_path):
     def fail(spark):
         raise RuntimeError("no such schema")
