@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.functions.errors import is_data_error
+from tallyframe.functions.errors import is_data_error, isolated
 from tallyframe.operators import rollups
 from tallyframe.operators.measures import union_all
 from tallyframe.plans import audience as au, model as md, profile as pf, variables as vb
@@ -133,13 +133,18 @@ def write_batch(spark: SparkSession, jobs: Iterable[Job], directory: str,
 
 def schema_sweep(spark: SparkSession, schemas: Mapping[str, Callable[[], Registry]],
                  parts: Iterable[str] = pf.ALL_PARTS) -> tuple[DataFrame | None, dict[str, str]]:
-    """Basic profile of several schemas as one frame; schemas that cannot be read are skipped."""
-    found, skipped = [], {}
+    """Basic profile of several schemas as one frame, computed and kept; a schema that cannot be opened, or that
+    fails while its rows are read, is skipped with the reason.
+
+    All schemas are profiled in one run; only if it fails they are isolated."""
+    planned, skipped = {}, {}
     for name, opened in schemas.items():
         try:
-            found.append(pf.column_profile(opened(), parts=frozenset(parts), basic=True))
+            planned[name] = pf.column_profile(opened(), parts=frozenset(parts), basic=True)
         except Exception as e:
             skipped[name] = _reason(e)
+    found, faults = isolated(list(planned), lambda some: sinks.materialize(union_all([planned[n] for n in some])))
+    skipped.update(faults)
     return (union_all(found) if found else None), skipped
 
 

@@ -8,10 +8,12 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions import predicates as pr
+from tallyframe.functions.errors import first_line, isolated
 from tallyframe.functions.labels import label
 from tallyframe.operators.measures import union_all
 from tallyframe.sources import catalog as ct
 from tallyframe.sources.registry import Registry, Table
+from tallyframe.sources.sinks import materialize
 
 NAMES, IDS = "names", "concept-ids"
 NO_ID_PAIR = "no id/name column pair can be derived from the matcher column"
@@ -70,7 +72,7 @@ def _with_errors(registry: Registry, found: DataFrame, mode: str) -> DataFrame:
                 try:
                     table.data.select(pr.condition(r["scope_sql"]), *[pr.column(c) for c in _group_columns(r, mode)])
                 except (AnalysisException, ParseException) as e:
-                    reason = next((x for x in str(e).splitlines() if x.strip()), "cannot be resolved")
+                    reason = first_line(e)
         rows.append((*[r[f] if f != "skip_reason" else reason for f in VARIABLE_FIELDS],
                      r["configured_values"], r["configured_ids"]))
     return registry.spark.createDataFrame(rows, found.schema)
@@ -84,7 +86,24 @@ def observed(registry: Registry, found: DataFrame, mode: str = NAMES) -> DataFra
     """(var_key, value, id, n): every value of the matcher under the variable's scope.
 
     All variables of a table share one scan; counts are combined map-side."""
-    rows = [r for r in found.collect() if not r["skip_reason"]]
+    return _observed_rows(registry, [r for r in found.collect() if not r["skip_reason"]], mode)
+
+
+def measured(registry: Registry, found: DataFrame, mode: str = NAMES) -> tuple[DataFrame, DataFrame]:
+    """The variables and ``observed``, computed and kept. A variable that fails while rows are read (say, on a
+    cast) gets the reason as its skip reason and has no observed values; the others are whole."""
+    rows = found.collect()
+    ready = sorted((r for r in rows if not r["skip_reason"]), key=lambda r: r["table"])
+    seen, faults = isolated(ready, lambda some: materialize(_observed_rows(registry, some, mode)))
+    reasons = {r["var_key"]: reason for r, reason in faults}
+    if reasons:
+        at = found.columns.index("skip_reason")
+        found = registry.spark.createDataFrame(
+            [(*r[:at], reasons.get(r["var_key"], r["skip_reason"]), *r[at + 1:]) for r in rows], found.schema)
+    return found, union_all(seen) if seen else registry.spark.createDataFrame([], OBSERVED_SCHEMA)
+
+
+def _observed_rows(registry: Registry, rows: list, mode: str) -> DataFrame:
     frames = []
     for name in sorted({r["table"] for r in rows}):
         table = registry.tables[name]
@@ -196,9 +215,11 @@ def report(found: DataFrame, parts: DataFrame) -> DataFrame:
 
 def discover(registry: Registry, catalog: DataFrame, mode: str = NAMES,
              only_variable: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(variables, partition) of a whole catalogue; see ``report`` and ``suggest_*``."""
-    found = targets(ct.require_inlined(catalog), mode, only_variable, registry)
-    seen, wanted = observed(registry, found, mode), configured(found, mode)
+    """(variables, partition) of a whole catalogue; see ``report`` and ``suggest_*``.
+
+    The data is read here, once; variables whose rows fail are skipped with the reason."""
+    found, seen = measured(registry, targets(ct.require_inlined(catalog), mode, only_variable, registry), mode)
+    wanted = configured(found, mode)
     parts = partition_ids(seen, wanted) if mode == IDS else partition_values(seen.drop("id"), wanted)
     labels = found.select("var_key", "category", "variable")
     return found, parts.join(labels, "var_key")

@@ -249,13 +249,12 @@ def build_model(spec: CohortSpec, registry: Registry, catalog: DataFrame,
         patients, table_count, column_count = None, 0, 0
     else:
         bare = registry
-        profile = pf.column_profile(registry, parts=pf.ALL_PARTS if parts is None else parts, row_limit=row_limit)
+        # measured once; every section and every audience's view is derived from what is kept
+        profile = pf.measured_profile(registry, parts=pf.ALL_PARTS if parts is None else parts, row_limit=row_limit)
         measured = vb.measured_profile(registry, catalog, row_limit, vb.ALL_PARTS if parts is None else parts)
         patients = registry.subject_total()
         table_count = len(registry.tables)
         column_count = sum(len(t.data.columns) for t in registry.tables.values())
-        # measured once; every section and every audience's view is derived from what is kept
-        profile = materialize(profile)
     with_subjects = parts is None or "subjects" in parts
     tables = pf.tables_of(bare, profile) if with_subjects else pf.table_profile(bare)
     return Model(

@@ -8,10 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyframe.functions import kinds
+from tallyframe.functions.errors import is_data_error, isolated
 from tallyframe.functions.labels import label
 from tallyframe.functions.predicates import column as named
 from tallyframe.operators import measures as ms
 from tallyframe.sources.registry import INVENTORY, Registry, Table
+from tallyframe.sources.sinks import materialize
 
 # Number of top values per column.
 SAMPLE_VALUES = 5
@@ -23,12 +25,13 @@ ALL_PARTS = frozenset({"nulls", "spread", "quartiles", "dates", "top", "subjects
 PROFILE_COLUMNS = (
     "schema", "table", "column", "ordinal", "data_type", "kind", "nullable", "row_count",
     "null_count", "completeness_pct", *ms.NUMERIC_FIELDS, "min_date", "max_date",
-    "top_values", "subject_count", "patient_pct",
+    "top_values", "subject_count", "patient_pct", "error",
 )
 _MEASURED = {f.name: f.dataType for f in ms.STATISTICS.fields}
 PROFILE_TYPES = {
     **{f.name: f.dataType for f in INVENTORY.fields},
     "null_count": T.LongType(), "completeness_pct": T.DoubleType(), "patient_pct": T.DoubleType(),
+    "error": T.StringType(),
     **{c: _MEASURED[c] for c in PROFILE_COLUMNS if c in _MEASURED},
 }
 
@@ -59,18 +62,31 @@ def column_measures(registry: Registry, table: Table, parts: frozenset[str] = AL
 def column_profile(registry: Registry, names: Iterable[str] | None = None,
                    parts: frozenset[str] | set[str] = ALL_PARTS, basic: bool = False,
                    sample_values: int = SAMPLE_VALUES, sample_concept: int = SAMPLE_VALUES_CONCEPT,
-                   row_limit: int | None = None) -> DataFrame:
+                   row_limit: int | None = None, isolate: bool = False) -> DataFrame:
     """One row per column with its statistics.
 
     Columns of an empty table are listed with zero counts and are not scanned; the
-    share of subjects is taken over the cohort's subjects, not the table's."""
+    share of subjects is taken over the cohort's subjects, not the table's.
+
+    With ``isolate`` the statistics are computed now, and a column that fails while rows are read (a
+    cast inside a view) has NULL statistics and the reason in ``error``, which is empty otherwise."""
     names = sorted(registry.tables if names is None else names)
     counts = registry.row_counts(names)
-    parts_found = []
+    parts_found, faults = [], {}
     for table in registry.select(names):
         wanted = column_measures(registry, table, frozenset(parts), basic, sample_values, sample_concept)
-        parts_found.extend(ms.measure_parts(table, wanted, counts[table.name], row_limit))
+        if isolate:
+            kept, failed = isolated(wanted, lambda some: [materialize(f) for f in _one_frame(
+                ms.measure_parts(table, some, counts[table.name], row_limit))])
+            parts_found.extend(f for frames in kept for f in frames)
+            faults.update({(table.name, m.key): reason for m, reason in failed})
+        else:
+            parts_found.extend(ms.measure_parts(table, wanted, counts[table.name], row_limit))
     skeleton = registry.inventory(names).withColumnRenamed("column", "key")
+    reasons = registry.spark.createDataFrame(
+        [(*at, reason) for at, reason in faults.items()], "table string, key string, error string")
+    skeleton = (skeleton.join(F.broadcast(reasons), ["table", "key"], "left") if faults
+                else skeleton.withColumn("error", F.lit(None).cast("string")))
     merged = ms.combine(parts_found, skeleton, extra=[
         c for c in skeleton.columns if c not in ("table", "key")]).withColumnRenamed("key", "column")
 
@@ -87,10 +103,26 @@ def column_profile(registry: Registry, names: Iterable[str] | None = None,
             (1 - F.col("null_count") / F.col("row_count")) * 100))
         .withColumn("subject_count", subjects)
         .withColumn("patient_pct", share_of_subjects(F.col("subject_count"), total))
+        .withColumn("error", F.coalesce("error", F.lit("")))
         .select(*PROFILE_COLUMNS)
     )
 
 
+def _one_frame(parts: list[DataFrame]) -> list[DataFrame]:
+    return [ms.union_all(parts)] if parts else []
+
+
+def measured_profile(registry: Registry, *args, **options) -> DataFrame:
+    """The column profile, computed and kept: one run, and only if rows make it fail, columns are isolated to
+    find the failing ones. Takes what ``column_profile`` takes."""
+    try:
+        return materialize(column_profile(registry, *args, **options))
+    except Exception as e:
+        if not is_data_error(e):
+            raise
+        return materialize(column_profile(registry, *args, **options, isolate=True))
+
+
 def share_of_subjects(count, total: int | None):
     """Percent of the cohort's subjects; NULL when their number is unknown or zero."""
     if not total or total <= 0:

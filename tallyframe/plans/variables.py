@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
-from tallyframe.functions.errors import is_data_error
+from tallyframe.functions.errors import first_line, is_data_error, isolated
 from tallyframe.functions import kinds, predicates as pr, text
 from tallyframe.operators import enrich, measures as ms
 from tallyframe.plans.profile import share_of_subjects
@@ -73,10 +73,6 @@ def _is_long_set(row: Row) -> bool:
             and len(match["values"]) > pr.IN_LIST_LIMIT and bool((match["column"] or "").strip()))
 
 
-def _first_line(error: Exception) -> str:
-    return next((x for x in str(error).splitlines() if x.strip()), type(error).__name__)
-
-
 def _sound_scope(table: Table, scope_text: str | None, membership):
     try:
         if membership:
@@ -87,7 +83,7 @@ def _sound_scope(table: Table, scope_text: str | None, membership):
             return F.lit(False), None, f"criteria: not a condition: {scope_text}"
         return scope, None, ""
     except (AnalysisException, ParseException) as e:
-        return F.lit(False), None, f"criteria: {_first_line(e)}"
+        return F.lit(False), None, f"criteria: {first_line(e)}"
 
 
 def _sound_value(table: Table, value_text: str | None, column: str):
@@ -95,7 +91,7 @@ def _sound_value(table: Table, value_text: str | None, column: str):
         value = pr.expression(value_text) if value_text else pr.column(column)
         return value, _type_of(table, value), ""
     except (AnalysisException, ParseException) as e:
-        return F.lit(None).cast("string"), T.StringType(), f"expression: {_first_line(e)}"
+        return F.lit(None).cast("string"), T.StringType(), f"expression: {first_line(e)}"
 
 
 def plan_variable(registry: Registry, key: str, row: Row, parts: Collection[str] = ALL_PARTS) -> Planned:
@@ -156,22 +152,14 @@ def _with_memberships(registry: Registry, name: str, planned: Sequence[Planned])
 
 def _isolated(registry: Registry, name: str, planned: Sequence[Planned], count: int,
               row_limit: int | None) -> tuple[list[DataFrame], dict[str, str]]:
-    """Measure the variables of a table now; halve the set to find those whose rows fail.
-
-    Returns the measured parts and the error of each failing variable."""
-    try:
-        table = _with_memberships(registry, name, planned)
-        parts = ms.measure_parts(table, [p.measure for p in planned], count, row_limit)
-        return ([materialize(ms.union_all(parts))] if parts else []), {}
-    except Exception as e:
-        if not is_data_error(e):
-            raise
-        if len(planned) == 1:
-            return [], {planned[0].key: _first_line(e)}
-        middle = len(planned) // 2
-        first, second = (_isolated(registry, name, half, count, row_limit)
-                         for half in (planned[:middle], planned[middle:]))
-        return first[0] + second[0], {**first[1], **second[1]}
+    """Measure the variables of a table now: the measured parts, and the error of each variable whose rows fail."""
+    def measured(some: Sequence[Planned]) -> DataFrame | None:
+        table = _with_memberships(registry, name, some)
+        parts = ms.measure_parts(table, [p.measure for p in some], count, row_limit)
+        return materialize(ms.union_all(parts)) if parts else None
+
+    found, faults = isolated(planned, measured)
+    return [f for f in found if f is not None], {p.key: reason for p, reason in faults}
 
 
 def variable_profile(registry: Registry, catalog: DataFrame, row_limit: int | None = None,

@@ -227,3 +227,38 @@ def test_column_types_need_no_scan(spark):
     tables = Registry(spark, "s", [Table("a", frame), Table("b", frame)])
     variables.variable_profile(tables, ct.catalog_frame(spark, [dict(variable="V", table="a", column="c")]))
     assert set(tables._row_counts) == {"a"}
+
+
+@pytest.mark.parametrize("mode", [dc.NAMES, dc.IDS])
+def test_a_variable_whose_rows_fail_is_skipped_alone(spark, mode):
+    data = spark.createDataFrame([("a", "1", "5"), ("b", "2", "x"), ("a", "1", "7")],
+                                 "k_concept_name string, k_concept_id string, amount string")
+    tables = Registry(spark, "s", [Table("t", data), Table("u", data)])
+    row = lambda name, table, criteria: dict(variable=name, table=table, column="k_concept_name", criteria=criteria)
+    rows = ct.catalog_frame(spark, [
+        row("first", "t", "TRUE"), row("cast", "t", "cast(amount as int) > 1"), row("second", "u", "amount <> '7'"),
+        row("zero", "u", "1 / (length(amount) - 1) > 0"), row("nothing", "u", "no_such_column = 1")])
+    found, parts = dc.discover(tables, rows, mode)
+    reasons = {r["variable"]: r["skip_reason"] for r in found.collect()}
+    assert [v for v, reason in reasons.items() if not reason] == ["first", "second"]
+    assert "CAST_INVALID_INPUT" in reasons["cast"] and "DIVIDE_BY_ZERO" in reasons["zero"]
+    value = "name" if mode == dc.IDS else "value"
+    assert {(r["variable"], r[value]): r["n"] for r in parts.collect()} == {
+        ("first", "a"): 2, ("first", "b"): 1, ("second", "a"): 1, ("second", "b"): 1}
+
+
+def test_discovery_of_failing_variables_only(spark):
+    data = spark.createDataFrame([("a", "x")], "k_concept_name string, amount string")
+    rows = ct.catalog_frame(spark, [dict(variable="v", table="t", column="k_concept_name", criteria="cast(amount as int) > 1")])
+    found, parts = dc.discover(Registry(spark, "s", [Table("t", data)]), rows)
+    assert parts.count() == 0 and found.first()["skip_reason"]
+    assert dc.report(found, parts).first()["observed"] == 0
+
+
+def test_isolated_costs_one_run_when_sound():
+    from tallyframe.functions.errors import isolated
+    runs = []
+    assert isolated(range(5), lambda some: runs.append(len(some)) or len(some)) == ([5], []) and runs == [5]
+    with pytest.raises(RuntimeError):
+        isolated([1, 2], lambda some: (_ for _ in ()).throw(RuntimeError("executor lost")))
+    assert isolated([], len) == ([], [])

@@ -253,3 +253,27 @@ def test_a_failing_cast_is_isolated(spark):
 
 def test_time_of_day_is_a_date_kind():
     assert kinds.field_kind(T.StructField("x", T.TimeType())) == "date"
+
+
+def test_a_column_whose_rows_fail_keeps_the_others(spark):
+    data = spark.createDataFrame([(1, "7", 1.0), (2, "x", None)], "person_id long, k string, v double")
+    view = data.selectExpr("person_id", "cast(k as int) as number", "v", "k")
+    reg = registry(spark, Table("t", view, "person_id"), Table("u", data, "person_id"))
+    found = {(r["table"], r["column"]): r for r in pf.measured_profile(reg).collect()}
+    assert {k for k, r in found.items() if r["error"]} == {("t", "number")}
+    assert "CAST_INVALID_INPUT" in found["t", "number"]["error"]
+    assert (found["t", "number"]["row_count"], found["t", "number"]["null_count"]) == (2, None)
+    assert found["t", "v"].asDict() == {**found["u", "v"].asDict(), "table": "t", "ordinal": 3}
+    assert found["t", "k"]["subject_count"] == 2 and len(found) == 8
+
+
+def test_a_schema_whose_rows_fail_is_skipped(spark):
+    from tallyframe.plans import batch
+    data = spark.createDataFrame([("7",), ("x",)], "k string")
+    found, skipped = batch.schema_sweep(spark, {
+        "good": lambda: registry(spark, Table("t", data)),
+        "bad": lambda: registry(spark, Table("t", data.selectExpr("cast(k as int) as k"))),
+        "fine": lambda: registry(spark, Table("t", data.selectExpr("k as c")))})
+    assert [r["column"] for r in found.select("column").orderBy("column").collect()] == ["c", "k"]
+    assert list(skipped) == ["bad"] and "CAST_INVALID_INPUT" in skipped["bad"]
+    assert batch.schema_sweep(spark, {"bad": lambda: registry(spark, Table("t", data.selectExpr("cast(k as int) as k")))})[0] is None
