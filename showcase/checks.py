@@ -100,13 +100,30 @@ def check_text_rules(spark, sf):
     return docs.unionByName(talk).unionByName(parts)
 
 
-def _rules_sql(rules):
-    return ("(values " + ", ".join(f"({q(p)}, {q(label)})" for p, label, *_ in rules) + ") as r(pattern, label)")
+# Unicode's white space and word characters, spelled out for a dialect whose classes are ASCII
+SPACE_SQL = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+WORD_SQL = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}"
+
+
+def _unicode_sql(pattern: str) -> str:
+    """The pattern in explicit classes; a word boundary takes the character beside it, which is the same for a test."""
+    flag = "(?i)" if pattern.startswith("(?i)") else ""
+    body = pattern.removeprefix("(?i)")
+    head, body = (f"(?:^|[^{WORD_SQL}])", body[2:]) if body.startswith(r"\b") else ("", body)
+    tail, body = (f"(?:$|[^{WORD_SQL}])", body[:-2]) if body.endswith(r"\b") else ("", body)
+    return flag + head + body.replace(r"\s", SPACE_SQL).replace(r"\w", f"[{WORD_SQL}]") + tail
+
+
+def _rule_hits(source, field, rules):
+    """The source's rows with the label of each rule that its field hits; constant patterns are compiled once."""
+    tests = ", ".join(f"case when regexp_matches({field}, {q(_unicode_sql(p))}) then {q(label)} end"
+                      for p, label, *_ in rules)
+    return f"(select *, unnest([{tests}]) as label from {source}) as hits where label is not null"
 
 
 def _text_rule(key, field, source, rules):
     return found_sql("warning", "text_rule", key, f"'{field} hits style denylist — ' || label",
-                     f"{source}, {_rules_sql(rules)} where regexp_matches({field}, pattern)")
+                     _rule_hits(source, field, rules))
 
 
 TEXT_RULES = f"with {PART_CATALOG} " + union([
@@ -117,6 +134,20 @@ TEXT_RULES = f"with {PART_CATALOG} " + union([
     _text_rule("position", "inclusion_criteria", "cat", ck.TEXT_RULES)])
 
 
+def check_text_rules_unicode(spark, sf):
+    """The documents as a word processor leaves them: no-break spaces, and an accented letter glued to some words."""
+    docs = table(spark, sf, "documents").select(
+        "doc_id", F.translate("text", " ", "\u00a0").alias("wide"),
+        F.replace("text", F.lit("a "), F.lit("a\u00e9 ")).alias("glued"))
+    return ck.text_rules(docs, F.col("doc_id"), ["wide", "glued"], PROSE_RULES)
+
+
+TEXT_RULES_UNICODE = ("with d as (select doc_id, replace(text, ' ', chr(160)) as wide, "
+                      "replace(text, 'a ', 'a' || chr(233) || ' ') as glued from documents) " + union([
+                          _text_rule("doc_id", "wide", "d", PROSE_RULES),
+                          _text_rule("doc_id", "glued", "d", PROSE_RULES)]))
+
+
 def check_id_name_mismatch(spark, sf):
     rows = part_catalog(spark, sf).withColumn(
         "variable", F.when(F.col("proposal").isNotNull(), F.concat("variable", F.lit(" (Concept ID)")))
@@ -276,7 +307,7 @@ with {PART_CATALOG}, f as ({union([
     "select 'required', 'error' from cat where \"column\" = ''",
     "select 'unsafe_pattern', 'warning' from cat, (values (1), (2)) as two(i) where criteria like 'p_name ILIKE%'",
     "select 'enum', 'error' from cat where proposal = 'custom'",
-    f"select 'text_rule', 'warning' from cat, {_rules_sql(ck.TEXT_RULES)} where regexp_matches(description, pattern)"])})
+    f"select 'text_rule', 'warning' from {_rule_hits('cat', 'description', ck.TEXT_RULES)}"])})
 select coalesce(scope, 'total') as scope, count(*) filter (where severity = 'error') as errors,
        count(*) filter (where severity = 'warning') as warnings from f group by rollup (scope)"""
 
@@ -302,8 +333,8 @@ with {PART_CATALOG} select severity, rule, count(*) as n from ({union([
     "select 'error', 'identifier' from cat where match_column is not null and name_column = 'label text'",
     "select 'error', 'enum' from cat where proposal = 'custom'",
     "select 'warning', 'id_name_mismatch' from cat where expression is null and \"column\" = 'drug_concept_id'",
-    f"select 'warning', 'text_rule' from cat, {_rules_sql(ck.TEXT_RULES)} where regexp_matches(description, pattern)",
-    f"select 'warning', 'text_rule' from cat, {_rules_sql(ck.TEXT_RULES)} where regexp_matches(inclusion_criteria, pattern)",
+    f"select 'warning', 'text_rule' from {_rule_hits('cat', 'description', ck.TEXT_RULES)}",
+    f"select 'warning', 'text_rule' from {_rule_hits('cat', 'inclusion_criteria', ck.TEXT_RULES)}",
     "select 'error', 'conditional_required' from cat where effective <> '' and coalesce(inclusion_criteria, '') = ''"])}) as f
 group by 1, 2"""
 
@@ -314,6 +345,7 @@ QUERIES = {
     "check_unsafe_patterns": (check_unsafe_patterns, UNSAFE),
     "check_missing_scope": (check_missing_scope, MISSING_SCOPE),
     "check_text_rules": (check_text_rules, TEXT_RULES),
+    "check_text_rules_unicode": (check_text_rules_unicode, TEXT_RULES_UNICODE),
     "check_id_name_mismatch": (check_id_name_mismatch, ID_NAME),
     "check_int_list": (check_int_list, INT_LIST),
     "check_mutually_exclusive": (check_mutually_exclusive, EXCLUSIVE),

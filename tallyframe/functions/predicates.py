@@ -45,6 +45,13 @@ def column(name: str) -> Column:
 BLANKS = r"[\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
 
+def unicode_pattern(pattern: str) -> str:
+    r"""The pattern with ``\s``, ``\b``, ``\w`` and the case of letters as Unicode has them, and ``.`` stopping at a
+    line feed only, so that a no-break space or an accented letter counts as what it looks like."""
+    spaced = re.sub(r"(?<!\\)((?:\\\\)*)\\s", lambda m: m.group(1) + r"[\s\x1C-\x1F]", pattern)
+    return "(?U)(?d)" + spaced
+
+
 def blank(c: Column) -> Column:
     """NULL, empty, or nothing but white space."""
     return stripped(c) == ""

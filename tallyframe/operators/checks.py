@@ -113,7 +113,7 @@ def allowed_values(df: DataFrame, key: Column | str, field: str, allowed: Iterab
 
 def unsafe_patterns(df: DataFrame, key: Column | str, criteria: str = "criteria") -> DataFrame:
     """ILIKE patterns without wildcard, or open at the end only; one finding per pattern."""
-    patterns = F.regexp_extract_all(F.coalesce(F.col(criteria), F.lit("")), F.lit(r"(?i)ILIKE\s*'([^']*)'"), F.lit(1))
+    patterns = F.regexp_extract_all(F.coalesce(F.col(criteria), F.lit("")), F.lit(pr.unicode_pattern(r"(?i)ILIKE\s*'([^']*)'")), F.lit(1))
     each = df.select(as_column(key).alias("__key"), F.explode(patterns).alias("p"))
     prefix_only = F.col("p").endswith("%") & ~F.col("p").startswith("%")
     message = (
@@ -127,7 +127,7 @@ def unsafe_patterns(df: DataFrame, key: Column | str, criteria: str = "criteria"
 
 def any_pattern(value: Column, patterns: Iterable[str], ignore_case: bool = True) -> Column:
     flag = "(?i)" if ignore_case else ""
-    return reduce(lambda a, b: a | b, [value.rlike(flag + p) for p in patterns])
+    return reduce(lambda a, b: a | b, [value.rlike(pr.unicode_pattern(flag + p)) for p in patterns])
 
 
 def missing_scope(df: DataFrame, key: Column | str, name: str = "variable",
@@ -145,10 +145,11 @@ def text_rules(df: DataFrame, key: Column | str, fields: Sequence[str],
     """One finding per row, field and rule found in the whole text, in a single scan.
 
     Rules are (pattern, label) or (pattern, label, words): a plain search for the words settles
-    most rows before the pattern is tried.  The rules are expressions of one projection: rows
+    most rows before the pattern is tried. Patterns are read in Unicode (``predicates.unicode_pattern``);
+    the words are looked up in lower case, where the long s and the dotless i are letters of their own.  The rules are expressions of one projection: rows
     are never joined with rules, and only texts with a hit leave the scan."""
     def hit(field: str, low: Column, pattern: str, label: str, words: Sequence[str] = ()) -> Column:
-        found = F.col(field).rlike(pattern)
+        found = F.col(field).rlike(pr.unicode_pattern(pattern))
         if words:
             found = reduce(lambda a, b: a | b, [low.contains(w) for w in words]) & found
         return F.when(found, F.struct(F.lit(field).alias("field"), F.lit(label).alias("label")))
@@ -169,7 +170,7 @@ def id_name_mismatch(df: DataFrame, key: Column | str, name: str = "variable", c
     """An id column under a name that does not say so; expressions are not judged."""
     target = pr.stripped(F.col(f"`{column}`"))
     hit = df.where((pr.stripped(F.col(expression)) == "") & (target != "") & target.rlike(id_column)
-                   & ~F.coalesce(F.col(name), F.lit("")).rlike(ID_NAME))
+                   & ~F.coalesce(F.col(name), F.lit("")).rlike(pr.unicode_pattern(ID_NAME)))
     return findings(hit, WARNING, "id_name_mismatch", key, F.concat(
         F.coalesce(F.col(name), F.lit("")), F.lit(" points at ID column "), target))
 
@@ -223,7 +224,7 @@ def metadata_shape(df: DataFrame, key: Column | str, strings: Sequence[str] = ()
 
     for f in strings:
         text = F.trim(F.col(f))
-        check(text, text.rlike(r'^".*"$'), f"{f} must be a string")
+        check(text, text.startswith('"') & text.endswith('"'), f"{f} must be a string")
     for f in lists:
         text = F.trim(F.col(f))
         check(text, text.startswith("[") & F.from_json(text, "array<string>").isNotNull(), f"{f} must be a list")

@@ -191,7 +191,7 @@ def resolve_scope(catalog: DataFrame, value_columns: Iterable[str] = VALUE_COLUM
     the value set, so that values not yet configured can be seen; display is the other way round."""
     own = pr.stripped(F.col("column"))
     explicit = pr.stripped(F.col("match.column"))
-    compared = F.regexp_extract(F.coalesce("criteria", F.lit("")), COMPARED_NAME, 1)
+    compared = F.regexp_extract(F.coalesce("criteria", F.lit("")), pr.unicode_pattern(COMPARED_NAME), 1)
     is_value = F.lower(own).isin(*value_columns)
     for suffix in value_suffixes:
         is_value = is_value | F.lower(own).endswith(suffix)

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.functions import text
@@ -72,3 +73,16 @@ def test_clean(spark):
     df = spark.createDataFrame([([" a ", "", "\n", "b\t"], {"k": " v ", "d": "x"})], "l array<string>, m map<string,string>")
     row = df.selectExpr(text.clean_list("l"), text.clean_map("m")).first()
     assert row[0] == ["a", "b"] and row[1] == {"k": "v", "d": "x"}
+
+
+@pytest.mark.parametrize("pattern, text, hit", [
+    (r"(?i)\bfor\s+both\b", "is for both arms", True), (r"(?i)\bfor\s+both\b", "for \x1cboth", True),
+    (r"\bTODO\b", "éTODO", False), (r"\bTODO\b", "(TODO)", True),
+    (r"a.+b", "a \u0085\rb", True), (r"a.+b", "a\nb", False), (r"^\w+$", "über_1", True),
+    (r"[\s,]x", " x", True), (r"\\s", "a\\s", True), (r"\\s", "a\\ ", False)])
+def test_patterns_are_unicode(spark, pattern, text, hit):
+    from tallyframe.functions import predicates as pr
+    from tallyframe.operators import checks as ck
+    rows = spark.createDataFrame([(text,)], "t string")
+    assert rows.select(F.col("t").rlike(pr.unicode_pattern(pattern))).first()[0] is hit
+    assert ck.text_rules(rows, F.lit("k"), ["t"], [(pattern, "label")]).count() == int(hit)
