@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from showcase.inputs import SUBJECT_KEYS, columns, retail, table, union, with_views
-from showcase.profiles import q
-from showcase.variables import DEMO, MEANING, PROFILE, TOP10, demo_catalog, demo_profile, part_catalog, PART_CATALOG
+from showcase.profiles import cells_sql, q
+from showcase.variables import DEFAULT_INCLUSION, DEMO, MEANING, NOTE_TEXT, PROFILE, TOP10, demo_catalog, demo_profile, number_wanted, \
+    part_catalog, PART_CATALOG
 from tallyframe.operators import enrich, rollups
 from tallyframe.plans import audience as au, batch, model as md, profile as pf, release
 from tallyframe.sources import catalog as ct, sinks
@@ -374,11 +375,11 @@ def layout_tables_customer(spark, sf):
 
 
 def layout_columns(spark, sf):
-    """Technical layout without the text cells that other queries check."""
+    """Technical layout of three tables, all sixteen columns."""
     registry = retail(spark, sf, "customer", "orders_n", "nation")
-    found = pf.column_profile(registry, parts={"nulls", "subjects"})
+    found = pf.column_profile(registry)
     section = md.columns_section(registry, found, CONFIG, enrich.category_frame(spark, SPEC.category_rules))
-    return au.columns_layout(section, "technical").drop("Example", "Values", "Distribution", "Median (IQR)")
+    return au.columns_layout(section, "technical")
 
 
 def _columns_layout_sql():
@@ -392,10 +393,13 @@ def _columns_layout_sql():
             # the share of missing rows is subtracted first, as in the profile
             complete = percent_sql(f"((1 - (count(*) - count({c})) / count(*)::double) * 100)")
             source = "NLP" if k == "unstructured" and not is_pii(t, c) else "Normalized"
+            cells = cells_sql(t, c, k, keys=False)
             out.append(
                 f"select '{CATEGORY[t]}' as \"Category\", '{t}' as \"Table(s)\", '{c}' as \"Column\", "
                 f"{q(CONFIG.column_descriptions.get(f'{t}.{c}', ''))} as \"Description\", '{ty}' as \"Field Type\", "
-                f"'Yes' as \"Nullable\", '' as \"Coding Schema\", {complete} as \"Completeness\", {share} as \"% Patient\", "
+                f"'Yes' as \"Nullable\", {cells['example']} as \"Example\", '' as \"Coding Schema\", "
+                f"{cells['values']} as \"Values\", {cells['distribution']} as \"Distribution\", "
+                f"{cells['median']} as \"Median (IQR)\", {complete} as \"Completeness\", {share} as \"% Patient\", "
                 f"'{source}' as \"Data Source\", '{'Yes' if is_pii(t, c) else ''}' as \"PII\", '' as \"Notes\" from {t}")
     return union(out)
 
@@ -425,6 +429,72 @@ def _variables_layout_sql():
         f"join ({PROFILE}) as p on p.variable = v.variable where p.implemented = 'Yes'")
 
 
+OTHERS = ("technical", "pharma", "customer")
+
+
+def layout_variables_others(spark, sf):
+    """The layouts of the other audiences, cell by cell: (audience, variable, position, title, value)."""
+    model = md.build_model(SPEC, _registry(spark, sf), demo_catalog(spark), CONFIG, generated_at=STAMP,
+                           revision="r1")
+    out = []
+    for a in OTHERS:
+        shown = au.variables_layout(au.view(model, a, CONFIG.layout).variables, a)
+        cells = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("title"), F.col(f"`{c}`").alias("value"))
+                 for i, c in enumerate(shown.columns)]
+        out.append(shown.select(F.lit(a).alias("audience"), F.col("Variable").alias("variable"),
+                                F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _variable_cells_sql():
+    """One row per variable of the demonstration catalogue with every text cell of its layouts."""
+    from showcase.display import _plain_sql, percent_sql
+    rows = []
+    for row in DEMO:
+        shown = MEANING[row["variable"]][3]
+        inclusion = row.get("inclusion_criteria") or ("" if shown else DEFAULT_INCLUSION)
+        kind = row.get("extraction_type", "Structured")
+        source = row.get("data_source") or ("NLP" if kind == "Unstructured" else "Normalized")
+        rows.append(f"({q(row['variable'])}, {q(row.get('description', ''))}, {q(inclusion)}, {q(source)}, "
+                    f"{q(row.get('notes', ''))})")
+    # quartiles to the last bit: the neighbours of the position are joined as lo + (hi - lo) * fraction
+    lists = union(
+        f"select {q(row['variable'])} as variable, list_sort(list({expr}::double) filter (where {scope} and {expr} is not "
+        f"null)) as l from {row['table']}" for row in DEMO for scope, expr, kind, _ in [MEANING[row["variable"]]]
+        if number_wanted(row, kind))
+    place = "({0} * (len(l) - 1))".format
+    joined = ", ".join(
+        f"l[floor({place(f)})::bigint + 1] + (l[ceil({place(f)})::bigint + 1] - l[floor({place(f)})::bigint + 1]) * "
+        f"({place(f)} - floor({place(f)})) as {a}" for a, f in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)))
+    a, b, c = (_plain_sql(f"k.{x}") for x in ("median", "q1", "q3"))
+    labels = "(select string_agg({0} order by rank) from top10 as t where t.variable = p.variable)"
+    share = "value || ': ' || n || ' (' || format('{:.1f}%', 100.0::double * n / p.n_nonnull) || ')', '; '"
+    return (
+        f"with top10 as materialized ({TOP10}), measured as materialized ({PROFILE}), "
+        f"quartile as (select variable, {joined} from ({lists}) as n), cells as materialized ("
+        "select p.category, p.variable, v.description, v.inclusion_criteria, p.\"table\", p.\"column\", p.criteria, "
+        "p.field_type, '' as coding_schema, p.implemented, v.data_source, v.notes, "
+        f"coalesce({labels.format('value, chr(44) || chr(32)')}, '') as \"values\", "
+        f"coalesce({labels.format('value, chr(10)')}, '') as observed_values, "
+        "coalesce((select value from top10 as t where t.variable = p.variable and rank = 1), min_date, '') as example, "
+        f"case when p.variable = 'Note Text' then ({NOTE_TEXT}) when min_date is not null then 'Min: ' || min_date || "
+        f"', Max: ' || max_date else coalesce({labels.format(share)}, '') end as distribution, "
+        f"case when k.median is null then '' else 'Median: ' || {a} || ' (IQR: ' || {b} || '-' || {c} || ')' end as median_iqr, "
+        f"{percent_sql('(100.0::double * p.n_nonnull / nullif(p.n_scope, 0))')} as completeness_text, "
+        f"{percent_sql('(100.0::double * p.subject_count / (select count(*) from customer))')} as patient_text "
+        f"from measured as p join (values {', '.join(rows)}) as v(variable, description, inclusion_criteria, "
+        "data_source, notes) on v.variable = p.variable left join quartile as k on k.variable = p.variable) ")
+
+
+def _variables_others_sql():
+    pii = ", ".join(q(row["variable"]) for row in DEMO if is_pii(row["table"], row["column"])) or "''"
+    keep = {"technical": "true", "pharma": f"variable not in ({pii})",
+            "customer": f"variable not in ({pii}) and implemented = 'Yes'"}
+    return _variable_cells_sql() + union(
+        f"select '{a}' as audience, variable, {i} as position, {q(title)} as title, cast(\"{field}\" as varchar) as value "
+        f"from cells where {keep[a]}" for a in OTHERS for i, (title, field) in enumerate(au.LAYOUTS[a][3]))
+
+
 # ---- roll-ups
 
 def coverage_rollup(spark, sf):
@@ -594,6 +664,7 @@ QUERIES = {
                                f"where \"Table\" not in ('nation', 'region')"),
     "layout_columns": (layout_columns, _columns_layout_sql()),
     "layout_variables": (layout_variables, _variables_layout_sql()),
+    "layout_variables_others": (layout_variables_others, _variables_others_sql()),
     "coverage_rollup": (coverage_rollup, COVERAGE_ROLLUP),
     "hero_stats": (hero_stats, HERO),
     "category_counts": (category_counts, f"with {PART_CATALOG} select coalesce(category, '') as category, "

@@ -369,33 +369,46 @@ def basic_dictionary(spark, sf):
     return md.basic_dictionary(found).where("`Table(s)` <> ''")
 
 
-def _dictionary_sql(names) -> str:
+def cells_sql(t: str, c: str, k: str, keys: bool = True) -> dict[str, str]:
+    """Text cells of a column as scalar subqueries; without ``keys`` a key has no summary of its numbers."""
     from showcase.display import number_sql, percent_sql
+    blank = "''"
+    if k == "continuous" and (keys or not is_key(c)):
+        shown = [number_sql(x) for x in (f"min({c})::double", f"max({c})::double", f"avg({c})", f"stddev_samp({c})")]
+        quantile = [number_sql(f"quantile_cont({c}, {p})::double") for p in (0.25, 0.5, 0.75)]
+        return dict(
+            values=blank, example=f"(select {shown[0]} from {t})",
+            distribution=f"(select 'Min: ' || {shown[0]} || ', Max: ' || {shown[1]} || ', Mean: ' || {shown[2]} || "
+                         f"' (std: ' || {shown[3]} || ')' from {t})",
+            median=f"(select 'Median: ' || {quantile[1]} || ' (IQR: ' || {quantile[0]} || '–' || {quantile[2]} "
+                   f"|| ')' from {t})")
+    if k == "date":
+        return dict(values=blank, median=blank, example=f"(select min({c})::varchar from {t})",
+                    distribution=f"(select 'Min: ' || min({c})::varchar || ', Max: ' || max({c})::varchar from {t})")
+    if k == "categorical":
+        top = (f"(select {c} as value, count(*) as n, (select count(*) from {t}) as total from {t} "
+               f"where {c} is not null group by {c} order by n desc, value limit 5) as g")
+        share = percent_sql("100.0::double * n / total")
+        return dict(
+            values=f"(select string_agg(value, ', ' order by n desc, value) from {top})", median=blank,
+            example=f"(select value from {top} order by n desc, value limit 1)",
+            distribution=f"(select string_agg(value || ': ' || n || ' (' || {share} || ')', '; ' "
+                         f"order by n desc, value) from {top})")
+    return dict(values=blank, distribution=blank, median=blank, example=blank)
+
+
+def _dictionary_sql(names) -> str:
+    from showcase.display import percent_sql
     out = []
     for t in names:
         for c, ty, k in columns(t):
-            distribution, median, values = "''", "''", "''"
-            if k == "continuous":
-                distribution = (f"(select 'Min: ' || {number_sql(f'min({c})::double')} || ', Max: ' || "
-                                f"{number_sql(f'max({c})::double')} || ', Mean: ' || {number_sql(f'avg({c})')} || "
-                                f"' (std: ' || {number_sql(f'stddev_samp({c})')} || ')' from {t})")
-                quantile = [number_sql(f"quantile_cont({c}, {p})::double") for p in (0.25, 0.5, 0.75)]
-                median = (f"(select 'Median: ' || {quantile[1]} || ' (IQR: ' || {quantile[0]} || '–' || "
-                          f"{quantile[2]} || ')' from {t})")
-            elif k == "date":
-                distribution = f"(select 'Min: ' || min({c})::varchar || ', Max: ' || max({c})::varchar from {t})"
-            elif k == "categorical":
-                top = (f"(select {c} as value, count(*) as n, (select count(*) from {t}) as total from {t} "
-                       f"where {c} is not null group by {c} order by n desc, value limit 5) as g")
-                share = percent_sql("100.0::double * n / total")
-                distribution = (f"(select string_agg(value || ': ' || n || ' (' || {share} || ')', '; ' "
-                                f"order by n desc, value) from {top})")
-                values = f"(select string_agg(value, ', ' order by n desc, value) from {top})"
+            cells = cells_sql(t, c, k)
             kind = "Unstructured" if k == "unstructured" else "Structured"
             out.append(
                 f"select '' as \"Category\", '{c}' as \"Variable\", '' as \"Description\", '{t}' as \"Table(s)\", "
-                f"'{c}' as \"Column(s)\", '' as \"Criteria\", {values} as \"Values\", {distribution} as \"Distribution\", "
-                f"{median} as \"Median (IQR)\", {percent_sql(f'(select 100.0::double * count({c}) / count(*) from {t})')} "
+                f"'{c}' as \"Column(s)\", '' as \"Criteria\", {cells['values']} as \"Values\", "
+                f"{cells['distribution']} as \"Distribution\", {cells['median']} as \"Median (IQR)\", "
+                f"{percent_sql(f'(select 100.0::double * count({c}) / count(*) from {t})')} "
                 f"as \"Completeness\", '{kind}' as \"Extraction Type\", '' as \"Notes\"")
     return union(out)
 

@@ -82,7 +82,7 @@ def _id(row) -> str:
     return f"{q(row['category'] or '')} as category, {q(row['variable'])} as variable"
 
 
-def _number_wanted(row, kind) -> bool:
+def number_wanted(row, kind) -> bool:
     return kind == "continuous" and not is_key(row["column"]) and not row.get("expression")
 
 
@@ -90,7 +90,7 @@ def _profile_row(row, scope, expr, kind, shown):
     key = SUBJECT_KEYS.get(row["table"])
     hit = f"{scope} and {expr} is not null"
     n = f"count(*) filter (where {hit})"
-    if _number_wanted(row, kind):
+    if number_wanted(row, kind):
         numbers = ", ".join(f"round(quantile_cont({expr}, {p}) filter (where {hit}), 4) as {a}"
                             for a, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)))
     else:
@@ -155,6 +155,8 @@ def variable_freetext(spark, sf):
     return shown.select("variable", "n_nonnull", "distribution", "values")
 
 
+NOTE_TEXT = ("select format('{:,}', count(*)) || ' rows; values not aggregated (free text)' "
+             "from documents where lang = 'en' and text is not null")
 FREETEXT = ("select 'Note Text' as variable, count(*) as n_nonnull, format('{:,}', count(*)) || "
             "' rows; values not aggregated (free text)' as distribution, '' as values "
             "from documents where lang = 'en' and text is not null")
