@@ -174,11 +174,11 @@ SCHEMA_DIGEST = f"select {DIGEST_SQL} as digest, cast({_ROWS} as bigint) as row_
 
 
 def cohort_summary(spark, sf):
-    registry = _registry(spark, sf)
-    found = pf.table_profile(registry)
-    patients = F.max(F.when(F.col("table") == registry.subject_table, F.col("row_count")))
-    return found.agg(patients.alias("patient_count"), F.count(F.lit(1)).alias("table_count"),
-                     F.sum("column_count").alias("column_count"))
+    """The counts of the model's summary; nothing else of the model is measured."""
+    model = md.build_model(SPEC, _registry(spark, sf), demo_catalog(spark), CONFIG, generated_at=STAMP,
+                           revision="r1", parts={"nulls", "counts"})
+    return model.summary.select("patient_count", F.col("table_count").cast("long").alias("table_count"),
+                                F.col("column_count").cast("long").alias("column_count"))
 
 
 COHORT_SUMMARY = (f"select (select count(*) from customer) as patient_count, {len(TABLES)}::bigint as table_count, "
@@ -216,6 +216,72 @@ def _table_json(t):
 MODEL_JSON = union(_table_json(t) for t in TABLES)
 
 
+def model_records(spark, sf):
+    """Every field of every record of all four sections, read back from its JSON: (section, record, field, value)."""
+    fields = F.from_json("json", "map<string,string>")
+    return md.records(_model(spark, sf)).select("section", "record", F.explode(fields).alias("field", "value"))
+
+
+def _fields(section, record, fields, source):
+    """(section, record, field, value) rows of one SQL row of texts."""
+    cells = ", ".join(f"struct_pack(f := '{name}', v := cast({value} as varchar))" for name, value in fields.items())
+    return (f"select '{section}' as section, record, c.f as field, c.v as value from "
+            f"(select {record} as record, unnest([{cells}]) as c {source}) as x")
+
+
+def _records_sql():
+    texts = {"cohort": "retail_cohort", "provider": "Shop", "disease": "None", "schema_name": "retail", "variant": "raw",
+             "display_name": "Retail", "description": "Orders and events.", "status": "active", "generated_at": STAMP,
+             "git_sha": "r1", "introspect_version": md.ENGINE_VERSION, "data_cutoff_date": "", "last_etl_run": "",
+             "table_count": str(len(TABLES)), "column_count": str(sum(len(columns(t)) for t in TABLES)),
+             "contributing_columns": '["events_n.ts","orders_n.o_orderdate","lineitem.l_shipdate"]',
+             "known_limitations": '["Invented data."]', "sign_off": '{"reviewer":"R. Viewer"}'}
+    summary = {**{k: q(v) for k, v in texts.items()}, "patient_count": "(select count(*) from customer)",
+               "min_date": "cast(lo as varchar)", "max_date": "cast(hi as varchar)", "years_of_data": _YEARS,
+               "schema_snapshot_digest": DIGEST_SQL}
+    out = [_fields("summary", "'retail_cohort'", summary, f"from ({_BOUNDS}) as b")]
+    for t in TABLES:
+        known = {"table": q(t), "category": q(CATEGORY[t]), "row_count": "count(*)", "column_count": len(columns(t)),
+                 "subject_count": f"count(distinct {SUBJECT_KEYS[t]})" if t in SUBJECT_KEYS else "null",
+                 **dict(zip(enrich.TABLE_FIELDS, map(q, DESCRIPTION.get(t, ("", "", "", "")))))}
+        out.append(_fields("tables", q(t), known, f"from {t}"))
+        for c, ty, k in columns(t):
+            cells, key = cells_sql(t, c, k, keys=False), SUBJECT_KEYS.get(t)
+            kind = "PII" if is_pii(t, c) else "Unstructured" if k == "unstructured" else "Structured"
+            out.append(_fields("columns", q(f"{t}/{c}"), {
+                "category": q(CATEGORY[t]), "table": q(t), "column": q(c),
+                "description": q(CONFIG.column_descriptions.get(f"{t}.{c}", "")), "data_type": q(ty),
+                "values": cells["values"], "distribution": cells["distribution"], "median_iqr": cells["median"],
+                "completeness_pct": f"(1 - (count(*) - count({c})) / count(*)::double) * 100",
+                "patient_pct": f"100.0::double * count(distinct {key}) filter (where {c} is not null) / "
+                               f"(select count(*) from customer)" if key else "null",
+                "extraction_type": q(kind), "pii": q(str(is_pii(t, c)).lower()), "notes": "''", "nullable": "'Yes'",
+                "example": cells["example"], "coding_schema": "''",
+                "data_source": q("NLP" if kind == "Unstructured" else "Normalized")}, f"from {t}"))
+    pairs = "select string_agg({0}, ',' order by rank) from top10 as t where t.variable = cells.variable"
+    values = pairs.format("'{\"value\":\"' || value || '\",\"n\":' || n || '}'")
+    labels = pairs.format("'\"' || value || '\"'")
+    place = "case cells.variable " + " ".join(
+        f"when {q(row['variable'])} then {{0[{i}]}}" for i, row in enumerate(DEMO)) + " end"
+    told = lambda values: place.format([q(v) for v in values])
+    same = ("table", "column", "category", "variable", "description", "criteria", "implemented", "notes", "field_type",
+            "inclusion_criteria", "coding_schema", "data_source", "distribution", "median_iqr", "values",
+            "observed_values", "example", "min_date", "max_date", "n_scope", "n_nonnull", "subject_count", "q1",
+            "median", "q3")
+    out.append(_fields("variables", "category || '/' || variable", {
+        **{f: f'cells."{f}"' for f in same},
+        "completeness_pct": "100.0::double * n_nonnull / nullif(n_scope, 0)",
+        "patient_pct": "100.0::double * subject_count / (select count(*) from customer)",
+        "top_values": f"(select '[' || ({values}) || ']')", "error": "''", "first_rank": "0",
+        "top_value_labels": f"'[' || coalesce(({labels}), '') || ']'",
+        "extraction_type": told([row.get("extraction_type", "Structured") for row in DEMO]),
+        "proposal": told([row.get("proposal", "") for row in DEMO]),
+        "free_text": told([str(row["variable"] == "Note Text").lower() for row in DEMO]),
+        "pii": told([str(is_pii(row["table"], row["column"])).lower() for row in DEMO]),
+        "position": told([str(i) for i in range(len(DEMO))])}, "from cells"))
+    return _variable_cells_sql() + union(out)
+
+
 def model_document(spark, sf):
     """The one-document form; SQL checks the counts of its records."""
     doc = md.document(_model(spark, sf))
@@ -473,7 +539,8 @@ def _variable_cells_sql():
         f"with top10 as materialized ({TOP10}), measured as materialized ({PROFILE}), "
         f"quartile as (select variable, {joined} from ({lists}) as n), cells as materialized ("
         "select p.category, p.variable, v.description, v.inclusion_criteria, p.\"table\", p.\"column\", p.criteria, "
-        "p.field_type, '' as coding_schema, p.implemented, v.data_source, v.notes, "
+        "p.field_type, '' as coding_schema, p.n_scope, p.n_nonnull, p.subject_count, p.min_date, p.max_date, "
+        "k.q1, k.median, k.q3, p.implemented, v.data_source, v.notes, "
         f"coalesce({labels.format('value, chr(44) || chr(32)')}, '') as \"values\", "
         f"coalesce({labels.format('value, chr(10)')}, '') as observed_values, "
         "coalesce((select value from top10 as t where t.variable = p.variable and rank = 1), min_date, '') as example, "
@@ -652,6 +719,7 @@ QUERIES = {
     "cohort_summary": (cohort_summary, COHORT_SUMMARY),
     "model_sort": (model_sort, MODEL_SORT),
     "model_json": (model_json, MODEL_JSON),
+    "model_records": (model_records, _records_sql()),
     "model_document": (model_document, MODEL_DOCUMENT),
     "audience_filter": (audience_filter, AUDIENCE_FILTER),
     "audience_table_exclude": (audience_table_exclude, AUDIENCE_EXCLUDE),

@@ -237,8 +237,8 @@ TOP_K = ("select cast(o_orderdate as varchar) as value, count(*) as n from order
 
 
 def patient_count(spark, sf):
-    registry = retail(spark, sf, "customer", "orders")
-    return registry.tables["customer"].data.agg(F.count(F.lit(1)).alias("patient_count"))
+    registry = retail(spark, sf, "customer")
+    return spark.createDataFrame([(registry.subject_total(),)], "patient_count long")
 
 
 def subjects_per_table(spark, sf):

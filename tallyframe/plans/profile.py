@@ -144,7 +144,7 @@ def table_profile(registry: Registry, names: Iterable[str] | None = None) -> Dat
     # distinct keys, then one count per table: both steps are combined map-side
     subjects = reduce(DataFrame.unionByName, [
         t.data.where(F.col(t.subject_key).isNotNull())
-        .select(F.lit(t.name).alias("table"), F.col(t.subject_key).cast("string").alias("subject"))
+        .select(F.lit(t.name).alias("table"), F.col(t.subject_key).alias("subject"))
         .distinct().groupBy("table").agg(F.count(F.lit(1)).alias("subject_count"))
         for t in keyed
     ])
