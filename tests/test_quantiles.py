@@ -78,3 +78,34 @@ def test_brackets_are_kept_instead_of_rescanned(spark, monkeypatch):
     found = qs.order_statistics(frame(spark, values), {"v": F.col("v"), "w": -F.col("v")})
     assert found["v"] == pytest.approx(expected(values), rel=1e-12)
     assert found["w"] == pytest.approx(expected([-v for v in values]), rel=1e-12)
+
+
+def test_sketch_and_one_pass_suffice(spark, monkeypatch):
+    """The table is read twice, whatever the distribution: the narrowing over the whole table is never called for."""
+    def rescanned(*_):
+        raise AssertionError("the table is scanned again")
+
+    monkeypatch.setattr(qs, "_long_values", rescanned)
+    monkeypatch.setattr(qs, "SORT_LIMIT", 64)
+    rng = random.Random(11)
+    columns = {
+        "lognormal": [rng.lognormvariate(0, 3) for _ in range(20_000)],
+        "hot": [7.0] * 9_000 + [rng.uniform(0, 14) for _ in range(11_000)],
+        "two": [0.0] * 5_000 + [1.0] * 15_000,
+        "infinite": [float("inf")] * 6_000 + [float("-inf")] * 6_000 + [rng.gauss(0, 1) for _ in range(8_000)],
+        "nan": [float("nan")] * 4_000 + [rng.gauss(0, 1) for _ in range(16_000)],
+        "few": [rng.random() if i < 40 else None for i in range(20_000)],
+    }
+    rows = list(zip(*columns.values()))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).repartition(5)
+    found = qs.order_statistics(df, {c: F.col(c) for c in columns})
+    for c in columns:
+        builtin = df.select(F.percentile(c, F.array(*map(F.lit, qs.QUARTILES)))).first()[0]
+        assert found[c] == pytest.approx(builtin, rel=1e-12, nan_ok=True), c
+
+
+def test_a_wrong_sketch_is_found_out(spark, monkeypatch):
+    monkeypatch.setattr(qs, "SORT_LIMIT", 8)
+    monkeypatch.setattr(F, "percentile_approx", lambda c, qs_, accuracy: F.array(*[F.lit(3.5) for _ in qs_]))
+    values = [float(i) for i in range(1000)]
+    assert qs.order_statistics(frame(spark, values), {"v": F.col("v")})["v"] == expected(values)
