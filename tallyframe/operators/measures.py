@@ -14,13 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyframe.functions.labels import label
-from tallyframe.operators.quantiles import QUARTILES, order_statistics
+from tallyframe.operators.quantiles import QUARTILES, SORT_LIMIT, order_statistics
 from tallyframe.sources.registry import Table
 from tallyframe.sources.sinks import materialize
 
 CHUNK = 50
-# Up to this many rows the values of a column are sorted within one task.
-SORT_ROW_LIMIT = 200_000
+# From this many rows on, counts are taken first and what they settle is not scanned for again.
+COUNT_FIRST_ROWS = 200_000
 
 TOP_VALUES = T.ArrayType(T.StructType([
     T.StructField("value", T.StringType()), T.StructField("n", T.LongType())]))
@@ -89,8 +89,9 @@ def statistics(table: Table, measures: Sequence[Measure], row_count: int,
                row_limit: int | None = None) -> list[DataFrame]:
     """Counts, range, moments, quartiles and date range; one aggregate per chunk of measures.
 
-    Chunks read disjoint columns of a columnar source, so splitting costs no extra input."""
-    limit = SORT_ROW_LIMIT if row_limit is None else row_limit
+    Quartiles are found now, in two scans; a table of at most ``row_limit`` rows (as many as a bracket of the
+    two scans may hold) sorts its values within the aggregate instead, which stays lazy. Chunks read disjoint columns of a columnar source, so splitting costs no extra input."""
+    limit = SORT_LIMIT if row_limit is None else row_limit
     wanted = [m for m in measures if m.counts or m.spread or m.quartiles or m.dates]
     large = [m for m in wanted if m.quartiles] if row_count > limit else []
     found = order_statistics(table.data, {m.key: m.scoped for m in large}) if large else {}
@@ -234,7 +235,7 @@ def measure_parts(table: Table, measures: Sequence[Measure], row_count: int,
     if row_count == 0 or not measures:
         return []
     parts = statistics(table, measures, row_count, row_limit)
-    limit = SORT_ROW_LIMIT if row_limit is None else row_limit
+    limit = COUNT_FIRST_ROWS if row_limit is None else row_limit
     filled: dict[str, int] = {}
     if parts and row_count > limit and table.subject_key and any(m.subjects for m in measures):
         parts = [materialize(union_all(parts))]
