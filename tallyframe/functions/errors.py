@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.errors.exceptions.captured import convert_exception
 
 Item, Result = TypeVar("Item"), TypeVar("Result")
 
@@ -13,13 +15,28 @@ Item, Result = TypeVar("Item"), TypeVar("Result")
 DATA_STATES = ("22", "42")
 
 
+def _data_error(error: BaseException) -> PySparkException | None:
+    """The data error that ``error`` is, or the one that caused it: stages that fail at the same time are raised
+    as one error whose cause is the first of theirs, and a failed write has what its rows raised as its cause."""
+    if isinstance(error, PySparkException):
+        return error if (error.getSqlState() or "").startswith(DATA_STATES) else None
+    cause = error.java_exception.getCause() if isinstance(error, Py4JJavaError) else None
+    while cause is not None:
+        found = _data_error(convert_exception(cause))
+        if found is not None:
+            return found
+        cause = cause.getCause()
+    return None
+
+
 def is_data_error(error: BaseException) -> bool:
     """Whether rows or predicates are at fault. A lost executor, a full disk or too little memory is not:
     recording those as bad variables would make an incomplete result look complete."""
-    return isinstance(error, PySparkException) and (error.getSqlState() or "").startswith(DATA_STATES)
+    return _data_error(error) is not None
 
 
 def first_line(error: BaseException) -> str:
+    error = _data_error(error) or error
     return next((x.strip() for x in str(error).splitlines() if x.strip()), type(error).__name__)
 
 

@@ -220,6 +220,27 @@ def test_only_data_errors_are_isolated(spark):
     assert not is_data_error(MemoryError()) and not is_data_error(RuntimeError("executor lost"))
 
 
+def test_stages_that_fail_together_are_a_data_error(spark):
+    from py4j.protocol import Py4JJavaError
+    from tallyframe.functions.errors import first_line, is_data_error
+    with pytest.raises(Exception) as one:
+        spark.sql("select cast('x' as int) as v").collect()
+    java = spark._jvm.java.lang
+    several = Py4JJavaError("", java.RuntimeException("multiple failures", one.value._origin))
+    assert is_data_error(several) and first_line(several).startswith("[CAST_INVALID_INPUT]")
+    lost = Py4JJavaError("", java.RuntimeException("stage", java.RuntimeException("executor lost")))
+    assert not is_data_error(lost)
+
+
+def test_tables_that_fail_together_keep_their_sound_columns(spark):
+    from tallyframe.plans import profile as pf
+    from tallyframe.sources.registry import Registry, Table
+    view = spark.range(4).repartition(4).selectExpr("id", "cast(concat('x', id) as int) as v")
+    found = pf.measured_profile(Registry(spark, "s", [Table(f"t{i}", view) for i in range(4)]), parts={"nulls"})
+    assert {(r["column"], r["null_count"], r["error"][:20]) for r in found.collect()} == {
+        ("id", 0, ""), ("v", None, "[CAST_INVALID_INPUT]")}
+
+
 def test_column_types_need_no_scan(spark):
     from tallyframe.plans import variables
     from tallyframe.sources.registry import Registry, Table
