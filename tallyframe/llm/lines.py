@@ -2,12 +2,17 @@
 
 A line is a run between line feeds, stripped of spaces, tabs and carriage returns at its ends. Exact repeats
 are told of lines of every length but empty ones. Only lines of at least ``MIN_CHARS`` characters take part
-in the edit join: two edits make another line of a shorter one. Two lines within ``EDITS`` edits share
-one of EDITS + 1 segments of the shorter line, at a place that its own shift bounds; so every line is
-posted under the hash of each of its segments, with its length and the segment's number, and probes the
-substrings of its own that could be such a segment of a line of equal or smaller length. The join itself
-refuses pairs whose letter counts are too far apart, so that most pairs of variants of one line that share
-a segment never become rows; the others are verified with Spark's banded edit distance.
+in the edit join: two edits make another line of a shorter one. Lines meet in buckets of their length, and those that
+end at most EDITS before a bucket visit it, so that lines of near lengths share one. EDITS + 1 zones lie in
+the least length of a bucket, the earlier ones counted from the start of a line, the later ones from its end. Of two
+lines within EDITS edits, some zone of the one is whole in the other, with exactly as many edits before it as there are
+zones before it (count edits less zones along the line: it starts at nought, ends below and falls by one at most); so
+the zone is shifted by no more than the zones before it, counted from the start, and than those after it, counted from
+the end. A zone is longer than what is compared by the lesser of the two, and posted once for each place in it: then
+both lines have posted the same string. With two edits these are four hashes per line, and four more where it visits. The
+join itself refuses pairs whose lengths or letter counts are too far apart, so that most pairs of variants of one line
+that share a zone never become rows; the others are verified with Spark's banded edit distance. Hashes and counts are
+taken where the text is read, and only they are shuffled and kept; texts are read again for lines in pairs.
 
 A line is removed where it occurred before (in the order of doc_id, then of lines), and where a
 different line within EDITS edits first occurred before it; decisions are made on the input, not on what
@@ -38,6 +43,8 @@ WORDS_WITH_LETTER = r"(?s)^(?=.*\p{L}).*\S\s+\S"
 SPOT_BITS = 28
 #: The most frequent letters of English, in that order; other scripts are compared by segments and distance alone.
 LETTERS = "etaoinsrhldcumfp"
+#: Widths of the buckets of lengths, up to 16 of the narrow ones and beyond.
+SHORT_BUCKET, LONG_BUCKET = 4, 16
 
 
 def _lines(text: Column) -> Column:
@@ -71,65 +78,71 @@ def _sketches_near(a: Column, b: Column, edits: int) -> Column:
     return apart <= 2 * edits
 
 
-def _places(edits: int) -> list[tuple[int, int, int]]:
-    """(segment, how much shorter its line is, shift): the start of a probe differs from the segment's by at
-    most segment - 1 (edits before it), and by at most edits + 1 - segment once the ends are aligned (edits
-    after it)."""
-    return [(i, shorter, shift) for shorter in range(edits + 1) for i in range(1, edits + 2)
-            for shift in range(max(-(i - 1), shorter - (edits + 1 - i)),
-                               min(i - 1, shorter + (edits + 1 - i)) + 1)]
-
-
-def _hashed(lines: DataFrame, name: str, places: list[tuple[int, int, int]], edits: int) -> DataFrame:
-    """(name, sketch, shorter, at): a hash of the substring at each of the places of each line, with the
-    segment's number and the length of the line that may have it. Each segment's surroundings are cut out
-    once, so that a probe walks over them instead of the whole line."""
-    parts = edits + 1
-    n, windows = F.col("n"), []
-    for i in range(1, parts + 1):
-        start = F.greatest(F.lit(1), F.expr(f"{i - 1} * ((n - {edits}) div {parts})") - (i - 1) + 1).cast("int")
-        end = F.expr(f"{i} * ((n + {parts - 1}) div {parts})") + edits
-        windows.append((start, F.substring("line", start, (end - start + 1).cast("int"))))
-    cut = lines.select(F.col("key").alias(name), F.col("sketch").alias(f"{name}_sketch"), "n",
-                       *[c.alias(f"{k}{i}") for i, (s, w) in enumerate(windows, 1) for k, c in (("s", s), ("w", w))])
-    names = ("i", "shorter", "shift")
-    each = F.explode(F.array(*[F.struct(*[F.lit(x).alias(k) for k, x in zip(names, place, strict=True)])
-                               for place in places]))
-    i, other = F.col("p.i"), F.col("other")
-    rows = cut.withColumn("p", each).withColumn("other", (n - F.col("p.shorter")).cast("int"))
-    short, longer = F.expr(f"cast(other div {parts} as int)"), other % parts
-    rows = rows.withColumn("size", short + F.when(i > parts - longer, 1).otherwise(0)).withColumn(
-        "start", (i - 1) * short + F.greatest(F.lit(0), i - 1 - (parts - longer)) + 1 + F.col("p.shift"))
-    window, first = F.col(f"w{parts}"), F.col(f"s{parts}")
-    for k in range(1, parts):
-        window = F.when(i == k, F.col(f"w{k}")).otherwise(window)
-        first = F.when(i == k, F.col(f"s{k}")).otherwise(first)
-    inside = (F.col("start") >= 1) & (F.col("start") + F.col("size") - 1 <= n)
-    return rows.where(inside).select(name, f"{name}_sketch", "p.shorter", F.xxhash64(
-        i, other, F.substring(window, (F.col("start") - first + 1).cast("int"), F.col("size").cast("int"))).alias("at"))
+def _zones(edits: int) -> list[tuple[int, int, bool]]:
+    """(number, room, counted from the end) of each zone; room is the shift it allows, and its spare length."""
+    return [(i, min(i, edits - i), i > edits - i) for i in range(edits + 1)]
+
+
+def _bucket(n: Column, edits: int) -> tuple[Column, Column]:
+    """(least length, length after its last) of the bucket of a length: narrow ones where zones are short."""
+    unit = max(1, -(-edits // SHORT_BUCKET))
+    step = F.when(n < 16 * SHORT_BUCKET * unit, SHORT_BUCKET * unit).otherwise(LONG_BUCKET * unit)
+    least = (F.floor(n / step) * step).cast("int")
+    return least, (least + step).cast("int")
+
+
+def _posted(line: Column, n: Column, bucket: Column, edits: int) -> list[Column]:
+    """Hashes of what a line posts in a bucket: equal ones let two lines meet."""
+    zones = _zones(edits)
+    size = F.greatest(F.lit(0), F.floor((bucket - edits - sum(room for _, room, _ in zones)) / len(zones))).cast("int")
+    out = []
+    for i, room, at_end in zones:
+        spare = sum(r for j, r, _ in zones if (j >= i if at_end else j < i))
+        start = n - (size * (len(zones) - i) + spare) + 1 if at_end else size * i + spare + 1
+        out += [F.xxhash64(F.lit(i), bucket, F.substring(line, (start + place).cast("int"), size))
+                for place in range(room + 1)]
+    return out
+
+
+def _met(lines: DataFrame, edits: int) -> DataFrame:
+    """The lines (line, n) with the hashes they post, at0 and so on: those of the own bucket, then those of the next
+    one, NULL where a line does not visit it."""
+    own, after = _bucket(F.col("n"), edits)
+    lines = lines.withColumn("_own", own).withColumn("_after", after)
+    here = _posted(F.col("line"), F.col("n"), F.col("_own"), edits)
+    visits = F.col("n") >= F.col("_after") - edits
+    there = [F.when(visits, at) for at in _posted(F.col("line"), F.col("n"), F.col("_after"), edits)]
+    return lines.withColumns({f"at{i}": at for i, at in enumerate(here + there)}).drop("_own", "_after")
+
+
+def _posts(lines: DataFrame) -> list[str]:
+    return [c for c in lines.columns if c[:2] == "at" and c[2:].isdigit()]
 
 
 def candidate_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(a, b) keys of different lines (key, line, n characters, sketch) that share a segment where edits allow
-    it, and whose sketches are as near as they must be; each pair once."""
-    posted = _hashed(lines, "a", [(i, 0, 0) for i in range(1, edits + 2)], edits).drop("shorter")
-    probed = _hashed(lines, "b", _places(edits), edits)
-    once = (F.col("shorter") > 0) | (F.col("a") < F.col("b"))
-    return (posted.join(probed, (posted["at"] == probed["at"]) & once
-                        & _sketches_near(F.col("a_sketch"), F.col("b_sketch"), edits))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-
-def near_line_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(a, b) keys of different lines (key, line, n, sketch) within ``edits`` edits, each pair once, with the
-    other columns of lines named a_ and b_. The lines are read once, for the keys that occur in pairs; only
-    those that are left meet the pairs."""
+    """(a, b) keys of different lines (key, n characters, sketch, posted hashes) that have posted an equal hash, and
+    whose lengths and sketches are as near as they must be; each pair once."""
+    posts = F.explode(F.array_compact(F.array(*_posts(lines))))
+    rows = lines.select("key", F.col("n").cast("int").alias("n"), "sketch", posts.alias("at"))
+    a, b = (rows.select(*[F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "ab")
+    near = (F.abs(F.col("a_n") - F.col("b_n")) <= edits) & _sketches_near(F.col("a_sketch"), F.col("b_sketch"), edits)
+    met = a.join(b, (F.col("a_at") == F.col("b_at")) & (F.col("a_key") < F.col("b_key")) & near)
+    return met.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()
+
+
+def near_line_pairs(lines: DataFrame, at: DataFrame, edits: int = EDITS) -> DataFrame:
+    """(a, b) keys of different lines (key, place, n, sketch, posted hashes) within ``edits`` edits, each pair once, with
+    their places. ``at`` (doc_id, spot, key, line) has the lines where they stand: it is read for the lines that occur
+    in pairs, at their place."""
     met = stored(candidate_pairs(lines, edits))
     keys = met.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    lines = stored(lines.drop("n", "sketch").join(stored(keys), "key", "left_semi"))
+    places = stored(lines.join(keys, "key", "left_semi").select("key", "place.doc_id", "place.spot"))
+    # a merge join at any size: lines that occur in pairs grow with the table, so they are not for a broadcast. By their
+    # place, a frequent line is dealt over all tasks; equal rows under one doc_id have equal places
+    found = stored(at.join(places.hint("merge"), ["key", "doc_id", "spot"]).dropDuplicates(["key"]))
     for side in ("a", "b"):
-        named = [F.col(c).alias(side if c == "key" else f"{side}_{c}") for c in lines.columns]
-        met = met.join(lines.select(*named), side)
+        met = met.join(found.select(F.col("key").alias(side), F.struct("doc_id", "spot").alias(f"{side}_place"),
+                                    F.col("line").alias(f"{side}_line")), side)
     return met.where(F.levenshtein("a_line", "b_line", edits) >= 0).drop("a_line", "b_line")
 
 
@@ -140,26 +153,34 @@ def _text_key(text: Column) -> Column:
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, every: bool = False) -> DataFrame:
     """(doc_id, text_key, idx, short, furniture) of every line occurrence that occurred before. idx numbers the
     distinct lines of the text or, with ``every``, all of them. ``short``: the line has under ``min_chars``
-    characters, so that only exact repeats count; ``furniture``: see above.
+    characters, so that only exact repeats count; ``furniture``: see above, NULL for lines that are not short.
 
-    The distinct lines are written once, with the place where they first occur; only the keys of lines that
-    lose an occurrence meet the occurrences again."""
+    What is taken from the distinct lines is written once, with the place where they first occur, but without their
+    text; only the keys of lines that lose an occurrence meet the occurrences again."""
     lines = _lines(F.col("text"))
     at = docs.where("doc_id is not null").select("doc_id", _text_key(F.col("text")).alias("text_key"), F.posexplode(
         lines if every else F.array_distinct(lines)).alias("idx", "line")).where("line <> ''")
     spot = F.shiftleft(F.col("text_key"), SPOT_BITS).bitwiseOR(F.col("idx").cast("long"))
     at = at.select("doc_id", spot.alias("spot"), "line", _line_key(F.col("line")).alias("key"))
-    lines = at.groupBy("key").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "spot")).alias("place"),
-                                  F.count("*").alias("times"))
-    lines = lines.withColumn("n", F.char_length("line").cast("int")).where((F.col("n") >= min_chars) | (F.col("times") > 1))
-    lines = stored(_sketched(lines))
-    pairs = near_line_pairs(lines.where(F.col("n") >= min_chars).drop("times"), edits)
-    earlier = F.struct("a_place", "a") < F.struct("b_place", "b")
-    later = pairs.select(F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
-    later = stored(later.withColumn("near", F.lit(True)))
+    sized = _sketched(at.withColumn("n", F.char_length("line").cast("int")))
+    posting, short = F.col("n") >= min_chars, F.col("n") < min_chars
     furniture = F.col("line").rlike(WORDS_WITH_LETTER) & ~F.col("line").rlike(SENTENCE_END)
+    sized = sized.withColumn("furniture", F.when(short, furniture))
+    if edits > 0:
+        sized = _met(sized, edits)
+    # occurrences of a line agree in all that is taken from its text
+    taken = ["n", "sketch", "furniture", *_posts(sized)]
+    lines = sized.groupBy("key").agg(F.min(F.struct("doc_id", "spot")).alias("place"), F.count("*").alias("times"),
+                                     *[F.max(c).alias(c) for c in taken])
+    lines = stored(lines.where(posting | (F.col("times") > 1)))
+    later = lines.select("key").limit(0)
+    if edits > 0:
+        pairs = near_line_pairs(lines.where(posting), at, edits)
+        earlier = F.struct("a_place", "a") < F.struct("b_place", "b")
+        later = pairs.select(F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
+    later = stored(later.withColumn("near", F.lit(True)))
     losing = stored(lines.join(later, "key", "left").where("near or times > 1")
-                    .select("key", "place", "near", (F.col("n") < min_chars).alias("short"), furniture.alias("furniture")))
+                    .select("key", "place", "near", short.alias("short"), "furniture"))
     goes = F.col("near").isNotNull() | (F.struct("doc_id", "spot") != F.col("place"))
     return (at.select("doc_id", "spot", "key").join(losing, "key").where(goes)
             .select("doc_id", F.shiftright("spot", SPOT_BITS).alias("text_key"),

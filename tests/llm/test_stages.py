@@ -170,3 +170,35 @@ def test_text_after_an_icon(icon):
     from tallyframe.llm import html
     page = f"<html><head><title>T</title></head><body>{icon}<article><p>Before {icon} words.</p><p>More.</p></article>"
     assert [n.text for n in html.parse(page) if n.tag == "#text"] == ["Before words.", "More."]
+
+
+@pytest.mark.parametrize("edits", (1, 2, 3, 5))
+def test_line_edits_across_lengths(spark, edits):
+    """Edits at the ends and inside, of lines whose lengths lie around the borders of buckets."""
+    rng = random.Random(edits)
+    rows = []
+    for n in (20, 23, 41, 62, 63, 64, 79, 80, 127):
+        base = "".join(rng.choice("abcdeé 字") for _ in range(n))[:-1] + "."
+        for _ in range(24):
+            line = list("<" + base[1:])
+            for _ in range(rng.randrange(edits + 1)):
+                at = rng.choice((0, len(line) - 1, rng.randrange(len(line))))
+                line[at:at + 1] = rng.choice(("", "x", "xy" if at else "yx"))
+            rows.append((len(rows), "".join(line)))
+    rng.shuffle(rows)
+    report = lines.line_report(docs_of(spark, rows), edits=edits).collect()
+    assert {r["doc_id"]: list(r["dropped"]) for r in report if r["dropped"]} == brute.repeated_lines(
+        [(d, t.strip(" ")) for d, t in rows], lines.MIN_CHARS, edits)
+
+
+def test_lines_are_kept_without_their_text(spark, monkeypatch):
+    """No table of all lines holds their text, and a line posts few hashes."""
+    kept, write = [], lines.stored
+    monkeypatch.setattr(lines, "stored", lambda frame: kept.append(write(frame)) or kept[-1])
+    rng = random.Random(1)
+    rows = [(d, "\n".join(" ".join(f"w{rng.randrange(5000)}" for _ in range(40)) for _ in range(4))) for d in range(100)]
+    lines.line_report(docs_of(spark, rows)).count()
+    whole = [f for f in kept if f.count() == 400]
+    assert whole and not any(kind == "string" for f in whole for _, kind in f.dtypes)
+    posts = whole[0].selectExpr(*[f"count({c}) as {c}" for c in whole[0].columns if c.startswith("at")]).first()
+    assert 4 * 400 <= sum(posts) <= 5 * 400
